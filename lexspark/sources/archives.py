@@ -5,18 +5,14 @@ batches: unpack, then read the records of one XML member at a time. ``from_xml``
 for the second step, because the registers need the first of repeated children, the text before
 the first child, records at any depth and the encoding the file declares.
 
-Members, not archives, are the unit of parallelism: after the archive is opened its (still
-packed) members are spread by hash, so one archive with a large share of the data does not stay
-in one task.
+Members, not archives, are the unit of parallelism: the (still packed) members of an archive of
+archives are spread by hash, so one archive with a large share of the data does not stay in one
+task.
 """
 
 from __future__ import annotations
 
-import io
-import logging
-import zipfile
 from collections.abc import Callable, Iterable, Iterator
-from xml.etree import ElementTree
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,8 +21,9 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from lexspark import fixed, schemas
-
-log = logging.getLogger(__name__)
+from lexspark.sources.members import (
+    Element, batches_of, leaves, log, own_text, read_elements, rows_of, unpack, well_formed,
+)
 
 MEMBER = schemas.struct("archive", "member", ("content", T.BinaryType()))
 _RECORDS_PER_BATCH = 256
@@ -53,47 +50,22 @@ def member_year(member: Column) -> Column:
     return F.coalesce(F.nullif(F.regexp_extract(member, r"(\d{4})", 1), F.lit("")), F.lit("??"))
 
 
-def _members(packed: bytes, suffix: str, first_only: bool = False) -> Iterator[tuple[str, bytes]]:
-    with zipfile.ZipFile(io.BytesIO(packed)) as archive:
-        names = [n for n in archive.namelist() if n.endswith(suffix)]
-        for name in names[:1] if first_only else names:
-            yield name, archive.read(name)
-
-
-def _batches(rows: Iterable[dict], schema: pa.Schema, size: int) -> Iterator[pa.RecordBatch]:
-    pending: list[dict] = []
-    for row in rows:
-        pending.append(row)
-        if len(pending) >= size:
-            yield pa.RecordBatch.from_pylist(pending, schema)
-            pending = []
-    if pending:
-        yield pa.RecordBatch.from_pylist(pending, schema)
-
-
-def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
-    for batch in batches:
-        for i in range(batch.num_rows):
-            yield batch.slice(i, 1).to_pylist()[0]
-
-
 def xml_members(archives: DataFrame) -> DataFrame:
     """The first ``.xml`` member of each archive; an archive without one is skipped."""
     schema = to_arrow_schema(MEMBER)
 
-    def unpack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def first_xml(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[dict]:
-            for row in _rows(batches):
-                found = False
-                for member, content in _members(row["content"], ".xml", first_only=True):
-                    found = True
-                    yield {"archive": row["archive"], "member": member, "content": content}
+            for row in rows_of(batches):
+                found = list(unpack(row["content"], ".xml", first_only=True))
                 if not found:
                     log.warning("no XML in %s", row["archive"])
+                for member, content in found:
+                    yield {"archive": row["archive"], "member": member, "content": content}
 
-        yield from _batches(rows(), schema, 1)
+        yield from batches_of(rows(), schema, 1)
 
-    return archives.select("archive", "content").mapInArrow(unpack, MEMBER)
+    return archives.select("archive", "content").mapInArrow(first_xml, MEMBER)
 
 
 def nested_xml_members(archives: DataFrame) -> DataFrame:
@@ -101,17 +73,17 @@ def nested_xml_members(archives: DataFrame) -> DataFrame:
     schema = to_arrow_schema(MEMBER)
 
     def outer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _batches((
+        yield from batches_of((
             {"archive": row["archive"], "member": member, "content": content}
-            for row in _rows(batches)
-            for member, content in _members(row["content"], ".zip")
+            for row in rows_of(batches)
+            for member, content in unpack(row["content"], ".zip")
         ), schema, 1)
 
     def inner(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _batches((
+        yield from batches_of((
             {"archive": row["archive"], "member": f"{row['member']}/{member}", "content": content}
-            for row in _rows(batches)
-            for member, content in _members(row["content"], ".xml")
+            for row in rows_of(batches)
+            for member, content in unpack(row["content"], ".xml")
         ), schema, 1)
 
     packed = archives.select("archive", "content").mapInArrow(outer, MEMBER)
@@ -119,119 +91,74 @@ def nested_xml_members(archives: DataFrame) -> DataFrame:
 
 
 # --- records -----------------------------------------------------------------------------------
-def _own_text(element: ElementTree.Element | None, tag: str) -> str | None:
-    child = None if element is None else element.find(tag)
-    return None if child is None else (child.text or "")
-
-
-def _leaves(element: ElementTree.Element, like: T.DataType) -> dict:
-    return {f.name: _own_text(element, f.name) for f in like.fields}
-
-
-def _act(atto: ElementTree.Element) -> dict:
-    part_type = schemas.ACT["parti"].dataType.elementType
-
-    def listed(part: ElementTree.Element, wrapper: str, tag: str) -> list[dict] | None:
-        holder = part.find(wrapper)
-        like = part_type[wrapper].dataType.elementType
-        return None if holder is None else [_leaves(e, like) for e in holder.findall(tag)]
-
-    return {
-        "anno": atto.get("anno", ""),
-        "numero": atto.get("numero", ""),
-        "parti": [
-            {
-                "numero_parte": part.text or "",
-                "norme": listed(part, "norme", "norma"),
-                "parametri": listed(part, "parametri", "parametro"),
-            }
-            for part in atto.findall("numero_parte")
-        ],
-    }
-
+def _records(members: DataFrame, tag: str, any_depth: bool, fail_fast: bool,
+             build: Callable[[Element], dict], shape: T.StructType) -> DataFrame:
+    output = schemas.struct("archive", "member", ("record", shape))
+    schema = to_arrow_schema(output)
 
-def _ruling(pronuncia: ElementTree.Element) -> dict:
-    head = pronuncia.find("pronuncia_testata")
-    maxim = schemas.RULING["massime"].dataType.elementType
-
-    def listed(element: ElementTree.Element, wrapper: str, tag: str) -> list[dict]:
-        like = maxim[wrapper].dataType.elementType
-        return [_leaves(e, like) for e in element.findall(f".//{wrapper}/{tag}")]
-
-    return {
-        "testata": None if head is None else _leaves(head, schemas.RULING["testata"].dataType),
-        "massime": [
-            {
-                "numero": _own_text(m, "numero"),
-                "testo": _own_text(m, "testo"),
-                "parametri": listed(m, "parametri", "parametro"),
-                "norme": listed(m, "norme", "norma"),
-            }
-            for m in pronuncia.findall(".//massima")
-        ],
-    }
+    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from batches_of(read_elements(batches, tag, any_depth, fail_fast, build), schema, _RECORDS_PER_BATCH)
 
+    return members.mapInArrow(read, output)
 
-class _Discard:
-    """Parser target that builds nothing."""
 
+def malformed_members(members: DataFrame) -> DataFrame:
+    """``(archive, member)`` of the files ``read_rulings`` leaves out."""
+    output = schemas.struct("archive", "member")
+    schema = to_arrow_schema(output)
 
-def _well_formed(content: bytes) -> bool:
-    parser = ElementTree.XMLParser(target=_Discard())
-    try:
-        parser.feed(content)
-        parser.close()
-        return True
-    except ElementTree.ParseError:
-        return False
+    def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from batches_of((
+            {"archive": row["archive"], "member": row["member"]}
+            for row in rows_of(batches) if not well_formed(row["content"])
+        ), schema, _RECORDS_PER_BATCH)
 
+    return members.mapInArrow(check, output)
 
-def _elements(content: bytes, tag: str, any_depth: bool) -> Iterator[ElementTree.Element]:
-    """Stream the elements called ``tag``; finished top-level ones are freed."""
-    path: list[ElementTree.Element] = []
-    inside = 0
-    for event, element in ElementTree.iterparse(io.BytesIO(content), events=("start", "end")):
-        if event == "start":
-            inside += bool(path) and element.tag == tag
-            path.append(element)
-            continue
-        path.pop()
-        if path and element.tag == tag:
-            inside -= 1
-            if any_depth or len(path) == 1:
-                yield element
-        if path and not inside:
-            element.clear()
-            path[-1].remove(element)
 
+def read_acts(members: DataFrame) -> DataFrame:
+    """``(archive, member, record)`` per act directly below the root; malformed XML is an error."""
+    lists = {
+        "norme": ("norma", tuple(schemas.ACT_NORM.names)),
+        "parametri": ("parametro", tuple(schemas.ACT_PARAMETER.names)),
+    }
 
-def _records(members: DataFrame, tag: str, any_depth: bool, fail_fast: bool,
-             build: Callable[[ElementTree.Element], dict], shape: T.StructType) -> DataFrame:
-    output = schemas.struct("archive", "member", ("record", shape))
-    schema = to_arrow_schema(output)
+    def part(element: Element) -> dict:
+        record = {"numero_parte": element.text or ""}
+        for wrapper, (tag, names) in lists.items():
+            holder = element.find(wrapper)
+            record[wrapper] = None if holder is None else [leaves(e, names) for e in holder.findall(tag)]
+        return record
 
-    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Iterator[dict]:
-            for row in _rows(batches):
-                if not fail_fast and not _well_formed(row["content"]):
-                    log.warning("malformed XML in %s/%s", row["archive"], row["member"])
-                    continue
-                for element in _elements(row["content"], tag, any_depth):
-                    yield {"archive": row["archive"], "member": row["member"], "record": build(element)}
+    def act(element: Element) -> dict:
+        parts = [part(p) for p in element.findall("numero_parte")]
+        return {"anno": element.get("anno", ""), "numero": element.get("numero", ""), "parti": parts}
 
-        yield from _batches(rows(), schema, _RECORDS_PER_BATCH)
+    return _records(members, "atto", False, True, act, schemas.ACT)
 
-    return members.mapInArrow(read, output)
 
+def read_rulings(members: DataFrame) -> DataFrame:
+    """``(archive, member, record)`` per ruling at any depth; a malformed file gives no rows."""
+    head_names = tuple(schemas.RULING_HEAD.names)
+    lists = {
+        "parametri": ("parametro", tuple(schemas.MAXIM_PARAMETER.names)),
+        "norme": ("norma", tuple(schemas.MAXIM_NORM.names)),
+    }
 
-def read_acts(members: DataFrame) -> DataFrame:
-    """``(archive, member, record)`` per act directly below the root; malformed XML is an error."""
-    return _records(members, "atto", False, True, _act, schemas.ACT)
+    def maxim(element: Element) -> dict:
+        record = {"numero": own_text(element, "numero"), "testo": own_text(element, "testo")}
+        for wrapper, (tag, names) in lists.items():
+            record[wrapper] = [leaves(e, names) for e in element.findall(f".//{wrapper}/{tag}")]
+        return record
 
+    def ruling(element: Element) -> dict:
+        head = element.find("pronuncia_testata")
+        return {
+            "testata": None if head is None else leaves(head, head_names),
+            "massime": [maxim(m) for m in element.findall(".//massima")],
+        }
 
-def read_rulings(members: DataFrame) -> DataFrame:
-    """``(archive, member, record)`` per ruling at any depth; a malformed file gives no rows."""
-    return _records(members, "pronuncia", True, False, _ruling, schemas.RULING)
+    return _records(members, "pronuncia", True, False, ruling, schemas.RULING)
 
 
 # --- XML that is already a column --------------------------------------------------------------
