@@ -73,10 +73,10 @@ METADATA_PREFIXES = [
 ]
 # Heading lines. A line that fits none of them is body text.
 FINAL_PART_HEADING = "# Disposizioni"
-PART_HEADING = r"(?![^\n]*(?:Art\.|Disposizioni))#[^\S\n]+([^\n]+)"
-TITLE_HEADING = r"(?![^\n]*Art\.)##[^\S\n]+([^\n]+)"
+PART_HEADING = r"#(?![^\n]*(?:Art\.|Disposizioni))[^\S\n]+([^\n]+)"
+TITLE_HEADING = r"##(?![^\n]*Art\.)[^\S\n]+([^\n]+)"
 PROVISION_HEADING = r"###[^\S\n]+([IVXLCDM]+)$"
-SECTION_HEADING = r"(?![^\n]*Art\.)(?!###[^\S\n]+[IVXLCDM]+$)###[^\S\n]+([^\n]+)"
+SECTION_HEADING = r"###(?![^\n]*Art\.)(?![^\S\n]+[IVXLCDM]+$)[^\S\n]+([^\n]+)"
 ARTICLE_HEADING = r"## Art\.[^\S\n]*(\d+[bis]?)$"
 FINAL_PART = "Disposizioni transitorie e finali"
 ARTICLE_LABEL = "Art. "

@@ -32,14 +32,8 @@ def outcome_of_flags(
 
 
 def outcome(text: Column, patterns: Mapping[str, str] = fixed.OUTCOME_PATTERNS) -> Column:
-    """Outcome of one text. The hit names are collected once, so each pattern runs once per row."""
-    hits = F.array_compact(F.array(*[F.when(text.rlike(p), F.lit(name)) for name, p in patterns.items()]))
-    return F.transform(
-        F.array(hits),
-        lambda h: F.when(F.size(h) > 1, F.lit(fixed.MIXED_OUTCOME)).otherwise(
-            F.coalesce(F.get(h, F.lit(0)), F.lit(fixed.NO_OUTCOME))
-        ),
-    )[0]
+    """Outcome of one text; an empty or null text has none."""
+    return outcome_of_flags(outcome_flags(text, patterns))
 
 
 # --- laws --------------------------------------------------------------------------------------

@@ -31,49 +31,59 @@ def _norm_text(norm: Column) -> Column:
     )
 
 
+def _each(array: Column) -> Column:
+    """Explode an array, none for null.
+
+    The ``coalesce`` also keeps Spark from inferring a filter on the bare column, which would be
+    pushed below the parsing of the records and parse them a second time.
+    """
+    return F.explode(F.coalesce(array, F.array()))
+
+
 def flatten_acts(df: DataFrame, kind: Column, record: str = "record", keep: tuple[str, ...] = (),
                  parameter: str = fixed.CONSTITUTION_PARAMETER) -> DataFrame:
     """One row per (act, part, constitutional parameter).
 
-    ``record`` has the shape of ``schemas.ACT``. Parameters are filtered inside the array, before
-    the explode, and the list of norms is formatted once per part.
+    ``record`` has the shape of ``schemas.ACT``. Act fields are made before the parts are
+    exploded and part fields before the parameters are, so nothing is computed per output row
+    that belongs to a parent; parameters are filtered inside their array.
     """
-    act = F.col(record)
-    parts = df.select(
+    act, part, param = F.col(record), F.col("_part"), F.col("_par")
+    header = [*keep, "tipo", "anno", "numero_atto"]
+    acts = df.select(
         *keep, kind.alias("tipo"),
         digits_or(or_empty(act["anno"]), 0).alias("anno"),
         digits_or(or_empty(act["numero"]), 0).alias("numero_atto"),
-        F.explode(act["parti"]).alias("_part"),
+        act["parti"].alias("_parts"),
     )
-    part = F.col("_part")
     norms = F.coalesce(part["norme"], F.array())
     first = F.get(norms, F.lit(0))
     wanted = F.filter(
         part["parametri"],
         lambda p: (F.lower(_clean(p, "descrizione")) == parameter) & (_clean(p, "articolo") != ""),
     )
-    rows = parts.select(
-        *keep, "tipo", "anno", "numero_atto",
+    parts = acts.select(*header, _each(F.col("_parts")).alias("_part")).select(
+        *header,
         digits_or(_clean(part, "numero_parte"), 1).alias("numero_parte"),
         _clean(first, "descrizione").alias("norma_descrizione"),
         _clean(first, "numero").alias("norma_numero"),
         _clean(first, "articolo").alias("norma_articolo"),
         F.array_join(F.transform(norms, _norm_text), "; ").alias("norme_str"),
         F.size(norms).cast("bigint").alias("n_norme"),
-        F.explode(wanted).alias("_par"),
+        wanted.alias("_wanted"),
     )
-    return rows.select(
-        *keep, "tipo", "anno", "numero_atto", "numero_parte",
-        digits_or(_clean(F.col("_par"), "articolo"), 0).alias("parametro_articolo"),
-        _clean(F.col("_par"), "comma").alias("parametro_comma"),
-        "norma_descrizione", "norma_numero", "norma_articolo", "norme_str", "n_norme",
+    fields = ["norma_descrizione", "norma_numero", "norma_articolo", "norme_str", "n_norme"]
+    return parts.select(*header, "numero_parte", *fields, _each(F.col("_wanted")).alias("_par")).select(
+        *header, "numero_parte",
+        digits_or(_clean(param, "articolo"), 0).alias("parametro_articolo"),
+        _clean(param, "comma").alias("parametro_comma"),
+        *fields,
     )
 
 
-def ruling_outcome(maxims: Column, patterns: dict[str, str] = fixed.OUTCOME_PATTERNS) -> Column:
-    """One outcome for all maxims of a ruling, over their non-empty texts in document order."""
-    texts = F.filter(F.transform(maxims, lambda m: m["testo"]), lambda t: t != "")
-    return outcome(F.array_join(texts, " "), patterns)
+def ruling_text(maxims: Column) -> Column:
+    """The non-empty texts of a ruling's maxims, in document order."""
+    return F.array_join(F.filter(F.transform(maxims, lambda m: m["testo"]), lambda t: t != ""), " ")
 
 
 def _blank(fields: tuple[str, ...], like: T.DataType) -> Column:
@@ -82,43 +92,44 @@ def _blank(fields: tuple[str, ...], like: T.DataType) -> Column:
 
 def flatten_maxims(df: DataFrame, record: str = "record", keep: tuple[str, ...] = (),
                    patterns: dict[str, str] = fixed.OUTCOME_PATTERNS) -> DataFrame:
-    """One row per (maxim, parameter, norm).
+    """One row per (maxim, parameter, norm), with the outcome of the whole ruling.
 
-    ``record`` has the shape of ``schemas.RULING``. A maxim with neither parameters nor norms
-    gives one blank row, one with only one of the two gives none, so each side is padded only
-    when both are empty and the two explodes do the rest. Texts are dropped before exploding.
+    ``record`` has the shape of ``schemas.RULING``. The outcome is made once per ruling, before
+    its maxims are exploded, and their texts go no further. A maxim with neither parameters nor
+    norms gives one blank row, one with only one of the two gives none, so each side is padded
+    only when both are empty and the two explodes do the rest.
     """
-    ruling = F.col(record)
+    ruling, maxim = F.col(record), F.col("_m")
     head = ruling["testata"]
-    maxims = F.transform(
+    shape = df.schema[record].dataType["massime"].dataType.elementType
+    bare = F.transform(
         ruling["massime"],
         lambda m: F.struct(m["numero"].alias("numero"), m["parametri"].alias("parametri"), m["norme"].alias("norme")),
     )
-    per_maxim = df.where(head.isNotNull()).select(
+    head_fields = ["anno_pronuncia", "numero_pronuncia", "tipologia_pronuncia", "data_decisione", "data_deposito"]
+    rulings = df.select(
         *keep,
-        digits_or(or_empty(head["anno_pronuncia"]), 0).alias("anno_pronuncia"),
-        digits_or(or_empty(head["numero_pronuncia"]), 0).alias("numero_pronuncia"),
-        *[or_empty(head[f]).alias(f) for f in ("tipologia_pronuncia", "data_decisione", "data_deposito")],
-        ruling_outcome(ruling["massime"], patterns).alias("esito"),
-        F.explode(maxims).alias("_m"),
+        *[digits_or(or_empty(head[f]), 0).alias(f) for f in head_fields[:2]],
+        *[or_empty(head[f]).alias(f) for f in head_fields[2:]],
+        ruling_text(ruling["massime"]).alias("_text"),
+        F.when(head.isNotNull(), bare).alias("_maxims"),
     )
-    shape = df.schema[record].dataType["massime"].dataType.elementType
-    params, norms = F.col("_m.parametri"), F.col("_m.norme")
-    bare = (F.coalesce(F.size(params), F.lit(0)) <= 0) & (F.coalesce(F.size(norms), F.lit(0)) <= 0)
-    header = [
-        *keep, "id_massima", "anno_pronuncia", "numero_pronuncia",
-        "tipologia_pronuncia", "data_decisione", "data_deposito", "esito",
-    ]
-    per_param = per_maxim.select(
-        *keep, int_or_zero(or_empty(F.col("_m.numero"))).alias("id_massima"), *header[len(keep) + 1:],
-        F.when(bare, _blank(NORM_FIELDS, shape["norme"].dataType)).otherwise(norms).alias("_norms"),
-        F.explode(
-            F.when(bare, _blank(MAXIM_FIELDS, shape["parametri"].dataType)).otherwise(params)
-        ).alias("_par"),
+    header = [*keep, *head_fields, "esito"]
+    maxims = rulings.select(
+        *keep, *head_fields, outcome(F.col("_text"), patterns).alias("esito"), "_maxims"
+    ).select(*header, _each(F.col("_maxims")).alias("_m"))
+    empty = (F.coalesce(F.size(maxim["parametri"]), F.lit(0)) <= 0) & (F.coalesce(F.size(maxim["norme"]), F.lit(0)) <= 0)
+    sides = maxims.select(
+        *header, int_or_zero(or_empty(maxim["numero"])).alias("id_massima"),
+        F.when(empty, _blank(MAXIM_FIELDS, shape["parametri"].dataType)).otherwise(maxim["parametri"]).alias("_params"),
+        F.when(empty, _blank(NORM_FIELDS, shape["norme"].dataType)).otherwise(maxim["norme"]).alias("_norms"),
     )
-    per_norm = per_param.select(*header, "_par", F.explode("_norms").alias("_norm"))
-    return per_norm.select(
-        *header,
+    header.append("id_massima")
+    crossed = sides.select(*header, "_norms", _each(F.col("_params")).alias("_par")).select(
+        *header, "_par", _each(F.col("_norms")).alias("_norm")
+    )
+    return crossed.select(
+        *keep, "id_massima", *head_fields, "esito",
         *[or_empty(F.col("_par")[f]).alias(f"parametro_{f}") for f in MAXIM_FIELDS],
         *[or_empty(F.col("_norm")[f]).alias(f"norma_{f}") for f in NORM_FIELDS],
     )

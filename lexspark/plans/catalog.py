@@ -21,7 +21,7 @@ from lexspark.functions import markup, rules
 from lexspark.functions.text import join_numbers, numbers_in
 from lexspark.operators import enrich, flatten, metrics, quality, segment, verdicts
 from lexspark.plans import datasets, questions
-from lexspark.session import shared_dir
+from lexspark.session import shared_dir, spread
 from lexspark.sources import archives, tables
 from lexspark.sources.members import pack_members
 
@@ -47,6 +47,11 @@ def _table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
+def _wide(spark: SparkSession, root: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table whose rows are work: whole texts, composed documents."""
+    return spread(_table(spark, root, name).select(*columns))
+
+
 def _text(value: Column | str) -> Column:
     return F.col(value).cast("string") if isinstance(value, str) else value.cast("string")
 
@@ -160,7 +165,7 @@ def _covered_keys(spark: SparkSession, root: str) -> DataFrame:
     FROM (SELECT unnest(regexp_extract_all(text, '[0-9]+')) AS n FROM documents) GROUP BY 1 ORDER BY 2 DESC, 1
 """)
 def _element_counts(spark: SparkSession, root: str) -> DataFrame:
-    mentions = _table(spark, root, "documents").select(numbers_in(F.col("text")).alias("articoli_modificati"))
+    mentions = _wide(spark, root, "documents", "text").select(numbers_in(F.col("text")).alias("articoli_modificati"))
     return questions.most_amended(mentions)
 
 
@@ -293,7 +298,7 @@ def scorecard(spark: SparkSession, root: str) -> DataFrame:
         _table(spark, root, "events").select(F.col("user_id").alias("parametro_articolo")),
         _rulings(spark, root),
         _table(spark, root, "lineitem").select(F.col("l_partkey").alias("articolo")),
-        _table(spark, root, "documents").select(numbers_in(F.col("text")).alias("articoli_modificati")),
+        _wide(spark, root, "documents", "text").select(numbers_in(F.col("text")).alias("articoli_modificati")),
         _table(spark, root, "conversations").select(F.col("conv_id").alias("articolo")),
     )
 
@@ -319,7 +324,7 @@ _SQL_PAGE = _sql_rewrites("html", [
 
 @_query("markup_clean", f"SELECT page_id, {_SQL_PAGE} AS markdown FROM pages")
 def _markup_clean(spark: SparkSession, root: str) -> DataFrame:
-    return _table(spark, root, "pages").select("page_id", markup.normalize(F.col("html")).alias("markdown"))
+    return _wide(spark, root, "pages", "page_id", "html").select("page_id", markup.normalize(F.col("html")).alias("markdown"))
 
 
 def _wikitext(name: Column, section: Column, number: Column) -> Column:
@@ -341,7 +346,7 @@ def _wikitext(name: Column, section: Column, number: Column) -> Column:
     FROM customer
 """)
 def _markup_headings(spark: SparkSession, root: str) -> DataFrame:
-    pages = _table(spark, root, "customer").select(
+    pages = _wide(spark, root, "customer", "c_custkey", "c_name", "c_mktsegment").select(
         "c_custkey", _wikitext(F.col("c_name"), F.col("c_mktsegment"), _text("c_custkey")).alias("wikitext")
     )
     rewritten = pages.select("c_custkey", markup.normalize(F.col("wikitext")).alias("markdown"))
@@ -393,7 +398,7 @@ _SQL_SEGMENTS = f"""
 
 
 def _segments(spark: SparkSession, root: str) -> DataFrame:
-    docs = _table(spark, root, "documents").select(
+    docs = _wide(spark, root, "documents", "doc_id", "lang", "source", "text").select(
         "doc_id", _structured(F.col("doc_id"), F.col("lang"), F.col("source"), F.col("text")).alias("contenuto")
     )
     return datasets.articoli(docs, keep=("doc_id",))
@@ -423,7 +428,7 @@ def _frontmatter_fields(spark: SparkSession, root: str) -> DataFrame:
         F.when(F.col("page_id") % 3 == 0, F.lit("")).otherwise(F.concat(F.lit("titolo: 'Pagina: "), page, F.lit("'\n"))),
         F.lit("data: \"ultimo\"\n---\n"), F.col("html"),
     )
-    docs = _table(spark, root, "pages").select(
+    docs = _wide(spark, root, "pages", "page_id", "url", "html").select(
         "page_id", F.concat(F.lit("page-"), page, F.lit(".md")).alias("file_name"), head.alias("value")
     )
     read = segment.document_fields(docs.withColumn("_e", segment.frontmatter_entries(F.col("value"))), "value",
@@ -475,7 +480,7 @@ _SQL_LAWS = f"""
 
 
 def _laws(spark: SparkSession, root: str) -> DataFrame:
-    return _table(spark, root, "documents").select(
+    return _wide(spark, root, "documents", "doc_id", "lang", "source", "text").select(
         "doc_id", F.concat(F.lit("legge-"), _text("doc_id"), F.lit(".md")).alias("file_name"),
         _law(F.col("doc_id"), F.col("lang"), F.col("source"), F.col("text")).alias("value"),
     )
@@ -523,7 +528,7 @@ def _sql_outcome(flags: dict[str, str]) -> str:
     SELECT doc_id, {_sql_outcome({n: f"regexp_matches(text, '{p}')" for n, p in _STAND_INS.items()})} AS esito FROM documents
 """)
 def _flagset_verdict(spark: SparkSession, root: str) -> DataFrame:
-    return _table(spark, root, "documents").select("doc_id", rules.outcome(F.col("text"), _STAND_INS).alias("esito"))
+    return _wide(spark, root, "documents", "doc_id", "text").select("doc_id", rules.outcome(F.col("text"), _STAND_INS).alias("esito"))
 
 
 _PHRASES = {
@@ -605,7 +610,7 @@ _SQL_ACTS = """
 
 @_query("flatten_acts", f"WITH {_SQL_ACTS} SELECT 'ordinanza' AS tipo, * EXCLUDE (k) FROM acts")
 def _flatten_acts(spark: SparkSession, root: str) -> DataFrame:
-    orders = _table(spark, root, "orders").select(
+    orders = _wide(spark, root, "orders", "o_orderkey", "o_custkey", "o_orderdate").select(
         F.to_xml(_act_struct(F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")), {"rowTag": "atto"}).alias("xml")
     )
     acts = flatten.flatten_acts(archives.acts_from_column(orders, "xml"), F.lit("ordinanza"))
@@ -674,7 +679,7 @@ def _ruling_xml(orders: DataFrame) -> Column:
 
 @_query("maxim_cross", f"WITH {_SQL_MAXIMS}")
 def _maxim_cross(spark: SparkSession, root: str) -> DataFrame:
-    orders = _table(spark, root, "orders")
+    orders = _wide(spark, root, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     rulings = archives.rulings_from_column(orders.select(_ruling_xml(orders).alias("xml")), "xml")
     return schemas.select_as(flatten.flatten_maxims(rulings), schemas.MASSIME)
 
@@ -684,15 +689,26 @@ _PACKED = schemas.struct("archive", ("content", T.BinaryType()))
 
 
 def _pack(rows: DataFrame, build: Callable[[str], bytes]) -> DataFrame:
-    """``(archive, xml)`` rows to ``(archive, content)`` archives."""
+    """``(folder, archive, xml)`` rows to ``(archive, content)`` archives of up to 100 records.
+
+    Records are packed as they come in a batch; an archive is told from others by its folder,
+    that of its first record.
+    """
     schema = to_arrow_schema(_PACKED)
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            packed = [{"archive": r["archive"], "content": build(r["xml"])} for r in batch.to_pylist()]
+            by_name: dict[str, list[dict]] = {}
+            for row in batch.to_pylist():
+                by_name.setdefault(row["archive"], []).append(row)
+            packed = [
+                {"archive": f"{some[0]['folder']}/{name}", "content": build("".join(r["xml"] for r in some))}
+                for name, found in by_name.items()
+                for some in (found[i:i + 100] for i in range(0, len(found), 100))
+            ]
             yield pa.RecordBatch.from_pylist(packed, schema)
 
-    return rows.select("archive", "xml").mapInArrow(pack, _PACKED)
+    return rows.select("folder", "archive", "xml").mapInArrow(pack, _PACKED)
 
 
 def _packers() -> tuple[Callable[[str], bytes], Callable[[str], bytes]]:
@@ -718,9 +734,10 @@ def _packers() -> tuple[Callable[[str], bytes], Callable[[str], bytes]]:
     SELECT CASE WHEN k % 2 = 0 THEN 'ordinanza' ELSE 'ricorso' END AS tipo, * EXCLUDE (k) FROM acts
 """)
 def _zip_acts(spark: SparkSession, root: str) -> DataFrame:
-    """One register archive per order; only its first XML counts, and only acts below the root."""
+    """Orders packed into register archives; only the first XML counts, and only acts below the root."""
     xml = F.to_xml(_act_struct(F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")), {"rowTag": "atto"})
-    rows = _table(spark, root, "orders").select(
+    rows = _wide(spark, root, "orders", "o_orderkey", "o_custkey", "o_orderdate").select(
+        _text("o_orderkey").alias("folder"),
         F.when(F.col("o_orderkey") % 2 == 0, F.lit("ordinanze.zip")).otherwise(F.lit("ricorsi.zip")).alias("archive"),
         xml.alias("xml"),
     )
@@ -731,9 +748,11 @@ def _zip_acts(spark: SparkSession, root: str) -> DataFrame:
 
 @_query("zip_maxims", f"WITH {_SQL_MAXIMS}")
 def _zip_maxims(spark: SparkSession, root: str) -> DataFrame:
-    """One archive of archives per order; the malformed member gives no rows."""
-    orders = _table(spark, root, "orders")
-    rows = orders.select(F.concat(_text("o_orderkey"), F.lit(".zip")).alias("archive"), _ruling_xml(orders).alias("xml"))
+    """Orders packed into archives of archives; the malformed member gives no rows."""
+    orders = _wide(spark, root, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    rows = orders.select(
+        _text("o_orderkey").alias("folder"), F.lit("massime.zip").alias("archive"), _ruling_xml(orders).alias("xml")
+    )
     return schemas.select_as(datasets.massime(_pack(rows, _packers()[1])), schemas.MASSIME)
 
 
@@ -774,7 +793,7 @@ def _array_csv_roundtrip(spark: SparkSession, root: str) -> DataFrame:
     WITH m AS (SELECT count(*) AS n, count(doc_id) AS keys, count(*) FILTER (doc_id = 3) AS three,
         count(*) FILTER (lang NOT IN ('en', 'fr')) AS foreign_, count(*) FILTER (n_chars > 500) AS long_,
         count(*) FILTER (regexp_matches(text, '<ref>|<br')) AS markup, count(*) FILTER (coalesce(text, '') IN ('', '0')) AS blank,
-        count(*) FILTER (list_contains(regexp_extract_all(text, '[0-9]+'), '9')) AS nines,
+        count(*) FILTER (list_contains([try_cast(x AS BIGINT) FOR x IN regexp_extract_all(text, '[0-9]+')], 9)) AS nines,
         CAST(sum(len(regexp_extract_all(text, 'tion'))) AS BIGINT) AS marks, count(*) FILTER (n_chars <> length(text)) AS wrong FROM documents)
     SELECT 'rows' AS rule, n >= 200 AS ok, n AS observed FROM m
     UNION ALL SELECT 'doc_id not null', keys = 1000, keys FROM m
@@ -793,7 +812,7 @@ def _array_csv_roundtrip(spark: SparkSession, root: str) -> DataFrame:
     UNION ALL SELECT 'column testo', false, 0
 """)
 def _dq_report(spark: SparkSession, root: str) -> DataFrame:
-    documents = _table(spark, root, "documents")
+    documents = _wide(spark, root, "documents", "doc_id", "lang", "n_chars", "text")
     with_numbers = documents.withColumn("numbers", numbers_in(F.col("text")))
     report = quality.dq_report(with_numbers, [
         quality.rows_at_least(200),

@@ -66,7 +66,8 @@ def revisioni(laws: DataFrame, text: str = "value", name: str = "file_name",
 
 def atti_promovimento(zips: DataFrame, kinds: dict[str, str] = fixed.ARCHIVE_KINDS) -> DataFrame:
     """Register archives (``archive, content``) to constitutional parameters."""
-    records = archives.read_acts(archives.xml_members(zips.where(F.col("archive").isin(list(kinds)))))
+    known = zips.where(archives.file_name(F.col("archive")).isin(list(kinds)))
+    records = archives.read_acts(archives.xml_members(known))
     return flatten.flatten_acts(records, archives.archive_kind(F.col("archive"), kinds))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, app: str = "lexspark", **conf: str) -> SparkSession:
@@ -38,3 +38,13 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     if not base:
         base = tempfile.mkdtemp(prefix="lexspark-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def spread(table: DataFrame) -> DataFrame:
+    """Use all cores on a table scanned in fewer tasks than there are cores; otherwise unchanged.
+
+    For work per row that outweighs moving the row. A table large enough to fill the cluster is
+    left where it is.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table

@@ -26,22 +26,24 @@ from lexspark.sources.members import (
 )
 
 MEMBER = schemas.struct("archive", "member", ("content", T.BinaryType()))
-_RECORDS_PER_BATCH = 256
 
 
 def read_archives(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFrame:
-    """``(archive, content)``, one row per ZIP file."""
-    return (
-        spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-        .select(F.element_at(F.split("path", "/"), -1).alias("archive"), "content")
+    """``(archive, content)``, one row per ZIP file; ``archive`` is its full path."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select(
+        F.col("path").alias("archive"), "content"
     )
 
 
+def file_name(path: Column) -> Column:
+    return F.substring_index(path, "/", -1)
+
+
 def archive_kind(archive: Column, kinds: dict[str, str] = fixed.ARCHIVE_KINDS) -> Column:
     """Literal tag of an archive by its file name; null for an unknown one."""
     tag = F.lit(None).cast("string")
     for name, kind in kinds.items():
-        tag = F.when(archive == name, F.lit(kind)).otherwise(tag)
+        tag = F.when(file_name(archive) == name, F.lit(kind)).otherwise(tag)
     return tag
 
 
@@ -63,7 +65,7 @@ def xml_members(archives: DataFrame) -> DataFrame:
                 for member, content in found:
                     yield {"archive": row["archive"], "member": member, "content": content}
 
-        yield from batches_of(rows(), schema, 1)
+        yield from batches_of(rows(), schema)
 
     return archives.select("archive", "content").mapInArrow(first_xml, MEMBER)
 
@@ -77,14 +79,14 @@ def nested_xml_members(archives: DataFrame) -> DataFrame:
             {"archive": row["archive"], "member": member, "content": content}
             for row in rows_of(batches)
             for member, content in unpack(row["content"], ".zip")
-        ), schema, 1)
+        ), schema)
 
     def inner(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from batches_of((
             {"archive": row["archive"], "member": f"{row['member']}/{member}", "content": content}
             for row in rows_of(batches)
             for member, content in unpack(row["content"], ".xml")
-        ), schema, 1)
+        ), schema)
 
     packed = archives.select("archive", "content").mapInArrow(outer, MEMBER)
     return packed.repartition("archive", "member").mapInArrow(inner, MEMBER)
@@ -97,7 +99,7 @@ def _records(members: DataFrame, tag: str, any_depth: bool, fail_fast: bool,
     schema = to_arrow_schema(output)
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from batches_of(read_elements(batches, tag, any_depth, fail_fast, build), schema, _RECORDS_PER_BATCH)
+        yield from batches_of(read_elements(batches, tag, any_depth, fail_fast, build), schema)
 
     return members.mapInArrow(read, output)
 
@@ -111,7 +113,7 @@ def malformed_members(members: DataFrame) -> DataFrame:
         yield from batches_of((
             {"archive": row["archive"], "member": row["member"]}
             for row in rows_of(batches) if not well_formed(row["content"])
-        ), schema, _RECORDS_PER_BATCH)
+        ), schema)
 
     return members.mapInArrow(check, output)
 

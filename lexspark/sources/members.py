@@ -21,21 +21,30 @@ log = logging.getLogger(__name__)
 Element = ElementTree.Element
 
 
-def batches_of(rows: Iterable[dict], schema: pa.Schema, size: int) -> Iterator[pa.RecordBatch]:
+_BATCH_ROWS = 512
+_BATCH_BYTES = 4 << 20
+
+
+def batches_of(rows: Iterable[dict], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Arrow batches bounded by rows and, for rows with a ``content``, by bytes."""
     pending: list[dict] = []
+    size = 0
     for row in rows:
         pending.append(row)
-        if len(pending) >= size:
+        size += len(row.get("content", b""))
+        if len(pending) >= _BATCH_ROWS or size >= _BATCH_BYTES:
             yield pa.RecordBatch.from_pylist(pending, schema)
-            pending = []
+            pending, size = [], 0
     if pending:
         yield pa.RecordBatch.from_pylist(pending, schema)
 
 
 def rows_of(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows one by one; only the current cell is copied out of the batch."""
     for batch in batches:
+        columns = dict(zip(batch.schema.names, batch.columns, strict=True))
         for i in range(batch.num_rows):
-            yield batch.slice(i, 1).to_pylist()[0]
+            yield {name: column[i].as_py() for name, column in columns.items()}
 
 
 def unpack(packed: bytes, suffix: str, first_only: bool = False) -> Iterator[tuple[str, bytes]]:
@@ -67,8 +76,17 @@ def well_formed(content: bytes) -> bool:
         return False
 
 
+_TREE_BYTES = 8 << 20
+
+
 def elements(content: bytes, tag: str, any_depth: bool) -> Iterator[Element]:
-    """Stream the elements called ``tag`` below the root; finished ones are freed."""
+    """The elements called ``tag`` below the root.
+
+    A large file is streamed, and elements that are done with are freed.
+    """
+    if len(content) <= _TREE_BYTES:
+        yield from ElementTree.fromstring(content).findall(f".//{tag}" if any_depth else tag)
+        return
     path: list[Element] = []
     inside = 0
     for event, element in ElementTree.iterparse(io.BytesIO(content), events=("start", "end")):
