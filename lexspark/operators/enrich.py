@@ -52,11 +52,15 @@ def add_snippet(left: DataFrame, texts: DataFrame, key: str, text: str, order_by
 
 
 def add_citation_text(citations: DataFrame, articles: DataFrame | None, order_by: Column | None = None) -> DataFrame:
-    """Citations with the cited article's text; without an articles table the column is left out."""
+    """Citations with the cited article's text; without an articles table the column is left out.
+
+    ``order_by`` says which of several rows of an article is the last; by default the row order
+    in which Spark reads the table.
+    """
     base = citations.select("fonte_filename", "fonte_collezione", "fonte_anno", "fonte_tipo", "articolo", "contesto")
     if articles is None:
         return base
-    return add_snippet(base, articles, "articolo", "testo", F.lit(0) if order_by is None else order_by)
+    return add_snippet(base, articles, "articolo", "testo", F.monotonically_increasing_id() if order_by is None else order_by)
 
 
 def add_registry(mapping: DataFrame, registry: DataFrame) -> DataFrame:
@@ -76,11 +80,14 @@ def add_registry(mapping: DataFrame, registry: DataFrame) -> DataFrame:
 def missing_keys(left: DataFrame, right: DataFrame, key: str, right_key: str | None = None) -> DataFrame:
     """Distinct non-null keys of ``left`` that ``right`` lacks.
 
-    Both sides are reduced to distinct keys first (partially before the shuffle), so a hot key is
-    one row per task on either side.
+    Both sides are stacked and grouped by key: one shuffle, of at most one row per key and task,
+    so a hot key on either side is harmless and no side has to fit anywhere.
     """
-    other = right.select(F.col(right_key or key).alias(key)).where(F.col(key).isNotNull()).distinct()
-    return left.select(key).where(F.col(key).isNotNull()).distinct().join(other, key, "left_anti")
+    here = left.select(F.col(key), F.lit(False).alias("_known"))
+    there = right.select(F.col(right_key or key).cast(left.schema[key].dataType).alias(key), F.lit(True).alias("_known"))
+    both = here.unionByName(there).where(F.col(key).isNotNull())
+    seen = both.groupBy(key).agg(F.bool_or("_known").alias("_known"))
+    return seen.where(~F.col("_known")).select(key)
 
 
 class MissingReferences(ValueError):

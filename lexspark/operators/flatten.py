@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexspark import fixed
+from lexspark.functions.arrays import each
 from lexspark.functions.rules import outcome
 from lexspark.functions.text import digits_or, int_or_zero, or_empty, strip
 
@@ -31,15 +32,6 @@ def _norm_text(norm: Column) -> Column:
     )
 
 
-def _each(array: Column) -> Column:
-    """Explode an array, none for null.
-
-    The ``coalesce`` also keeps Spark from inferring a filter on the bare column, which would be
-    pushed below the parsing of the records and parse them a second time.
-    """
-    return F.explode(F.coalesce(array, F.array()))
-
-
 def flatten_acts(df: DataFrame, kind: Column, record: str = "record", keep: tuple[str, ...] = (),
                  parameter: str = fixed.CONSTITUTION_PARAMETER) -> DataFrame:
     """One row per (act, part, constitutional parameter).
@@ -62,7 +54,7 @@ def flatten_acts(df: DataFrame, kind: Column, record: str = "record", keep: tupl
         part["parametri"],
         lambda p: (F.lower(_clean(p, "descrizione")) == parameter) & (_clean(p, "articolo") != ""),
     )
-    parts = acts.select(*header, _each(F.col("_parts")).alias("_part")).select(
+    parts = acts.select(*header, each(F.col("_parts")).alias("_part")).select(
         *header,
         digits_or(_clean(part, "numero_parte"), 1).alias("numero_parte"),
         _clean(first, "descrizione").alias("norma_descrizione"),
@@ -73,7 +65,7 @@ def flatten_acts(df: DataFrame, kind: Column, record: str = "record", keep: tupl
         wanted.alias("_wanted"),
     )
     fields = ["norma_descrizione", "norma_numero", "norma_articolo", "norme_str", "n_norme"]
-    return parts.select(*header, "numero_parte", *fields, _each(F.col("_wanted")).alias("_par")).select(
+    return parts.select(*header, "numero_parte", *fields, each(F.col("_wanted")).alias("_par")).select(
         *header, "numero_parte",
         digits_or(_clean(param, "articolo"), 0).alias("parametro_articolo"),
         _clean(param, "comma").alias("parametro_comma"),
@@ -117,7 +109,7 @@ def flatten_maxims(df: DataFrame, record: str = "record", keep: tuple[str, ...]
     header = [*keep, *head_fields, "esito"]
     maxims = rulings.select(
         *keep, *head_fields, outcome(F.col("_text"), patterns).alias("esito"), "_maxims"
-    ).select(*header, _each(F.col("_maxims")).alias("_m"))
+    ).select(*header, each(F.col("_maxims")).alias("_m"))
     empty = (F.coalesce(F.size(maxim["parametri"]), F.lit(0)) <= 0) & (F.coalesce(F.size(maxim["norme"]), F.lit(0)) <= 0)
     sides = maxims.select(
         *header, int_or_zero(or_empty(maxim["numero"])).alias("id_massima"),
@@ -125,8 +117,8 @@ def flatten_maxims(df: DataFrame, record: str = "record", keep: tuple[str, ...]
         F.when(empty, _blank(NORM_FIELDS, shape["norme"].dataType)).otherwise(maxim["norme"]).alias("_norms"),
     )
     header.append("id_massima")
-    crossed = sides.select(*header, "_norms", _each(F.col("_params")).alias("_par")).select(
-        *header, "_par", _each(F.col("_norms")).alias("_norm")
+    crossed = sides.select(*header, "_norms", each(F.col("_params")).alias("_par")).select(
+        *header, "_par", each(F.col("_norms")).alias("_norm")
     )
     return crossed.select(
         *keep, "id_massima", *head_fields, "esito",

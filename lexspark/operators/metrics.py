@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexspark import fixed
+from lexspark.functions.arrays import each
 
 
 def count_by(df: DataFrame, key: str, alias: str = "volte") -> DataFrame:
@@ -79,30 +80,30 @@ def covered_keys(df: DataFrame, key: str) -> DataFrame:
 
 def element_counts(df: DataFrame, array: str, alias: str = "elemento", count_alias: str = "volte") -> DataFrame:
     """How often each element occurs in an array column, duplicates counted."""
-    return count_by(df.select(F.explode(array).alias(alias)), alias, count_alias)
+    return count_by(df.select(each(array).alias(alias)), alias, count_alias)
 
 
-def scorecard(hub: DataFrame, key: str, facts: Mapping[str, DataFrame | tuple[DataFrame, Column]]) -> DataFrame:
-    """One row per hub key with a count from every fact table, 0 where there is none.
+def scorecard(hub: DataFrame, key: str, facts: Sequence[tuple[DataFrame, Mapping[str, Column]]]) -> DataFrame:
+    """One row per hub key with counts from every fact table, 0 where there is none.
 
-    A fact is a table with the key column, or that and a condition on its rows. All tables are
-    stacked as 0/1 counters and summed in a single aggregation: one shuffle whatever the number
-    of facts, with partial sums first, so a hot key costs one row per task.
+    A fact is a table with the key column and its counters, each a condition on the rows it
+    counts. All tables are read once, stacked as 0/1 counters and summed in a single aggregation:
+    one shuffle whatever the number of facts, with partial sums first, so a hot key costs one row
+    per task.
     """
-    names = list(facts)
+    names = [name for _, counters in facts for name in counters]
 
-    def counters(df: DataFrame, name: str | None, hit: Column) -> DataFrame:
-        return df.select(
-            F.col(key).cast("bigint").alias(key),
-            F.lit(name is None).alias("_hub"),
-            *[(hit.cast("bigint") if n == name else F.lit(0).cast("bigint")).alias(n) for n in names],
+    def stack(df: DataFrame, counters: Mapping[str, Column], in_hub: bool) -> DataFrame:
+        def counter(name: str) -> Column:
+            hit = F.coalesce(counters[name], F.lit(False)) if name in counters else F.lit(False)
+            return hit.cast("bigint").alias(name)
+
+        return df.where(F.col(key).isNotNull()).select(
+            F.col(key).cast("bigint").alias(key), F.lit(in_hub).alias("_hub"), *[counter(n) for n in names]
         )
 
-    stacked = counters(hub, None, F.lit(True))
-    for name, fact in facts.items():
-        table, hit = fact if isinstance(fact, tuple) else (fact, F.lit(True))
-        stacked = stacked.unionByName(counters(table, name, F.coalesce(hit, F.lit(False))))
-    summed = stacked.where(F.col(key).isNotNull()).groupBy(key).agg(
-        F.bool_or("_hub").alias("_hub"), *[F.sum(n).alias(n) for n in names]
-    )
+    stacked = stack(hub, {}, True)
+    for table, counters in facts:
+        stacked = stacked.unionByName(stack(table, counters, False))
+    summed = stacked.groupBy(key).agg(F.bool_or("_hub").alias("_hub"), *[F.sum(n).alias(n) for n in names])
     return summed.where("_hub").drop("_hub")

@@ -32,10 +32,11 @@ def articoli(markdown: DataFrame, text: str = "contenuto", keep: tuple[str, ...]
     return segment.segment_documents(markdown, text, keep)
 
 
-def articoli_csv(segments: DataFrame) -> DataFrame:
-    """CSV form: the article number as written (``12b``), which the typed form holds as null."""
-    return segments.select(
-        F.col("numero").alias("articolo"), *schemas.ARTICOLI.names[1:]
+def articoli_csv(articles: DataFrame) -> DataFrame:
+    """CSV form: the article number as written in the heading (``12b`` is null in the typed form)."""
+    number = F.substring("heading", F.lit(len(fixed.ARTICLE_LABEL) + 1), F.char_length("heading"))
+    return articles.select(
+        F.when(F.col("disposizione").isNull(), number).alias("articolo"), *schemas.ARTICOLI.names[1:]
     )
 
 
@@ -93,14 +94,11 @@ def publish_testo(spark: SparkSession, wikitext: str, out: str) -> None:
 
 def publish_articoli(spark: SparkSession, markdown: str, out: str) -> None:
     docs = documents.read_documents(spark, markdown, must_exist=True)
-    rows = articoli(docs, "value", ("file_name",)).orderBy("file_name", "ordine")
-    tables.publish(rows, out, schemas.ARTICOLI, csv=articoli_csv(rows))
+    tables.publish(articoli(docs, "value", ()), out, schemas.ARTICOLI, articoli_csv)
 
 
 def publish_revisioni(spark: SparkSession, corpus: str, out: str) -> None:
-    laws = documents.read_documents(spark, corpus)
-    rows = revisioni(laws, keep=("file_name",)).orderBy("file_name")
-    tables.publish(rows, out, schemas.REVISIONI, required=True)
+    tables.publish(revisioni(documents.read_documents(spark, corpus)), out, schemas.REVISIONI, required=True)
 
 
 def publish_atti_promovimento(spark: SparkSession, zips: str, out: str) -> bool:
@@ -120,7 +118,7 @@ def publish_citazioni(spark: SparkSession, citations: str, articles: str, out: s
 
 def publish_indicatori(spark: SparkSession, mapping: str, registry: str, out: str) -> None:
     rows = indicatori_costituzionali(tables.read_mapping(spark, mapping), tables.read_registry(spark, registry))
-    tables.publish(rows.orderBy("articolo", "ordinal"), out, schemas.INDICATORI)
+    tables.publish(rows.orderBy("articolo", "ordinal"), out, schemas.INDICATORI)  # a curated list, read in order
 
 
 DATASETS = {

@@ -6,10 +6,11 @@ stands for "no number" in ``atti_promovimento`` and is left out.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexspark import fixed
+from lexspark.functions.arrays import each
 from lexspark.functions.text import digits_or
 from lexspark.operators import enrich, metrics
 
@@ -28,7 +29,7 @@ def maxims_by_article(maxims: DataFrame) -> DataFrame:
 
 
 def amendments_by_article(revisions: DataFrame) -> DataFrame:
-    return revisions.select(F.explode("articoli_modificati").alias("articolo"))
+    return revisions.select(each("articoli_modificati").alias("articolo"))
 
 
 def most_invoked(acts: DataFrame) -> DataFrame:
@@ -83,14 +84,12 @@ def without_implementing_law(articles: DataFrame, citations: DataFrame) -> DataF
 
 def article_scorecard(articles: DataFrame, acts: DataFrame, maxims: DataFrame, citations: DataFrame,
                       revisions: DataFrame, indicators: DataFrame) -> DataFrame:
-    rulings = maxims_by_article(maxims)
-    accepted: Column = F.col("esito") == fixed.ACCEPTED_OUTCOME
-    counted = metrics.scorecard(article_numbers(articles), "articolo", {
-        "invocazioni": acts_by_article(acts),
-        "massime": rulings,
-        "accolte": (rulings, accepted),
-        "citazioni": citations,
-        "revisioni": amendments_by_article(revisions),
-        "indicatori": indicators,
-    })
+    every = F.lit(True)
+    counted = metrics.scorecard(article_numbers(articles), "articolo", [
+        (acts_by_article(acts), {"invocazioni": every}),
+        (maxims_by_article(maxims), {"massime": every, "accolte": F.col("esito") == fixed.ACCEPTED_OUTCOME}),
+        (citations, {"citazioni": every}),
+        (amendments_by_article(revisions), {"revisioni": every}),
+        (indicators, {"indicatori": every}),
+    ])
     return counted.withColumn("pct_accolte", F.try_divide(F.col("accolte") * F.lit(100.0), F.col("massime")))

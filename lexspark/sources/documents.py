@@ -35,9 +35,12 @@ def read_documents(spark: SparkSession, path: str, glob: str = "*.md", must_exis
 
 
 def write_documents(documents: DataFrame, path: str, name: str = "documento", content: str = "contenuto") -> None:
-    """One text file per document, in a folder named after it."""
+    """One text file per document, in a folder named after it.
+
+    The writer ends each document with a newline, so the one it already has is left out.
+    """
+    ended = F.regexp_replace(F.col(content), r"\n\z", "").alias("contenuto")
     (
-        schemas.select_as(documents.withColumnsRenamed({name: "documento", content: "contenuto"}), schemas.TESTO)
-        .repartition("documento")
-        .write.mode("overwrite").partitionBy("documento").option("lineSep", "\u0000").text(path)
+        documents.select(F.col(name).alias("documento"), ended)
+        .write.mode("overwrite").partitionBy("documento").text(path)
     )

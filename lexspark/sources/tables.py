@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexspark import fixed, schemas
+from lexspark.functions.arrays import each_with_position
 from lexspark.functions.text import join_numbers, or_empty
 from lexspark.operators.enrich import last_per_key
 
@@ -23,12 +26,11 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     ])
 
 
-def write_csv(df: DataFrame, path: str, columns: list[str] | None = None) -> None:
+def write_csv(df: DataFrame, path: str) -> None:
     """Header, doubled quotes, null as empty cell; arrays become ``", "``-joined text."""
-    chosen = columns or df.columns
     flat = [
-        join_numbers(F.col(c)).alias(c) if isinstance(df.schema[c].dataType, T.ArrayType) else F.col(c)
-        for c in chosen
+        join_numbers(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.ArrayType) else F.col(f.name)
+        for f in df.schema
     ]
     df.select(*flat).write.mode("overwrite").options(
         **_CSV, emptyValue="", nullValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
@@ -40,21 +42,21 @@ def write_parquet(df: DataFrame, path: str, schema: T.StructType, partition_by:
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
-def publish(df: DataFrame, path: str, schema: T.StructType, csv_columns: list[str] | None = None,
-            csv: DataFrame | None = None, required: bool = False) -> bool:
+def publish(df: DataFrame, path: str, schema: T.StructType,
+            text_form: Callable[[DataFrame], DataFrame] | None = None, required: bool = False) -> bool:
     """Write ``path/parquet`` and ``path/csv``; an empty result is not written.
 
     The CSV twin is read back from the Parquet files, so the job that makes the table runs once.
-    ``csv`` replaces the twin's rows where the text form differs from the typed one. ``required``
-    turns an empty result into an error.
+    ``text_form`` adjusts the twin where its text differs from the typed columns. ``required``
+    turns an empty result into an error. Rows are not sorted: order is for whoever presents them.
     """
     if df.isEmpty():
         if required:
             raise ValueError(f"nothing to publish at {path}")
         return False
     write_parquet(df, f"{path}/parquet", schema)
-    twin = df.sparkSession.read.schema(schema).parquet(f"{path}/parquet") if csv is None else csv
-    write_csv(twin, f"{path}/csv", csv_columns)
+    written = df.sparkSession.read.schema(schema).parquet(f"{path}/parquet")
+    write_csv(text_form(written) if text_form else written, f"{path}/csv")
     return True
 
 
@@ -84,19 +86,24 @@ def registry_entries(documents: DataFrame, datasets: str, order_by: tuple[Column
     ``datasets`` is an array of JSON objects as text, so that a key that is absent can be told
     from one that is null.
     """
-    orders = [c.alias(f"_o{i}") for i, c in enumerate(order_by)]
-    flat = documents.select(*orders, F.posexplode(datasets).alias("_pos", "_ds"))
-    ds = F.from_json("_ds", "slug string, name string, source string")
-    keys = F.json_object_keys("_ds")
-    rows = flat.select(
-        *[f"_o{i}" for i in range(len(orders))], "_pos",
-        or_empty(ds["slug"]).alias("dataset_slug"),
-        F.array_contains(keys, "name").alias("has_name"), ds["name"].alias("name"),
-        F.array_contains(keys, "source").alias("has_source"), ds["source"].alias("source"),
-    ).where(F.col("dataset_slug") != "")
-    return last_per_key(rows, "dataset_slug", *[F.col(f"_o{i}") for i in range(len(orders))], F.col("_pos")).drop(
-        "_pos", *[f"_o{i}" for i in range(len(orders))]
+    order_names = [f"_o{i}" for i in range(len(order_by))]
+    flat = documents.select(
+        *[c.alias(n) for c, n in zip(order_by, order_names, strict=True)],
+        each_with_position(datasets).alias("_pos", "_ds"),
     )
+    parsed = flat.select(
+        *order_names, "_pos",
+        F.from_json("_ds", "slug string, name string, source string").alias("_d"),
+        F.json_object_keys("_ds").alias("_keys"),
+    )
+    rows = parsed.select(
+        *order_names, "_pos",
+        or_empty(F.col("_d.slug")).alias("dataset_slug"),
+        F.array_contains("_keys", "name").alias("has_name"), F.col("_d.name").alias("name"),
+        F.array_contains("_keys", "source").alias("has_source"), F.col("_d.source").alias("source"),
+    ).where(F.col("dataset_slug") != "")
+    newest = [F.col(n) for n in (*order_names, "_pos")]
+    return last_per_key(rows, "dataset_slug", *newest).drop("_pos", *order_names)
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
