@@ -89,7 +89,10 @@ def nested_xml_members(archives: DataFrame) -> DataFrame:
         ), schema)
 
     packed = archives.select("archive", "content").mapInArrow(outer, MEMBER)
-    return packed.repartition("archive", "member").mapInArrow(inner, MEMBER)
+    # With the number given, AQE does not merge partitions by their packed size, which is far
+    # below that of the work in them.
+    tasks = int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return packed.repartition(tasks, "archive", "member").mapInArrow(inner, MEMBER)
 
 
 # --- records -----------------------------------------------------------------------------------
@@ -163,7 +166,9 @@ def read_rulings(members: DataFrame) -> DataFrame:
     return _records(members, "pronuncia", True, False, ruling, schemas.RULING)
 
 
-# --- XML that is already a column --------------------------------------------------------------
+# --- XML in a column or in unpacked files ------------------------------------------------------
+# The JVM alone. These readers differ from the archive readers where XML is irregular: of repeated
+# children they take the last, and inline markup in a text stays in it.
 ACT_XML = schemas.struct("_anno", "_numero", ("numero_parte", T.ArrayType(schemas.struct(
     "_VALUE",
     ("norme", schemas.struct(("norma", T.ArrayType(schemas.ACT_NORM)))),
@@ -178,34 +183,54 @@ RULING_XML = schemas.struct(("pronuncia_testata", schemas.RULING_HEAD), ("massim
 )))
 
 
-def _from_xml(xml: Column, shape: T.StructType, fail_fast: bool) -> Column:
-    return F.from_xml(xml, shape, {
-        "mode": "FAILFAST" if fail_fast else "PERMISSIVE",
-        "ignoreSurroundingSpaces": "false",
-    })
+def _parse_options(fail_fast: bool) -> dict[str, str]:
+    return {"mode": "FAILFAST" if fail_fast else "PERMISSIVE", "ignoreSurroundingSpaces": "false"}
 
 
-def acts_from_column(df: DataFrame, xml: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``(keep, record)`` from a column with one ``<atto>`` per row. JVM only."""
-    parsed = df.select(*keep, _from_xml(F.col(xml), ACT_XML, True).alias("_x"))
-    return parsed.select(*keep, F.struct(
-        F.col("_x._anno").alias("anno"), F.col("_x._numero").alias("numero"),
-        F.transform("_x.numero_parte", lambda p: F.struct(
+def _act_record(xml: str) -> Column:
+    return F.struct(
+        F.col(f"{xml}._anno").alias("anno"), F.col(f"{xml}._numero").alias("numero"),
+        F.transform(f"{xml}.numero_parte", lambda p: F.struct(
             p["_VALUE"].alias("numero_parte"),
             p["norme"]["norma"].alias("norme"),
             p["parametri"]["parametro"].alias("parametri"),
         )).alias("parti"),
-    ).alias("record"))
+    ).alias("record")
 
 
-def rulings_from_column(df: DataFrame, xml: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``(keep, record)`` from a column with one ``<pronuncia>`` per row. JVM only."""
-    parsed = df.select(*keep, _from_xml(F.col(xml), RULING_XML, False).alias("_x"))
-    return parsed.select(*keep, F.struct(
-        F.col("_x.pronuncia_testata").alias("testata"),
-        F.transform("_x.massime.massima", lambda m: F.struct(
+def _ruling_record(xml: str) -> Column:
+    return F.struct(
+        F.col(f"{xml}.pronuncia_testata").alias("testata"),
+        F.transform(f"{xml}.massime.massima", lambda m: F.struct(
             m["numero"].alias("numero"), m["testo"].alias("testo"),
             m["parametri"]["parametro"].alias("parametri"),
             m["norme"]["norma"].alias("norme"),
         )).alias("massime"),
-    ).alias("record"))
+    ).alias("record")
+
+
+def acts_from_column(df: DataFrame, xml: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(keep, record)`` from a column with one ``<atto>`` per row; malformed XML is an error."""
+    parsed = df.select(*keep, F.from_xml(F.col(xml), ACT_XML, _parse_options(True)).alias("_x"))
+    return parsed.select(*keep, _act_record("_x"))
+
+
+def rulings_from_column(df: DataFrame, xml: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(keep, record)`` from a column with one ``<pronuncia>`` per row; malformed XML has no header."""
+    parsed = df.select(*keep, F.from_xml(F.col(xml), RULING_XML, _parse_options(False)).alias("_x"))
+    return parsed.select(*keep, _ruling_record("_x"))
+
+
+def _files(spark: SparkSession, path: str, tag: str, shape: T.StructType, fail_fast: bool) -> DataFrame:
+    read = spark.read.format("xml").options(rowTag=tag, **_parse_options(fail_fast)).schema(shape).load(path)
+    return read.select(F.struct(*shape.names).alias("_x"))
+
+
+def acts_from_files(spark: SparkSession, path: str) -> DataFrame:
+    """``(record)`` from unpacked XML files. Large files are split; acts are found at any depth."""
+    return _files(spark, path, "atto", ACT_XML, True).select(_act_record("_x"))
+
+
+def rulings_from_files(spark: SparkSession, path: str) -> DataFrame:
+    """``(record)`` from unpacked XML files. Large files are split; a malformed ruling is left out."""
+    return _files(spark, path, "pronuncia", RULING_XML, False).select(_ruling_record("_x"))
