@@ -43,13 +43,20 @@ def _query(name: str, sql: str | None = None):
     return register
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def _table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{name}.parquet")
+    """A table; its schema is looked up in the files once, not by a job for every query."""
+    path = f"{root}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _wide(spark: SparkSession, root: str, name: str, *columns: str) -> DataFrame:
     """Columns of a table whose rows are work: whole texts, composed documents."""
-    return spread(_table(spark, root, name).select(*columns))
+    return spread(_table(spark, root, name), columns)
 
 
 def _text(value: Column | str) -> Column:
@@ -229,7 +236,7 @@ def _enrich_registry(spark: SparkSession, root: str) -> DataFrame:
     )
     source = F.when(kind == "click", F.concat(F.lit(', "source": "da '), kind, F.lit('"'))).otherwise(F.lit(""))
     entry = F.concat(F.lit('{"slug": "user_'), _text("user_id"), F.lit('"'), name, source, F.lit("}"))
-    events = _table(spark, root, "events").select(
+    events = _wide(spark, root, "events", "event_id", "user_id", "event_type").select(
         "event_id", F.array(F.lit('{"slug": "", "name": "x"}'), entry).alias("datasets")
     )
     registry = tables.registry_entries(events, "datasets", (F.col("event_id"),))
@@ -714,15 +721,23 @@ def _pack(rows: DataFrame, build: Callable[[str], bytes]) -> DataFrame:
 def _packers() -> tuple[Callable[[str], bytes], Callable[[str], bytes]]:
     """A register archive, and an archive of archives with one malformed member."""
 
+    ignored = (
+        '<atto anno="1" numero="1"><numero_parte><parametri><parametro><descrizione>Costituzione</descrizione>'
+        "<articolo>1</articolo></parametro></parametri></numero_parte></atto>"
+    )
+
     def register(xml: str) -> bytes:
-        body = f'<?xml version="1.0" encoding="UTF-8"?><registro>\n{xml}\n<altro>{xml}</altro></registro>'.encode()
-        return pack_members([("leggimi.txt", b"x"), ("registro.xml", body), ("secondo.xml", body)])
+        body = f'<?xml version="1.0" encoding="UTF-8"?><registro>\n{xml}\n<altro>{ignored}</altro></registro>'
+        return pack_members([
+            ("leggimi.txt", b"x"), ("registro.xml", body.encode()), ("secondo.xml", f"<r>{ignored}</r>".encode()),
+        ])
 
     def nested(xml: str) -> bytes:
         good = f'<?xml version="1.0" encoding="ISO-8859-1"?><raccolta><anno>{xml}</anno></raccolta>'.encode("latin-1")
+        broken = f"<raccolta>{xml[:xml.index('</pronuncia>') + 12]}".encode()
         return pack_members([
             ("b.zip", pack_members([("massime_2001.xml", good), ("leggimi.txt", b"x")])),
-            ("a.zip", pack_members([("rotto.xml", good[:-9])])),
+            ("a.zip", pack_members([("rotto.xml", broken)])),
             ("leggimi.txt", b"x"),
         ])
 

@@ -68,13 +68,13 @@ def revisioni(laws: DataFrame, text: str = "value", name: str = "file_name",
 def atti_promovimento(zips: DataFrame, kinds: dict[str, str] = fixed.ARCHIVE_KINDS) -> DataFrame:
     """Register archives (``archive, content``) to constitutional parameters."""
     known = zips.where(archives.file_name(F.col("archive")).isin(list(kinds)))
-    records = archives.read_acts(archives.xml_members(known))
+    records = archives.read_acts(known)
     return flatten.flatten_acts(records, archives.archive_kind(F.col("archive"), kinds))
 
 
 def massime(zips: DataFrame) -> DataFrame:
     """Maxim archives (``archive, content``), ZIP in ZIP, to maxim x parameter x norm rows."""
-    return flatten.flatten_maxims(archives.read_rulings(archives.nested_xml_members(zips)))
+    return flatten.flatten_maxims(archives.read_rulings(zips))
 
 
 def citazioni_legislative(citations: DataFrame, articles: DataFrame | None) -> DataFrame:

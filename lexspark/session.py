@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,11 +41,16 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def spread(table: DataFrame) -> DataFrame:
-    """Use all cores on a table scanned in fewer tasks than there are cores; otherwise unchanged.
+def spread(table: DataFrame, columns: Sequence[str] = ("*",)) -> DataFrame:
+    """Columns of a file table, dealt out to all cores if the table is too small to be.
 
-    For work per row that outweighs moving the row. A table large enough to fill the cluster is
+    For work per row that outweighs moving the row. Spark scans a table in at least as many tasks
+    as there are cores once it holds ``spark.sql.files.openCostInBytes`` per core; such a table is
     left where it is.
     """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+    spark = table.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    enough = spark._jvm.org.apache.spark.sql.internal.SQLConf.get().filesOpenCostInBytes() * cores
+    size = int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    chosen = table.select(*columns)
+    return chosen.repartition(cores) if size < enough else chosen

@@ -22,7 +22,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from lexspark import fixed, schemas
 from lexspark.sources.members import (
-    Element, batches_of, leaves, log, own_text, read_elements, rows_of, unpack, well_formed,
+    Element, batches_of, first_xml, inner_archives, inner_xml, leaves, malformed, own_text, read_elements,
 )
 
 MEMBER = schemas.struct("archive", "member", ("content", T.BinaryType()))
@@ -52,77 +52,48 @@ def member_year(member: Column) -> Column:
     return F.coalesce(F.nullif(F.regexp_extract(member, r"(\d{4})", 1), F.lit("")), F.lit("??"))
 
 
-def xml_members(archives: DataFrame) -> DataFrame:
-    """The first ``.xml`` member of each archive; an archive without one is skipped."""
-    schema = to_arrow_schema(MEMBER)
+def _in_tasks(df: DataFrame, task: Callable[[Iterable[pa.RecordBatch]], Iterator[dict]],
+              output: T.StructType) -> DataFrame:
+    schema = to_arrow_schema(output)
 
-    def first_xml(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Iterator[dict]:
-            for row in rows_of(batches):
-                found = list(unpack(row["content"], ".xml", first_only=True))
-                if not found:
-                    log.warning("no XML in %s", row["archive"])
-                for member, content in found:
-                    yield {"archive": row["archive"], "member": member, "content": content}
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from batches_of(task(batches), schema)
 
-        yield from batches_of(rows(), schema)
+    return df.mapInArrow(run, output)
 
-    return archives.select("archive", "content").mapInArrow(first_xml, MEMBER)
 
+def _spread_inner(archives: DataFrame) -> DataFrame:
+    """The inner archives, still packed, spread over the tasks.
 
-def nested_xml_members(archives: DataFrame) -> DataFrame:
-    """Every ``.xml`` member of every ``.zip`` member; ``member`` is ``inner.zip/file.xml``."""
-    schema = to_arrow_schema(MEMBER)
-
-    def outer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from batches_of((
-            {"archive": row["archive"], "member": member, "content": content}
-            for row in rows_of(batches)
-            for member, content in unpack(row["content"], ".zip")
-        ), schema)
-
-    def inner(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from batches_of((
-            {"archive": row["archive"], "member": f"{row['member']}/{member}", "content": content}
-            for row in rows_of(batches)
-            for member, content in unpack(row["content"], ".xml")
-        ), schema)
-
-    packed = archives.select("archive", "content").mapInArrow(outer, MEMBER)
-    # With the number given, AQE does not merge partitions by their packed size, which is far
-    # below that of the work in them.
+    With the number of partitions given, AQE does not merge them by their packed size, which is
+    far below that of the work in them.
+    """
     tasks = int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return packed.repartition(tasks, "archive", "member").mapInArrow(inner, MEMBER)
+    packed = _in_tasks(archives.select("archive", "content"), inner_archives, MEMBER)
+    return packed.repartition(tasks, "archive", "member")
 
 
-# --- records -----------------------------------------------------------------------------------
-def _records(members: DataFrame, tag: str, any_depth: bool, fail_fast: bool,
-             build: Callable[[Element], dict], shape: T.StructType) -> DataFrame:
-    output = schemas.struct("archive", "member", ("record", shape))
-    schema = to_arrow_schema(output)
-
-    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from batches_of(read_elements(batches, tag, any_depth, fail_fast, build), schema)
+def nested_xml_members(archives: DataFrame) -> DataFrame:
+    """Every ``.xml`` member of every ``.zip`` member; ``member`` is ``inner.zip/file.xml``."""
+    return _in_tasks(_spread_inner(archives), inner_xml, MEMBER)
 
-    return members.mapInArrow(read, output)
 
+def malformed_members(archives: DataFrame) -> DataFrame:
+    """``(archive, member)`` of the files that ``read_rulings`` leaves out."""
+    return _in_tasks(_spread_inner(archives), lambda b: malformed(inner_xml(b)), schemas.struct("archive", "member"))
 
-def malformed_members(members: DataFrame) -> DataFrame:
-    """``(archive, member)`` of the files ``read_rulings`` leaves out."""
-    output = schemas.struct("archive", "member")
-    schema = to_arrow_schema(output)
 
-    def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from batches_of((
-            {"archive": row["archive"], "member": row["member"]}
-            for row in rows_of(batches) if not well_formed(row["content"])
-        ), schema)
+# --- records -----------------------------------------------------------------------------------
+# Unpacking and reading share a task, so unpacked XML never leaves the worker.
+def _record(shape: T.StructType) -> T.StructType:
+    return schemas.struct("archive", "member", ("record", shape))
 
-    return members.mapInArrow(check, output)
 
+def read_acts(archives: DataFrame) -> DataFrame:
+    """``(archive, member, record)`` per act directly below the root of the first XML member.
 
-def read_acts(members: DataFrame) -> DataFrame:
-    """``(archive, member, record)`` per act directly below the root; malformed XML is an error."""
+    An archive without XML is skipped; malformed XML is an error.
+    """
     lists = {
         "norme": ("norma", tuple(schemas.ACT_NORM.names)),
         "parametri": ("parametro", tuple(schemas.ACT_PARAMETER.names)),
@@ -139,11 +110,17 @@ def read_acts(members: DataFrame) -> DataFrame:
         parts = [part(p) for p in element.findall("numero_parte")]
         return {"anno": element.get("anno", ""), "numero": element.get("numero", ""), "parti": parts}
 
-    return _records(members, "atto", False, True, act, schemas.ACT)
+    return _in_tasks(
+        archives.select("archive", "content"),
+        lambda b: read_elements(first_xml(b), "atto", False, True, act), _record(schemas.ACT),
+    )
+
 
+def read_rulings(archives: DataFrame) -> DataFrame:
+    """``(archive, member, record)`` per ruling at any depth of the XML in the inner archives.
 
-def read_rulings(members: DataFrame) -> DataFrame:
-    """``(archive, member, record)`` per ruling at any depth; a malformed file gives no rows."""
+    A malformed file gives no rows.
+    """
     head_names = tuple(schemas.RULING_HEAD.names)
     lists = {
         "parametri": ("parametro", tuple(schemas.MAXIM_PARAMETER.names)),
@@ -163,7 +140,10 @@ def read_rulings(members: DataFrame) -> DataFrame:
             "massime": [maxim(m) for m in element.findall(".//massima")],
         }
 
-    return _records(members, "pronuncia", True, False, ruling, schemas.RULING)
+    return _in_tasks(
+        _spread_inner(archives),
+        lambda b: read_elements(inner_xml(b), "pronuncia", True, False, ruling), _record(schemas.RULING),
+    )
 
 
 # --- XML in a column or in unpacked files ------------------------------------------------------

@@ -54,9 +54,33 @@ def unpack(packed: bytes, suffix: str, first_only: bool = False) -> Iterator[tup
             yield name, archive.read(name)
 
 
+def first_xml(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
+    """The first ``.xml`` member of each archive; an archive without one is skipped."""
+    for row in rows_of(batches):
+        found = list(unpack(row["content"], ".xml", first_only=True))
+        if not found:
+            log.warning("no XML in %s", row["archive"])
+        for member, content in found:
+            yield {"archive": row["archive"], "member": member, "content": content}
+
+
+def inner_archives(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
+    """Every ``.zip`` member of each archive, still packed."""
+    for row in rows_of(batches):
+        for member, content in unpack(row["content"], ".zip"):
+            yield {"archive": row["archive"], "member": member, "content": content}
+
+
+def inner_xml(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
+    """Every ``.xml`` member of each inner archive."""
+    for row in rows_of(batches):
+        for member, content in unpack(row["content"], ".xml"):
+            yield {"archive": row["archive"], "member": f"{row['member']}/{member}", "content": content}
+
+
 def pack_members(members: Iterable[tuple[str, bytes]]) -> bytes:
     out = io.BytesIO()
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as archive:
         for name, content in members:
             archive.writestr(name, content)
     return out.getvalue()
@@ -66,11 +90,16 @@ class _Discard:
     """Parser target that builds nothing."""
 
 
-def well_formed(content: bytes) -> bool:
+def check(content: bytes) -> None:
+    """Raise ``ParseError`` if the XML is malformed."""
     parser = ElementTree.XMLParser(target=_Discard())
+    parser.feed(content)
+    parser.close()
+
+
+def well_formed(content: bytes) -> bool:
     try:
-        parser.feed(content)
-        parser.close()
+        check(content)
         return True
     except ElementTree.ParseError:
         return False
@@ -79,14 +108,14 @@ def well_formed(content: bytes) -> bool:
 _TREE_BYTES = 8 << 20
 
 
-def elements(content: bytes, tag: str, any_depth: bool) -> Iterator[Element]:
-    """The elements called ``tag`` below the root.
-
-    A large file is streamed, and elements that are done with are freed.
-    """
+def elements(content: bytes, tag: str, any_depth: bool) -> Iterable[Element]:
+    """The elements called ``tag`` below the root; a large file is streamed."""
     if len(content) <= _TREE_BYTES:
-        yield from ElementTree.fromstring(content).findall(f".//{tag}" if any_depth else tag)
-        return
+        return ElementTree.fromstring(content).findall(f".//{tag}" if any_depth else tag)
+    return _stream(content, tag, any_depth)
+
+
+def _stream(content: bytes, tag: str, any_depth: bool) -> Iterator[Element]:
     path: list[Element] = []
     inside = 0
     for event, element in ElementTree.iterparse(io.BytesIO(content), events=("start", "end")):
@@ -100,7 +129,7 @@ def elements(content: bytes, tag: str, any_depth: bool) -> Iterator[Element]:
             if any_depth or len(path) == 1:
                 yield element
         if path and not inside:
-            path[-1].remove(element)
+            path[-1].remove(element)  # done with: free it
 
 
 def own_text(parent: Element, tag: str) -> str | None:
@@ -113,13 +142,27 @@ def leaves(element: Element, names: tuple[str, ...]) -> dict:
     return {name: own_text(element, name) for name in names}
 
 
-def read_elements(batches: Iterable[pa.RecordBatch], tag: str, any_depth: bool, fail_fast: bool,
+def malformed(members: Iterable[dict]) -> Iterator[dict]:
+    for row in members:
+        if not well_formed(row["content"]):
+            yield {"archive": row["archive"], "member": row["member"]}
+
+
+def read_elements(members: Iterable[dict], tag: str, any_depth: bool, fail_fast: bool,
                   build: Callable[[Element], dict]) -> Iterator[dict]:
-    for row in rows_of(batches):
-        if not fail_fast and not well_formed(row["content"]):
+    """Records of every file. A malformed file is an error or gives no record at all."""
+    for row in members:
+        content = row["content"]
+        try:
+            if len(content) > _TREE_BYTES and not fail_fast:
+                check(content)
+            found = elements(content, tag, any_depth)
+        except ElementTree.ParseError:
+            if fail_fast:
+                raise
             log.info("malformed XML in %s/%s", row["archive"], row["member"])
             continue
-        for element in elements(row["content"], tag, any_depth):
+        for element in found:
             yield {"archive": row["archive"], "member": row["member"], "record": build(element)}
 
 

@@ -105,7 +105,7 @@ def test_maxims(spark, tmp_path):
     }
     assert table.count() == 7
     found = archives.nested_xml_members(read)
-    assert {r.member for r in archives.malformed_members(found).collect()} == {"b.zip/m_1961.xml", "a.zip/vuoto.xml"}
+    assert {r.member for r in archives.malformed_members(read).collect()} == {"b.zip/m_1961.xml", "a.zip/vuoto.xml"}
     years = found.select(archives.member_year(F.substring_index("member", "/", -1))).collect()
     assert {r[0] for r in years} == {"1960", "1961", "1970", "??"}
 
@@ -132,7 +132,8 @@ def test_packed_members_of_one_archive_spread(spark):
 def test_columns_and_archives_agree(spark):
     xml = "<atto anno='2020' numero='7'><numero_parte>2<norme><norma><descrizione>l</descrizione></norma></norme><parametri><parametro><descrizione>Costituzione</descrizione><articolo>3</articolo></parametro></parametri></numero_parte></atto>"
     from_column = archives.acts_from_column(spark.createDataFrame([(xml,)], "xml string"), "xml")
-    packed = spark.createDataFrame([("a.zip", "m", bytearray(f"<r>{xml}</r>".encode()))], "archive string, member string, content binary")
+    packed = spark.createDataFrame(
+        [("a.zip", bytearray(pack_members([("m.xml", f"<r>{xml}</r>".encode())])))], "archive string, content binary")
     flat = [
         [tuple(r) for r in datasets.flatten.flatten_acts(df, F.lit("t")).collect()]
         for df in (from_column, archives.read_acts(packed).select("record"))
