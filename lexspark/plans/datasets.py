@@ -98,11 +98,12 @@ def publish_articoli(spark: SparkSession, markdown: str, out: str) -> None:
 
 
 def publish_revisioni(spark: SparkSession, corpus: str, out: str) -> None:
-    tables.publish(revisioni(documents.read_documents(spark, corpus)), out, schemas.REVISIONI, required=True)
+    tables.publish(revisioni(documents.read_documents(spark, corpus)), out, schemas.REVISIONI, when_empty="error")
 
 
 def publish_atti_promovimento(spark: SparkSession, zips: str, out: str) -> bool:
-    return tables.publish(atti_promovimento(archives.read_archives(spark, zips)), out, schemas.ATTI_PROMOVIMENTO)
+    acts = atti_promovimento(archives.read_archives(spark, zips))
+    return tables.publish(acts, out, schemas.ATTI_PROMOVIMENTO, when_empty="skip")
 
 
 def publish_massime(spark: SparkSession, zips: str, out: str) -> None:
@@ -112,8 +113,7 @@ def publish_massime(spark: SparkSession, zips: str, out: str) -> None:
 def publish_citazioni(spark: SparkSession, citations: str, articles: str, out: str) -> None:
     known = spark.read.parquet(articles).select("articolo", "testo") if documents.path_exists(spark, articles) else None
     rows = citazioni_legislative(spark.read.parquet(citations), known)
-    schema = schemas.CITAZIONI if known is not None else schemas.without(schemas.CITAZIONI, "articolo_testo")
-    tables.publish(rows, out, schema)
+    tables.publish(rows, out, rows.schema)  # types are those of the upstream table
 
 
 def publish_indicatori(spark: SparkSession, mapping: str, registry: str, out: str) -> None:

@@ -74,7 +74,3 @@ RULING = struct(("testata", RULING_HEAD), ("massime", T.ArrayType(struct(
 def select_as(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project ``df`` to the columns, order and types of ``schema``."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
-
-
-def without(schema: T.StructType, column: str) -> T.StructType:
-    return T.StructType([f for f in schema if f.name != column])

@@ -43,15 +43,16 @@ def write_parquet(df: DataFrame, path: str, schema: T.StructType, partition_by:
 
 
 def publish(df: DataFrame, path: str, schema: T.StructType,
-            text_form: Callable[[DataFrame], DataFrame] | None = None, required: bool = False) -> bool:
-    """Write ``path/parquet`` and ``path/csv``; an empty result is not written.
+            text_form: Callable[[DataFrame], DataFrame] | None = None, when_empty: str = "write") -> bool:
+    """Write ``path/parquet`` and ``path/csv``; true if they were written.
 
     The CSV twin is read back from the Parquet files, so the job that makes the table runs once.
-    ``text_form`` adjusts the twin where its text differs from the typed columns. ``required``
-    turns an empty result into an error. Rows are not sorted: order is for whoever presents them.
+    ``text_form`` adjusts the twin where its text differs from the typed columns. An empty table
+    is written, left alone or an error (``when_empty`` = ``write``, ``skip`` or ``error``). Rows
+    are not sorted: order is for whoever presents them.
     """
-    if df.isEmpty():
-        if required:
+    if when_empty != "write" and df.isEmpty():
+        if when_empty == "error":
             raise ValueError(f"nothing to publish at {path}")
         return False
     write_parquet(df, f"{path}/parquet", schema)

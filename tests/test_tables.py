@@ -228,6 +228,10 @@ def test_publish(spark, tmp_path):
         datasets.publish_revisioni(spark, str(tmp_path / "manca"), str(tmp_path / "rev"))
     (tmp_path / "zip").mkdir()
     assert not (tmp_path / "rev").exists()
+    assert not datasets.publish_atti_promovimento(spark, str(tmp_path / "zip"), str(tmp_path / "atti"))
+    assert not (tmp_path / "atti").exists()
+    datasets.publish_massime(spark, str(tmp_path / "zip"), str(tmp_path / "massime"))
+    assert spark.read.parquet(str(tmp_path / "massime" / "parquet")).columns == schemas.MASSIME.names
 
 
 def test_publish_citations(spark, tmp_path):
