@@ -22,7 +22,7 @@ from lexspark.functions.text import join_numbers, numbers_in
 from lexspark.operators import enrich, flatten, metrics, quality, segment, verdicts
 from lexspark.plans import datasets, questions
 from lexspark.session import shared_dir, spread
-from lexspark.sources import archives, tables
+from lexspark.sources import archives, documents, tables
 from lexspark.sources.members import pack_members
 
 
@@ -791,6 +791,25 @@ def _csv_parquet_roundtrip(spark: SparkSession, root: str) -> DataFrame:
     return csv.drop("sezione", "heading").join(typed, "articolo")
 
 
+@_query("documents_roundtrip", r"""
+    SELECT 'leggi-' || s_suppkey AS documento, '---' || chr(10) || 'tipo: PROVA' || chr(10) || '---' || chr(10) || chr(10)
+        || '# ' || s_name || chr(10) || chr(10) || '## Titolo Voce' || chr(10) || '### Sezione ' || s_nationkey || chr(10)
+        || '## Art. ' || s_suppkey || chr(10) || 'testo in riga' || chr(10) || 'e' || chr(10) || 'a capo fine' || chr(10) || chr(10)
+        || '*corsivo* e **grassetto**' || chr(10) || '### I' || chr(10) || '# ' || s_name || chr(10) AS contenuto
+    FROM supplier
+""")
+def _documents_roundtrip(spark: SparkSession, root: str) -> DataFrame:
+    """Wikitext to Markdown files, one per supplier, and back."""
+    section = F.concat(F.lit("Sezione "), _text("s_nationkey"))
+    pages = _table(spark, root, "supplier").select(
+        F.concat(F.lit("leggi-"), _text("s_suppkey")).alias("file_name"),
+        _wikitext(F.col("s_name"), section, _text("s_suppkey")).alias("value"),
+    )
+    out = shared_dir(spark, "testo")
+    documents.write_documents(datasets.testo(pages, frontmatter="---\ntipo: PROVA\n---\n"), out)
+    return documents.read_written_documents(spark, out)
+
+
 @_query("array_csv_roundtrip", """
     SELECT doc_id AS urn, array_to_string([try_cast(n AS BIGINT) FOR n IN regexp_extract_all(text, '[0-9]+')], ', ') AS articoli_modificati
     FROM documents
@@ -827,8 +846,8 @@ def _array_csv_roundtrip(spark: SparkSession, root: str) -> DataFrame:
     UNION ALL SELECT 'column testo', false, 0
 """)
 def _dq_report(spark: SparkSession, root: str) -> DataFrame:
-    documents = _wide(spark, root, "documents", "doc_id", "lang", "n_chars", "text")
-    with_numbers = documents.withColumn("numbers", numbers_in(F.col("text")))
+    docs = _wide(spark, root, "documents", "doc_id", "lang", "n_chars", "text")
+    with_numbers = docs.withColumn("numbers", numbers_in(F.col("text")))
     report = quality.dq_report(with_numbers, [
         quality.rows_at_least(200),
         quality.not_null_exactly("doc_id", 1000),
@@ -843,6 +862,6 @@ def _dq_report(spark: SparkSession, root: str) -> DataFrame:
     ])
     return (
         report
-        .unionByName(quality.reference_report(documents, _table(spark, root, "labels"), "doc_id"))
-        .unionByName(quality.schema_report(documents, {"text": "string", "testo": None}))
+        .unionByName(quality.reference_report(docs, _table(spark, root, "labels"), "doc_id"))
+        .unionByName(quality.schema_report(docs, {"text": "string", "testo": None}))
     )

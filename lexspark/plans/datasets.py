@@ -89,11 +89,11 @@ def indicatori_costituzionali(mapping: DataFrame, registry: DataFrame) -> DataFr
 
 # --- jobs: read landed files, publish Parquet and CSV -------------------------------------------
 def publish_testo(spark: SparkSession, wikitext: str, out: str) -> None:
-    documents.write_documents(testo(documents.read_documents(spark, wikitext, "*", must_exist=True)), out)
+    documents.write_documents(testo(documents.read_document(spark, wikitext)), out)
 
 
 def publish_articoli(spark: SparkSession, markdown: str, out: str) -> None:
-    docs = documents.read_documents(spark, markdown, must_exist=True)
+    docs = documents.read_document(spark, markdown)
     tables.publish(articoli(docs, "value", ()), out, schemas.ARTICOLI, articoli_csv)
 
 
@@ -111,7 +111,7 @@ def publish_massime(spark: SparkSession, zips: str, out: str) -> None:
 
 
 def publish_citazioni(spark: SparkSession, citations: str, articles: str, out: str) -> None:
-    known = spark.read.parquet(articles).select("articolo", "testo") if documents.path_exists(spark, articles) else None
+    known = documents.if_exists(lambda: spark.read.parquet(articles).select("articolo", "testo"))
     rows = citazioni_legislative(spark.read.parquet(citations), known)
     tables.publish(rows, out, rows.schema)  # types are those of the upstream table
 
@@ -121,22 +121,17 @@ def publish_indicatori(spark: SparkSession, mapping: str, registry: str, out: st
     tables.publish(rows.orderBy("articolo", "ordinal"), out, schemas.INDICATORI)  # a curated list, read in order
 
 
-DATASETS = {
-    "articoli": schemas.ARTICOLI,
-    "revisioni": schemas.REVISIONI,
-    "atti_promovimento": schemas.ATTI_PROMOVIMENTO,
-    "massime": schemas.MASSIME,
-    "citazioni_legislative": schemas.CITAZIONI,
-    "indicatori_costituzionali": schemas.INDICATORI,
-}
+DATASETS = (
+    "articoli", "revisioni", "atti_promovimento", "massime", "citazioni_legislative", "indicatori_costituzionali",
+)
 
 
 def register_views(spark: SparkSession, root: str) -> list[str]:
     """Temp views over the published Parquet, so the tables can be queried with Spark SQL."""
     found = []
     for name in DATASETS:
-        path = f"{root}/{name}/parquet"
-        if documents.path_exists(spark, path):
-            spark.read.parquet(path).createOrReplaceTempView(name)
+        table = documents.if_exists(lambda: spark.read.parquet(f"{root}/{name}/parquet"))  # noqa: B023
+        if table is not None:
+            table.createOrReplaceTempView(name)
             found.append(name)
     return found

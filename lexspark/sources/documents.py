@@ -2,36 +2,43 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexspark import schemas
 
+DOCUMENT = schemas.struct("file_name", "value")
 
-def _hadoop_path(spark: SparkSession, path: str):
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
 
+def if_exists(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """What ``read`` gives, or None if its path does not exist."""
+    try:
+        return read()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, jvm_path = _hadoop_path(spark, path)
-    return fs.exists(jvm_path)
 
+def _with_name(texts: DataFrame) -> DataFrame:
+    return texts.select(F.col("_metadata.file_name").alias("file_name"), "value")
 
-def read_documents(spark: SparkSession, path: str, glob: str = "*.md", must_exist: bool = False) -> DataFrame:
-    """``(file_name, value)`` of the files directly below a folder, or of one file.
 
-    A missing folder gives no rows; a missing single input (``must_exist``) is an error.
-    """
-    if not path_exists(spark, path):
-        if must_exist:
-            raise FileNotFoundError(path)
-        return spark.createDataFrame([], schemas.struct("file_name", "value"))
-    fs, jvm_path = _hadoop_path(spark, path)
-    reader = spark.read
-    if fs.getFileStatus(jvm_path).isDirectory():
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file_name"), "value")
+def read_documents(spark: SparkSession, folder: str, glob: str = "*.md") -> DataFrame:
+    """``(file_name, value)`` of the files directly in a folder; a missing folder gives no rows."""
+    found = if_exists(lambda: spark.read.option("pathGlobFilter", glob).text(folder, wholetext=True))
+    return spark.createDataFrame([], DOCUMENT) if found is None else _with_name(found)
+
+
+def read_document(spark: SparkSession, path: str) -> DataFrame:
+    """``(file_name, value)`` of one file, which has to exist."""
+    found = if_exists(lambda: spark.read.text(path, wholetext=True))
+    if found is None:
+        raise FileNotFoundError(path)
+    return _with_name(found)
 
 
 def write_documents(documents: DataFrame, path: str, name: str = "documento", content: str = "contenuto") -> None:
@@ -44,3 +51,9 @@ def write_documents(documents: DataFrame, path: str, name: str = "documento", co
         documents.select(F.col(name).alias("documento"), ended)
         .write.mode("overwrite").partitionBy("documento").text(path)
     )
+
+
+def read_written_documents(spark: SparkSession, path: str) -> DataFrame:
+    """``(documento, contenuto)`` as written by ``write_documents``."""
+    texts = spark.read.schema("value string, documento string").text(path, wholetext=True)
+    return texts.select("documento", F.col("value").alias("contenuto"))

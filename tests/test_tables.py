@@ -203,14 +203,15 @@ def test_documents(spark, tmp_path):
     (tmp_path / "sotto" / "d.md").write_text("no")
     docs = documents.read_documents(spark, str(tmp_path))
     assert rows(docs) == [("a.md", "é\nuno"), ("b.md", "due\n\n")]
-    assert rows(documents.read_documents(spark, str(tmp_path / "c.txt"))) == [("c.txt", "no")]
+    assert rows(documents.read_document(spark, str(tmp_path / "c.txt"))) == [("c.txt", "no")]
     assert rows(documents.read_documents(spark, str(tmp_path / "manca"))) == []
     with pytest.raises(FileNotFoundError):
-        documents.read_documents(spark, str(tmp_path / "manca"), must_exist=True)
+        documents.read_document(spark, str(tmp_path / "manca"))
     out = tmp_path / "out"
     documents.write_documents(docs.selectExpr("file_name AS documento", "value || '\\n' AS contenuto"), str(out))
     written = {p.parent.name: p.read_text("utf-8") for p in out.glob("*/part-*")}
     assert written == {"documento=a.md": "é\nuno\n", "documento=b.md": "due\n\n\n"}
+    assert rows(documents.read_written_documents(spark, str(out))) == [("a.md", "é\nuno\n"), ("b.md", "due\n\n\n")]
 
 
 def test_publish(spark, tmp_path):
