@@ -66,7 +66,7 @@ def body_numbers(
     blocks = F.filter(blocks, lambda b: F.lower(b).rlike("|".join(words)))
     linked = F.transform(blocks, lambda b: F.regexp_extract_all(b, F.lit(link), F.lit(link_group)))
     numbers = F.transform(F.flatten(linked), lambda n: n.try_cast("bigint"))
-    return F.array_sort(F.array_distinct(numbers))
+    return F.sort_array(F.array_distinct(numbers))
 
 
 def law_type(title: Column, numbers: Column) -> Column:

@@ -8,8 +8,9 @@ would not work for a group holding a large share of all rows, so the texts are n
   ``words - 1`` words of each text. Only these edges are folded, in order, in chunks of
   consecutive positions; each chunk yields its flags and again an edge.
 
-The fold takes three rounds of chunks of at most 65,536 entries, which covers positions up to
-2**48 with no task seeing more than one chunk of a group.
+A round folds chunks of at most 16,384 positions, and the last round what is left of a group.
+Three rounds cover positions up to 2**42 in pieces of that size. Fewer are enough, and faster, where
+positions are known to be small.
 """
 
 from __future__ import annotations
@@ -24,8 +25,8 @@ from lexspark.functions.rules import outcome_flags, outcome_of_flags
 from lexspark.functions.text import strip
 
 _CUT = " \x00 "
-_CHUNK_BITS = 16
-_ROUNDS = 3
+_CHUNK_BITS = 14
+_POSITION_BITS = 42
 
 
 def _first_words(text: Column, n: int) -> Column:
@@ -47,12 +48,14 @@ def group_outcome(
     text: str,
     patterns: Mapping[str, str] = fixed.OUTCOME_PATTERNS,
     words: int = fixed.OUTCOME_WORDS,
+    position_bits: int = _POSITION_BITS,
     chunk_bits: int = _CHUNK_BITS,
 ) -> DataFrame:
     """``(key, esito)``, one row per key.
 
     ``position`` is a non-negative integer that orders the texts of a group. A pattern may cover
-    at most ``words`` words, join them only by ``\\s+`` and not match U+0000.
+    at most ``words`` words, join them only by ``\\s+`` and not match U+0000. ``position_bits`` tells
+    how large positions get; larger ones only make the last round's pieces larger.
     """
     names = [f"_f{i}" for i in range(len(patterns))]
     flags = outcome_flags(F.col(text), patterns)
@@ -67,10 +70,11 @@ def group_outcome(
         return [F.bool_or(n).alias(n) for n in names]
 
     if words > 1:
-        for level in range(_ROUNDS):
-            chunk = F.lit(0).cast("bigint") if level == _ROUNDS - 1 else F.shiftright("_at", chunk_bits)
+        rounds = max(1, -(-position_bits // chunk_bits))
+        for left in reversed(range(rounds)):
+            chunk = F.shiftright("_at", chunk_bits) if left else F.lit(0).cast("bigint")
             joined = F.array_join(F.transform(
-                F.array_sort(F.collect_list(F.when(strip(F.col("_edge")) != "", F.struct("_at", "_edge")))),
+                F.sort_array(F.collect_list(F.when(strip(F.col("_edge")) != "", F.struct("_at", "_edge")))),
                 lambda e: e["_edge"],
             ), " ")
             folded = rows.groupBy(key, chunk.alias("_chunk")).agg(*merged(), joined.alias("_edge"))

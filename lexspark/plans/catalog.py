@@ -801,7 +801,7 @@ def _csv_parquet_roundtrip(spark: SparkSession, root: str) -> DataFrame:
 def _documents_roundtrip(spark: SparkSession, root: str) -> DataFrame:
     """Wikitext to Markdown files, one per supplier, and back."""
     section = F.concat(F.lit("Sezione "), _text("s_nationkey"))
-    pages = _table(spark, root, "supplier").select(
+    pages = _wide(spark, root, "supplier", "s_suppkey", "s_name", "s_nationkey").select(
         F.concat(F.lit("leggi-"), _text("s_suppkey")).alias("file_name"),
         _wikitext(F.col("s_name"), section, _text("s_suppkey")).alias("value"),
     )

@@ -96,8 +96,8 @@ def joined_outcome(texts):
     return "altro" if not hits else hits[0] if len(hits) == 1 else "misto"
 
 
-@pytest.mark.parametrize("chunk_bits", [1, 2, 16])
-def test_group_outcome_equals_joining(spark, chunk_bits):
+@pytest.mark.parametrize(("chunk_bits", "position_bits"), [(1, 3), (2, 11), (14, 42), (14, 5)])
+def test_group_outcome_equals_joining(spark, chunk_bits, position_bits):
     """Small chunks make matches cross chunk borders; group 0 holds a third of all rows."""
     rng = random.Random(chunk_bits)
     rows, groups = [], {}
@@ -109,7 +109,7 @@ def test_group_outcome_equals_joining(spark, chunk_bits):
         rows += [(key, 5 + gap * i, t) for i, t in enumerate(groups[key])]
     rng.shuffle(rows)
     df = spark.createDataFrame(rows, "k bigint, at bigint, t string")
-    got = dict(map(tuple, verdicts.group_outcome(df, "k", "at", "t", chunk_bits=chunk_bits).collect()))
+    got = dict(map(tuple, verdicts.group_outcome(df, "k", "at", "t", position_bits=position_bits, chunk_bits=chunk_bits).collect()))
     assert got == {key: joined_outcome(texts) for key, texts in groups.items()}
     assert len(set(got.values())) > 3
 
