@@ -32,9 +32,9 @@ def last_per_key(df: DataFrame, key: str, *order_by: Column) -> DataFrame:
 def lookup(left: DataFrame, right: DataFrame, key: str, columns: Mapping[str, Column]) -> DataFrame:
     """Left join to a table that is unique on ``key``; every left row stays, once.
 
-    ``columns`` are computed after the join; an unmatched row sees nulls and ``_found`` null.
+    ``columns`` are computed after the join; an unmatched row sees nulls.
     """
-    joined = left.join(right.withColumn("_found", F.lit(True)), key, "left")
+    joined = left.join(right, key, "left")
     return joined.select(*[F.col(c) for c in left.columns], *[c.alias(n) for n, c in columns.items()])
 
 

@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 
 from lexspark.operators.enrich import missing_keys
 
-REPORT = "rule string, ok boolean, observed bigint"
-
 
 @dataclass(frozen=True)
 class Rule:
@@ -93,10 +91,14 @@ def schema_report(df: DataFrame, required: dict[str, str | None]) -> DataFrame:
     have = {f.name: f.dataType.simpleString() for f in df.schema}
     lines = []
     for name, kind in required.items():
-        lines.append((f"column {name}", name in have, int(name in have)))
+        lines.append((f"column {name}", name in have))
         if kind is not None:
-            lines.append((f"type {name} {kind}", have.get(name) == kind, int(have.get(name) == kind)))
-    return df.sparkSession.createDataFrame(lines, REPORT)
+            lines.append((f"type {name} {kind}", have.get(name) == kind))
+    report = F.array(*[
+        F.struct(F.lit(rule).alias("rule"), F.lit(ok).alias("ok"), F.lit(int(ok)).cast("bigint").alias("observed"))
+        for rule, ok in lines
+    ])
+    return df.sparkSession.range(1).select(F.inline(report))
 
 
 def reference_report(df: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:

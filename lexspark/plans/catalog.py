@@ -111,7 +111,7 @@ _RULINGS = """
     FROM rulings GROUP BY 1 HAVING COUNT(*) > 5 ORDER BY 2 DESC, 1
 """)
 def _acceptance_rate(spark: SparkSession, root: str) -> DataFrame:
-    return questions.metrics.acceptance_rate(_rulings(spark, root), 5)
+    return metrics.acceptance_rate(_rulings(spark, root), 5)
 
 
 @_query("most_accepted", f"""
@@ -275,6 +275,11 @@ def _without_implementing_law(spark: SparkSession, root: str) -> DataFrame:
     return questions.without_implementing_law(articles, citations)
 
 
+@_query("citations_per_article", "SELECT l_partkey AS articolo, count(*) AS volte FROM lineitem GROUP BY 1 ORDER BY 2 DESC, 1")
+def _citations_per_article(spark: SparkSession, root: str) -> DataFrame:
+    return questions.citations_per_article(_table(spark, root, "lineitem").withColumnRenamed("l_partkey", "articolo"))
+
+
 @_query("distinct_citing", "SELECT DISTINCT l_partkey AS articolo, l_suppkey AS fonte FROM lineitem")
 def _distinct_citing(spark: SparkSession, root: str) -> DataFrame:
     return _table(spark, root, "lineitem").select(

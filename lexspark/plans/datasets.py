@@ -102,7 +102,8 @@ def publish_revisioni(spark: SparkSession, corpus: str, out: str) -> None:
 
 
 def publish_atti_promovimento(spark: SparkSession, zips: str, out: str) -> bool:
-    acts = atti_promovimento(archives.read_archives(spark, zips))
+    known = "{" + ",".join(fixed.ARCHIVE_KINDS) + "}"  # other archives are not read at all
+    acts = atti_promovimento(archives.read_archives(spark, zips, known))
     return tables.publish(acts, out, schemas.ATTI_PROMOVIMENTO, when_empty="skip")
 
 

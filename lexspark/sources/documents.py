@@ -24,7 +24,9 @@ def if_exists(read: Callable[[], DataFrame]) -> DataFrame | None:
 
 
 def _with_name(texts: DataFrame) -> DataFrame:
-    return texts.select(F.col("_metadata.file_name").alias("file_name"), "value")
+    """File name and text, every line end a plain newline."""
+    unix = F.replace(F.replace("value", F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    return texts.select(F.col("_metadata.file_name").alias("file_name"), unix.alias("value"))
 
 
 def read_documents(spark: SparkSession, folder: str, glob: str = "*.md") -> DataFrame:

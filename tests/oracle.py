@@ -11,6 +11,9 @@ TABLES = (
 ).split()
 
 
+TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "STRING": "string", "DOUBLE": "double", "BOOLEAN": "boolean", "NUMBER": "number"}
+
+
 def database(root):
     con = duckdb.connect()
     for name in TABLES:
@@ -38,6 +41,8 @@ def compare(spark, con, run, sql, root):
     names = [c[0] for c in cur.description]
     want = rows(names, cur.fetchall())
     assert sorted(df.columns) == sorted(names)
+    types = {c[0]: TYPES.get(str(c[1]), str(c[1])) for c in cur.description}
+    assert dict(df.dtypes) == types
     assert len(got) == len(want), (len(got), len(want))
     for g, w in zip(got, want):
         assert g == w, (g, w)

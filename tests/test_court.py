@@ -70,6 +70,13 @@ def test_acts(spark, tmp_path):
     ]
 
 
+def test_publish_reads_known_archives_only(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    zips = save(tmp_path / "in", **{ORDINANZE: pack_members([("r.xml", ACTS.encode())]), "altro.zip": b"not a zip"})
+    assert datasets.publish_atti_promovimento(spark, zips, str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out" / "parquet")).count() == 4
+
+
 def test_malformed_register_is_an_error(spark, tmp_path):
     zips = save(tmp_path, **{RICORSI: pack_members([("r.xml", b"<registro><atto></registro>")])})
     with pytest.raises(Exception, match="mismatched tag"):

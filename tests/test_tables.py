@@ -197,7 +197,7 @@ def test_csv_written_elsewhere(spark, tmp_path):
 
 def test_documents(spark, tmp_path):
     (tmp_path / "b.md").write_text("due\n\n", encoding="utf-8")
-    (tmp_path / "a.md").write_text("é\nuno", encoding="utf-8")
+    (tmp_path / "a.md").write_bytes("é\r\nuno".encode())
     (tmp_path / "c.txt").write_text("no")
     (tmp_path / "sotto").mkdir()
     (tmp_path / "sotto" / "d.md").write_text("no")
