@@ -7,23 +7,20 @@ gathered to make the input.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
 from lexspark import schemas
 from lexspark.functions import markup, rules
 from lexspark.functions.text import join_numbers, numbers_in
 from lexspark.operators import enrich, flatten, metrics, quality, segment, verdicts
-from lexspark.plans import datasets, questions
+from lexspark.plans import compose, datasets, questions
 from lexspark.session import shared_dir, spread
 from lexspark.sources import archives, documents, tables
-from lexspark.sources.members import pack_members
 
 
 @dataclass(frozen=True)
@@ -59,10 +56,6 @@ def _wide(spark: SparkSession, root: str, name: str, *columns: str) -> DataFrame
     return spread(_table(spark, root, name), columns)
 
 
-def _text(value: Column | str) -> Column:
-    return F.col(value).cast("string") if isinstance(value, str) else value.cast("string")
-
-
 # --- counts, shares, rates ---------------------------------------------------------------------
 @_query("count_by_key_desc", """
     SELECT user_id AS parametro_articolo, count(*) AS volte FROM events GROUP BY 1 ORDER BY 2 DESC, 1
@@ -95,7 +88,7 @@ def _rulings(spark: SparkSession, root: str) -> DataFrame:
         F.when(F.col("o_orderstatus") == "F", "illegittimo")
         .when(F.col("o_orderstatus") == "O", "non_fondata").otherwise("altro")
     )
-    return _table(spark, root, "orders").select(_text("o_custkey").alias("parametro_articolo"), esito.alias("esito"))
+    return _table(spark, root, "orders").select(compose.text_of("o_custkey").alias("parametro_articolo"), esito.alias("esito"))
 
 
 _RULINGS = """
@@ -198,7 +191,7 @@ def _enrich_snippet(spark: SparkSession, root: str) -> DataFrame:
 """)
 def _citation_text(spark: SparkSession, root: str) -> DataFrame:
     citations = _table(spark, root, "labels").select(
-        _text("doc_id").alias("fonte_filename"),
+        compose.text_of("doc_id").alias("fonte_filename"),
         F.when(F.col("quality") == 1, "buona").otherwise("altra").alias("fonte_collezione"),
         F.col("toxic").cast("bigint").alias("fonte_anno"), F.lit("etichetta").alias("fonte_tipo"),
         F.col("doc_id").alias("articolo"), F.lit("").alias("contesto"),
@@ -235,7 +228,7 @@ def _enrich_registry(spark: SparkSession, root: str) -> DataFrame:
         F.concat(F.lit(', "name": "'), kind, F.lit('"'))
     )
     source = F.when(kind == "click", F.concat(F.lit(', "source": "da '), kind, F.lit('"'))).otherwise(F.lit(""))
-    entry = F.concat(F.lit('{"slug": "user_'), _text("user_id"), F.lit('"'), name, source, F.lit("}"))
+    entry = F.concat(F.lit('{"slug": "user_'), compose.text_of("user_id"), F.lit('"'), name, source, F.lit("}"))
     events = _wide(spark, root, "events", "event_id", "user_id", "event_type").select(
         "event_id", F.array(F.lit('{"slug": "", "name": "x"}'), entry).alias("datasets")
     )
@@ -259,7 +252,7 @@ def _cited_never_litigated(spark: SparkSession, root: str) -> DataFrame:
     events = _table(spark, root, "events")
     acts = events.where("event_type = 'error'").select(F.col("user_id").alias("parametro_articolo"))
     maxims = events.where("event_type = 'view'").select(
-        _text("user_id").alias("parametro_articolo"), F.lit("altro").alias("esito")
+        compose.text_of("user_id").alias("parametro_articolo"), F.lit("altro").alias("esito")
     )
     citations = _table(spark, root, "orders").select(F.col("o_custkey").alias("articolo"))
     return questions.cited_never_litigated(citations, acts, maxims)
@@ -339,17 +332,6 @@ def _markup_clean(spark: SparkSession, root: str) -> DataFrame:
     return _wide(spark, root, "pages", "page_id", "html").select("page_id", markup.normalize(F.col("html")).alias("markdown"))
 
 
-def _wikitext(name: Column, section: Column, number: Column) -> Column:
-    """A wiki page about one customer."""
-    return F.concat(
-        F.lit("{{intestazione}}\n{| class=toc\n| indice\n|}\nEcco\n"),
-        F.lit("la Costituzione della Repubblica Italiana nel seguente testo: \n\n\n"),
-        F.lit("== '''"), name, F.lit("''' ==\n{{nota|\nx}}\n=== Titolo [[Voce|altro]] ===\n==== "), section,
-        F.lit(" ====\n=====Art. "), number, F.lit("=====\n\t  testo <i>in</i> riga<br />e<BR>a capo<ref name='n'>una\nnota</ref>   fine"),
-        F.lit("\n\n\n\n''corsivo'' e '''grassetto'''\n=====  = I =  =====\n== "), name, F.lit(" ==\nCategoria:Leggi\n"),
-    )
-
-
 @_query("markup_headings", r"""
     SELECT c_custkey, '# ' || c_name || chr(10) || chr(10) || '## Titolo Voce' || chr(10) || '### ' || c_mktsegment || chr(10)
         || '## Art. ' || c_custkey || chr(10) || 'testo in riga' || chr(10) || 'e' || chr(10) || 'a capo fine' || chr(10) || chr(10)
@@ -359,7 +341,7 @@ def _wikitext(name: Column, section: Column, number: Column) -> Column:
 """)
 def _markup_headings(spark: SparkSession, root: str) -> DataFrame:
     pages = _wide(spark, root, "customer", "c_custkey", "c_name", "c_mktsegment").select(
-        "c_custkey", _wikitext(F.col("c_name"), F.col("c_mktsegment"), _text("c_custkey")).alias("wikitext")
+        "c_custkey", compose.wikitext(F.col("c_name"), F.col("c_mktsegment"), compose.text_of("c_custkey")).alias("wikitext")
     )
     rewritten = pages.select("c_custkey", markup.normalize(F.col("wikitext")).alias("markdown"))
     return rewritten.select(
@@ -369,23 +351,6 @@ def _markup_headings(spark: SparkSession, root: str) -> DataFrame:
 
 
 # --- segmentation ------------------------------------------------------------------------------
-def _structured(doc: Column, lang: Column, source: Column, text: Column) -> Column:
-    """A document whose every line becomes an article; a title opens every tenth line, a section
-    every fifth, and the last line is repeated as a final provision."""
-    lines = F.split(text, "\n", -1)
-
-    def article(line: Column, i: Column) -> Column:
-        return F.concat(
-            F.when(i % 10 == 0, F.concat(F.lit("## Titolo "), i.cast("string"), F.lit("\n"))).otherwise(F.lit("")),
-            F.when(i % 5 == 0, F.concat(F.lit("### Sezione "), i.cast("string"), F.lit("\nfuori\n"))).otherwise(F.lit("")),
-            F.lit("## Art. "), (i + 1).cast("string"), F.lit("\n\n"), line, F.lit("\ndata: ieri\n\n"), line, F.lit("\n"),
-        )
-
-    return F.concat(
-        F.lit("---\ntipo: PROVA\nnumero: "), doc.cast("string"), F.lit("\n---\npremessa\n# Parte "), lang, F.lit(" "), source,
-        F.lit("\n"), F.array_join(F.transform(lines, article), ""),
-        F.lit("# Disposizioni varie\n## Art. 7-bis\n### XIV\n"), F.element_at(lines, -1), F.lit("\n"),
-    )
 
 
 _SQL_LINES = """
@@ -411,7 +376,7 @@ _SQL_SEGMENTS = f"""
 
 def _segments(spark: SparkSession, root: str) -> DataFrame:
     docs = _wide(spark, root, "documents", "doc_id", "lang", "source", "text").select(
-        "doc_id", _structured(F.col("doc_id"), F.col("lang"), F.col("source"), F.col("text")).alias("contenuto")
+        "doc_id", compose.structured(F.col("doc_id"), F.col("lang"), F.col("source"), F.col("text")).alias("contenuto")
     )
     return datasets.articoli(docs, keep=("doc_id",))
 
@@ -434,7 +399,7 @@ def _segment_totals(spark: SparkSession, root: str) -> DataFrame:
     FROM pages
 """)
 def _frontmatter_fields(spark: SparkSession, root: str) -> DataFrame:
-    page = _text("page_id")
+    page = compose.text_of("page_id")
     head = F.concat(
         F.lit("---\nurn: "), F.col("url"), F.lit("\n codice_redazionale : \"'C\""), page, F.lit("'\"\ndata: primo\nriga\n"),
         F.when(F.col("page_id") % 3 == 0, F.lit("")).otherwise(F.concat(F.lit("titolo: 'Pagina: "), page, F.lit("'\n"))),
@@ -450,37 +415,6 @@ def _frontmatter_fields(spark: SparkSession, root: str) -> DataFrame:
 
 
 # --- rules -------------------------------------------------------------------------------------
-def _law(doc: Column, lang: Column, source: Column, text: Column) -> Column:
-    """A law whose articles are the lines of a document. Its title form depends on the document,
-    every second article changes the constitution, every third has notes with a link to ignore."""
-    number, lines = doc.cast("string"), F.split(text, "\n", -1)
-    title = (
-        F.when(doc % 8 == 0, F.concat(F.lit("Modifiche agli articoli "), (doc % 90 + 9).cast("string"), F.lit(", 7 e "),
-                                      (doc % 50 + 3).cast("string"), F.lit(" della Costituzione.")))
-        .when(doc % 8 == 1, F.concat(F.lit("Modifica all’articolo "), number, F.lit(" della Costituzione")))
-        .when(doc % 8 == 2, F.concat(F.lit("REVISIONE dell'articolo "), number))
-        .when(doc % 8 == 3, F.lit("Modifiche al titolo V della parte seconda della Costituzione"))
-        .when(doc % 8 == 4, F.concat(F.lit("Modifica all'articolo 1 della Costituzione e Statuto  speciale "), lang))
-        .when(doc % 8 == 5, F.concat(F.lit("Indizione di un Referendum "), source))
-        .when(doc % 8 == 6, F.concat(F.lit("Legge "), source))
-    )
-
-    def link(n: Column) -> Column:
-        ref = n.cast("string")
-        return F.concat(F.lit("[art. "), ref, F.lit(" della Costituzione](/legge#art_"), ref, F.lit("~x)"))
-
-    def article(line: Column, i: Column) -> Column:
-        return F.concat(
-            F.lit("## Art. "), (i + 1).cast("string"), F.lit(".\n"), line, F.lit("\n"),
-            F.when(i % 2 == 1, F.lit("è SOSTITUITO ")).otherwise(F.lit("resta ")), link(F.length(line) % 139 + 1),
-            F.when(i % 3 == 0, F.concat(F.lit("\nNote \n"), link(F.lit(900)))).otherwise(F.lit("")), F.lit("\n"),
-        )
-
-    return F.concat(
-        F.lit("---\nurn: urn:"), number, F.lit("\ncodice_redazionale: 0"), number, F.lit("\ndata: 2001-01-01\n"),
-        F.coalesce(F.concat(F.lit('titolo: "'), title, F.lit('"\n')), F.lit("")),
-        F.lit("---\n\n"), link(F.lit(901)), F.lit(" modificato\n"), F.array_join(F.transform(lines, article), ""),
-    )
 
 
 _SQL_LAWS = f"""
@@ -493,8 +427,8 @@ _SQL_LAWS = f"""
 
 def _laws(spark: SparkSession, root: str) -> DataFrame:
     return _wide(spark, root, "documents", "doc_id", "lang", "source", "text").select(
-        "doc_id", F.concat(F.lit("legge-"), _text("doc_id"), F.lit(".md")).alias("file_name"),
-        _law(F.col("doc_id"), F.col("lang"), F.col("source"), F.col("text")).alias("value"),
+        "doc_id", F.concat(F.lit("legge-"), compose.text_of("doc_id"), F.lit(".md")).alias("file_name"),
+        compose.law(F.col("doc_id"), F.col("lang"), F.col("source"), F.col("text")).alias("value"),
     )
 
 
@@ -573,37 +507,6 @@ def _grouped_verdict(spark: SparkSession, root: str) -> DataFrame:
 
 
 # --- court records -----------------------------------------------------------------------------
-def _count(n: Column, build: Callable[[Column], Column]) -> Column:
-    """``build`` of 0 .. n-1, an empty array for n = 0."""
-    return F.transform(F.filter(F.sequence(F.lit(0), n), lambda i: i < n), build)
-
-
-def _act_struct(key: Column, cust: Column, date: Column) -> Column:
-    def parameter(k: Column) -> Column:
-        kind = F.element_at(F.array(F.lit("Costituzione"), F.lit(" COSTITUZIONE "), F.lit("Statuto")), (k % 3 + 1).cast("int"))
-        number = (cust + k) % 140
-        article = F.when(number % 10 == 9, F.lit("117bis")).when(number % 11 == 10, F.lit("")).otherwise(number.cast("string"))
-        return F.struct(kind.alias("descrizione"), article.alias("articolo"), k.cast("string").alias("comma"))
-
-    def norm(k: Column) -> Column:
-        return F.struct(
-            F.concat(F.lit("legge "), k.cast("string")).alias("descrizione"),
-            F.when(k == 0, F.lit("")).otherwise((key + k).cast("string")).alias("numero"),
-            F.lit("2001").alias("data"), F.lit(" 3 ").alias("articolo"), F.lit("b").alias("comma"), F.lit("e").alias("nesso"),
-        )
-
-    def part(p: Column) -> Column:
-        return F.struct(
-            F.when(p == 0, F.lit("")).otherwise(p.cast("string")).alias("_VALUE"),
-            F.struct(_count(((key + p) % 3).cast("int"), norm).alias("norma")).alias("norme"),
-            F.struct(_count((cust % 4).cast("int"), parameter).alias("parametro")).alias("parametri"),
-        )
-
-    return F.struct(
-        F.year(date).cast("string").alias("_anno"),
-        F.when(key % 10 == 0, F.concat(key.cast("string"), F.lit("/A"))).otherwise(key.cast("string")).alias("_numero"),
-        _count((key % 2 + 1).cast("int"), part).alias("numero_parte"),
-    )
 
 
 _SQL_ACTS = """
@@ -623,40 +526,12 @@ _SQL_ACTS = """
 @_query("flatten_acts", f"WITH {_SQL_ACTS} SELECT 'ordinanza' AS tipo, * EXCLUDE (k) FROM acts")
 def _flatten_acts(spark: SparkSession, root: str) -> DataFrame:
     orders = _wide(spark, root, "orders", "o_orderkey", "o_custkey", "o_orderdate").select(
-        F.to_xml(_act_struct(F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")), {"rowTag": "atto"}).alias("xml")
+        F.to_xml(compose.act(F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")), {"rowTag": "atto"}).alias("xml")
     )
     acts = flatten.flatten_acts(archives.acts_from_column(orders, "xml"), F.lit("ordinanza"))
     return schemas.select_as(acts, schemas.ATTI_PROMOVIMENTO)
 
 
-def _ruling_struct(key: Column, cust: Column, date: Column, priority: Column) -> Column:
-    def maxim(m: Column) -> Column:
-        text = F.element_at(F.array(
-            F.lit("questione non"), F.lit("fondata nel merito"), F.lit("inammissibile"), F.lit(""), F.lit("altro testo"),
-        ), ((key + m) % 5 + 1).cast("int"))
-        param = lambda k: F.struct(
-            F.lit("COST").alias("codice"), priority.alias("descrizione"),
-            ((cust + k) % 139 + 1).cast("string").alias("articolo"), F.lit("").alias("comma"))
-        norm = lambda k: F.struct(
-            F.lit("L").alias("codice"), F.lit("legge").alias("descrizione"), (key + k).cast("string").alias("numero"),
-            F.lit(" 2001 ").alias("data"), k.cast("string").alias("articolo"),
-            F.lit("bis").alias("specificazione_articolo"), F.lit("2").alias("comma"), F.lit("").alias("specificazione_comma"))
-        return F.struct(
-            F.concat(F.lit(" +"), (key * 10 + m).cast("string")).alias("numero"), text.alias("testo"),
-            F.struct(_count(((cust + m) % 3).cast("int"), param).alias("parametro")).alias("parametri"),
-            F.struct(_count(((key + m) % 3).cast("int"), norm).alias("norma")).alias("norme"),
-        )
-
-    head = F.when(key % 17 != 0, F.struct(
-        F.year(date).cast("string").alias("anno_pronuncia"),
-        F.when(key % 10 == 0, F.concat(F.lit(" "), key.cast("string"))).otherwise(key.cast("string")).alias("numero_pronuncia"),
-        F.lit("S").alias("tipologia_pronuncia"), F.date_format(date, "dd/MM/yyyy").alias("data_decisione"),
-        F.lit("").alias("data_deposito"),
-    ))
-    return F.struct(head.alias("pronuncia_testata"),
-                    F.struct(_count((key % 3 + 1).cast("int"), maxim).alias("massima")).alias("massime"))
-
-
 # The maxims of a ruling read phrases (key + m) % 5: 0 "questione non", 1 "fondata nel merito",
 # 2 "inammissibile", 3 empty, 4 other. Phrases 0 and 1 only make an outcome together.
 _SQL_MAXIMS = """
@@ -684,7 +559,7 @@ _SQL_MAXIMS = """
 
 def _ruling_xml(orders: DataFrame) -> Column:
     return F.to_xml(
-        _ruling_struct(F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate"), F.col("o_orderpriority")),
+        compose.ruling(F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate"), F.col("o_orderpriority")),
         {"rowTag": "pronuncia"},
     )
 
@@ -697,56 +572,6 @@ def _maxim_cross(spark: SparkSession, root: str) -> DataFrame:
 
 
 # --- archives ----------------------------------------------------------------------------------
-_PACKED = schemas.struct("archive", ("content", T.BinaryType()))
-
-
-def _pack(rows: DataFrame, build: Callable[[str], bytes]) -> DataFrame:
-    """``(folder, archive, xml)`` rows to ``(archive, content)`` archives of up to 100 records.
-
-    Records are packed as they come in a batch; an archive is told from others by its folder,
-    that of its first record.
-    """
-    schema = to_arrow_schema(_PACKED)
-
-    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            by_name: dict[str, list[dict]] = {}
-            for row in batch.to_pylist():
-                by_name.setdefault(row["archive"], []).append(row)
-            packed = [
-                {"archive": f"{some[0]['folder']}/{name}", "content": build("".join(r["xml"] for r in some))}
-                for name, found in by_name.items()
-                for some in (found[i:i + 100] for i in range(0, len(found), 100))
-            ]
-            yield pa.RecordBatch.from_pylist(packed, schema)
-
-    return rows.select("folder", "archive", "xml").mapInArrow(pack, _PACKED)
-
-
-def _packers() -> tuple[Callable[[str], bytes], Callable[[str], bytes]]:
-    """A register archive, and an archive of archives with one malformed member."""
-
-    ignored = (
-        '<atto anno="1" numero="1"><numero_parte><parametri><parametro><descrizione>Costituzione</descrizione>'
-        "<articolo>1</articolo></parametro></parametri></numero_parte></atto>"
-    )
-
-    def register(xml: str) -> bytes:
-        body = f'<?xml version="1.0" encoding="UTF-8"?><registro>\n{xml}\n<altro>{ignored}</altro></registro>'
-        return pack_members([
-            ("leggimi.txt", b"x"), ("registro.xml", body.encode()), ("secondo.xml", f"<r>{ignored}</r>".encode()),
-        ])
-
-    def nested(xml: str) -> bytes:
-        good = f'<?xml version="1.0" encoding="ISO-8859-1"?><raccolta><anno>{xml}</anno></raccolta>'.encode("latin-1")
-        broken = f"<raccolta>{xml[:xml.index('</pronuncia>') + 12]}".encode()
-        return pack_members([
-            ("b.zip", pack_members([("massime_2001.xml", good), ("leggimi.txt", b"x")])),
-            ("a.zip", pack_members([("rotto.xml", broken)])),
-            ("leggimi.txt", b"x"),
-        ])
-
-    return register, nested
 
 
 @_query("zip_acts", f"""
@@ -755,13 +580,13 @@ def _packers() -> tuple[Callable[[str], bytes], Callable[[str], bytes]]:
 """)
 def _zip_acts(spark: SparkSession, root: str) -> DataFrame:
     """Orders packed into register archives; only the first XML counts, and only acts below the root."""
-    xml = F.to_xml(_act_struct(F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")), {"rowTag": "atto"})
+    xml = F.to_xml(compose.act(F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")), {"rowTag": "atto"})
     rows = _wide(spark, root, "orders", "o_orderkey", "o_custkey", "o_orderdate").select(
-        _text("o_orderkey").alias("folder"),
+        compose.text_of("o_orderkey").alias("folder"),
         F.when(F.col("o_orderkey") % 2 == 0, F.lit("ordinanze.zip")).otherwise(F.lit("ricorsi.zip")).alias("archive"),
         xml.alias("xml"),
     )
-    packed = _pack(rows, _packers()[0])
+    packed = compose.pack(rows, compose.packers()[0])
     kinds = {"ordinanze.zip": "ordinanza", "ricorsi.zip": "ricorso"}
     return schemas.select_as(datasets.atti_promovimento(packed, kinds), schemas.ATTI_PROMOVIMENTO)
 
@@ -771,9 +596,9 @@ def _zip_maxims(spark: SparkSession, root: str) -> DataFrame:
     """Orders packed into archives of archives; the malformed member gives no rows."""
     orders = _wide(spark, root, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     rows = orders.select(
-        _text("o_orderkey").alias("folder"), F.lit("massime.zip").alias("archive"), _ruling_xml(orders).alias("xml")
+        compose.text_of("o_orderkey").alias("folder"), F.lit("massime.zip").alias("archive"), _ruling_xml(orders).alias("xml")
     )
-    return schemas.select_as(datasets.massime(_pack(rows, _packers()[1])), schemas.MASSIME)
+    return schemas.select_as(datasets.massime(compose.pack(rows, compose.packers()[1])), schemas.MASSIME)
 
 
 # --- publication and contracts -----------------------------------------------------------------
@@ -805,10 +630,10 @@ def _csv_parquet_roundtrip(spark: SparkSession, root: str) -> DataFrame:
 """)
 def _documents_roundtrip(spark: SparkSession, root: str) -> DataFrame:
     """Wikitext to Markdown files, one per supplier, and back."""
-    section = F.concat(F.lit("Sezione "), _text("s_nationkey"))
+    section = F.concat(F.lit("Sezione "), compose.text_of("s_nationkey"))
     pages = _wide(spark, root, "supplier", "s_suppkey", "s_name", "s_nationkey").select(
-        F.concat(F.lit("leggi-"), _text("s_suppkey")).alias("file_name"),
-        _wikitext(F.col("s_name"), section, _text("s_suppkey")).alias("value"),
+        F.concat(F.lit("leggi-"), compose.text_of("s_suppkey")).alias("file_name"),
+        compose.wikitext(F.col("s_name"), section, compose.text_of("s_suppkey")).alias("value"),
     )
     out = shared_dir(spark, "testo")
     documents.write_documents(datasets.testo(pages, frontmatter="---\ntipo: PROVA\n---\n"), out)
