@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexspark.llm import bpe, chat, quality, simhash
+from lexspark.llm import bpe, chat, quality, secrets, simhash
 from lexspark.llm.common import table
 
 
@@ -102,3 +102,31 @@ def op5_simhash(spark: SparkSession, root: str) -> DataFrame:
 @_query("op7_bpe")
 def op7_bpe(spark: SparkSession, root: str) -> DataFrame:
     return bpe.encode(table(spark, root, "documents"), VOCABULARY, keep_ids=False)
+
+
+@_query("op6_secrets", r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS n FROM documents),
+p(kind, no, pat, least, grp) AS (VALUES
+  ('assign', 0, '((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 6, 2), ('access', 1, 'AKIA[A-Z0-9]+', 20, 0),
+  ('hex', 2, '[0-9a-f]+', 24, 0), ('entropy_hex', 3, '[0-9A-Fa-f]{20,}', 20, 0), ('entropy_base64', 4, '[A-Za-z0-9+/_-]{20,}', 20, 0)),
+s AS (SELECT n, t, kind, no, least, string_split_regex(t, pat) AS gaps, regexp_extract_all(t, pat) AS hits,
+  CASE WHEN grp = 2 THEN regexp_extract_all(t, pat, 2) ELSE regexp_extract_all(t, pat) END AS vals FROM d, p),
+m AS (SELECT n, kind, no, hit AS value, CAST(list_sum(list_transform(gaps[:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[:i - 1], lambda x: length(x))), 0) AS BIGINT) AS start, length(hit) AS size
+  FROM (SELECT n, kind, no, least, gaps, hits, unnest(hits) AS hit, unnest(vals) AS val, unnest(range(1, len(hits) + 1)) AS i FROM s) WHERE length(val) >= least),
+e AS (SELECT *, list_max(list_transform(range(1, length(value) - 18), lambda i: list_aggregate(string_split(CASE WHEN no = 3 THEN lower(value[i:i + 19]) ELSE value[i:i + 19] END, ''), 'entropy'))) AS bits
+  FROM m WHERE no >= 3 AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]') AND NOT regexp_matches(value, '(?i)example|sample|dummy|placeholder|changeme|xxxx')
+  AND NOT regexp_matches(value, '^[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$') AND NOT regexp_matches(value, '(?i)0123456789|abcdefghij')),
+b AS (SELECT n, kind, no, start, start + size AS stop FROM m WHERE no < 3),
+h AS (SELECT n, kind, no, start, start + size AS stop FROM e WHERE no = 3 AND bits >= 3.0 AND NOT EXISTS (SELECT 1 FROM b WHERE b.n = e.n AND b.start <= e.start AND b.stop >= e.start + e.size)),
+x AS (SELECT * FROM b UNION ALL SELECT * FROM h),
+a AS (SELECT * FROM x UNION ALL SELECT n, kind, no, start, start + size FROM e WHERE no = 4 AND bits >= 3.9 AND NOT EXISTS (SELECT 1 FROM x WHERE x.n = e.n AND x.start <= e.start AND x.stop >= e.start + e.size)),
+r AS (SELECT n, count(*) FILTER (no = 0) AS n_assign, count(*) FILTER (no = 1) AS n_access, count(*) FILTER (no = 2) AS n_hex,
+  string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, no) FILTER (no < 3) AS base, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, no) AS spans FROM a GROUP BY n)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN r USING (n)""")
+def op6_secrets(spark: SparkSession, root: str) -> DataFrame:
+    found = secrets.scan(table(spark, root, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"), F.sha2(secrets.written(F.col("base")), 256).alias("base_sha256"),
+        secrets.written(F.concat("base", "added")).alias("spans"))
