@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexspark.llm import bpe, chat, quality, secrets, simhash
+from lexspark.llm import bpe, chat, langid, quality, secrets, simhash
 from lexspark.llm.common import table
 
 
@@ -130,3 +130,20 @@ def op6_secrets(spark: SparkSession, root: str) -> DataFrame:
     return found.select(
         "doc_id", count("assign"), count("access"), count("hex"), F.sha2(secrets.written(F.col("base")), 256).alias("base_sha256"),
         secrets.written(F.concat("base", "added")).alias("spans"))
+
+
+def trained_language_model(docs: DataFrame) -> langid.Model:
+    """The language model, from the documents that are not held out."""
+    return langid.train(docs.where(~_held_out()).select(F.col("doc_id").alias("id"), "text", "lang"))
+
+
+def _held_out():
+    """Whether a document is held out; one without id is not."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+@_query("op10_language")
+def op10_language(spark: SparkSession, root: str) -> DataFrame:
+    docs = table(spark, root, "documents")
+    made = langid.identify(docs.select("doc_id", "text", _held_out().alias("held_out")), trained_language_model(docs))
+    return made.select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
