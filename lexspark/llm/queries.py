@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexspark.llm import bpe, chat, langid, quality, secrets, simhash
+from lexspark.llm import bpe, chat, html, langid, quality, secrets, simhash
 from lexspark.llm.common import table
 
 
@@ -147,3 +147,8 @@ def op10_language(spark: SparkSession, root: str) -> DataFrame:
     docs = table(spark, root, "documents")
     made = langid.identify(docs.select("doc_id", "text", _held_out().alias("held_out")), trained_language_model(docs))
     return made.select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
+
+
+@_query("op2_main_text")
+def op2_main_text(spark: SparkSession, root: str) -> DataFrame:
+    return html.extract(table(spark, root, "pages"))
