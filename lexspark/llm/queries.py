@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexspark.llm import bpe, chat, html, langid, quality, secrets, simhash
+from lexspark.llm import bpe, chat, html, langid, quality, secrets, simhash, warc
 from lexspark.llm.common import table
 
 
@@ -152,3 +152,17 @@ def op10_language(spark: SparkSession, root: str) -> DataFrame:
 @_query("op2_main_text")
 def op2_main_text(spark: SparkSession, root: str) -> DataFrame:
     return html.extract(table(spark, root, "pages"))
+
+
+@_query("op8_warc", r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+f AS (SELECT h, max(page_id) AS first FROM p GROUP BY h),
+b AS (SELECT page_id, html, first, array_to_string(list_transform(string_split(h, ''), lambda c:
+  ['0000','0001','0010','0011','0100','0101','0110','0111','1000','1001','1010','1011','1100','1101','1110','1111'][instr('0123456789abcdef', c)]), '') AS bits
+  FROM p JOIN f USING (h))
+SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + list_sum(list_transform(range(5),
+    lambda k: CASE WHEN substr(bits, CAST(5 * i + k + 1 AS BIGINT), 1) = '1' THEN 1 << (4 - k) ELSE 0 END)) AS BIGINT), 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to FROM b""")
+def op8_warc(spark: SparkSession, root: str) -> DataFrame:
+    return warc.round_trip(table(spark, root, "pages"), min_bytes=0).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
