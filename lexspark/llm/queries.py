@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexspark.llm import bpe, chat, html, langid, quality, secrets, simhash, warc
+from lexspark.llm import bpe, chat, decontaminate, html, langid, quality, secrets, simhash, warc
 from lexspark.llm.common import table
 
 
@@ -166,3 +166,8 @@ SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
   CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to FROM b""")
 def op8_warc(spark: SparkSession, root: str) -> DataFrame:
     return warc.round_trip(table(spark, root, "pages"), min_bytes=0).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@_query("op3_decontamination")
+def op3_decontamination(spark: SparkSession, root: str) -> DataFrame:
+    return decontaminate.matches(table(spark, root, "documents"), table(spark, root, "benchmark"))
