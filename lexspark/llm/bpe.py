@@ -160,14 +160,14 @@ def _packed(ids: Sequence[int]) -> bytes:
 
 
 def _columns(kind: str, keep_ids: bool) -> tuple[str, pa.Schema]:
-    ddl = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded string" if keep_ids else "")
+    ddl = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if keep_ids else "")
     names = [("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
-    return ddl, pa.schema(names + [("ids", pa.list_(pa.int32())), ("decoded", pa.string())] * keep_ids)
+    return ddl, pa.schema(names + [("ids", pa.list_(pa.int32()))] * keep_ids)
 
 
-def _row(own: Codec, ids: Sequence[int], decoded: str, keep_ids: bool) -> tuple:
+def _row(ids: Sequence[int], decoded: str, keep_ids: bool) -> tuple:
     row = (len(ids), hashlib.sha256(_packed(ids)).hexdigest(), hashlib.sha256(decoded.encode("utf-8", "replace")).hexdigest())
-    return row + (list(ids), decoded) if keep_ids else row
+    return row + (list(ids),) if keep_ids else row
 
 
 def _batch(first: pa.Array, rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -177,7 +177,7 @@ def _batch(first: pa.Array, rows: list[tuple], schema: pa.Schema) -> pa.RecordBa
 
 def encode(docs: DataFrame, vocabulary: tuple[str, str | None, str | None], id_column: str = "doc_id", text_column: str = "text",
            leaf: int = LEAF, keep_ids: bool = True) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` and, if kept, ``ids, decoded`` for every row.
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` and, if kept, ``ids`` for every row.
 
     ``vocabulary`` is the place of the tokenizers file, and of the same vocabulary as ranks with its
     pattern or nulls. A null text counts as empty and has no tokens. Rows with equal ids or texts
@@ -196,7 +196,7 @@ def encode(docs: DataFrame, vocabulary: tuple[str, str | None, str | None], id_c
                 made = []
                 for text in part.column(1):
                     ids = own.encode(text.as_py())
-                    made.append(_row(own, ids, own.decode(ids), keep_ids))
+                    made.append(_row(ids, own.decode(ids), keep_ids))
                 yield _batch(part.column(0), made, schema)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,7 +248,7 @@ def encode(docs: DataFrame, vocabulary: tuple[str, str | None, str | None], id_c
                 open_.append(np.frombuffer(ids.as_py(), "<u4").tolist())
                 if place.as_py() == n.as_py() - 1:
                     close()
-                    row = _row(own, tail, own.decode(tail), keep_ids)
+                    row = _row(tail, own.decode(tail), keep_ids)
                     yield _batch(batch.column(0).slice(k, 1), [row], schema)
                     piece, tail = None, []
 
@@ -258,3 +258,17 @@ def encode(docs: DataFrame, vocabulary: tuple[str, str | None, str | None], id_c
     spread = long.mapInArrow(cut, f"{head}, text string").repartition("key", "leaf").mapInArrow(leaves, f"{head}, ids binary")
     large = spread.repartition("key").sortWithinPartitions("key", "leaf").mapInArrow(joined, ddl)
     return small.union(large)
+
+
+def decode(encoded: DataFrame, vocabulary: tuple[str, str | None, str | None], ids_column: str = "ids", text_column: str = "text") -> DataFrame:
+    """``encoded`` with the text of each row's ids in place of the ids; of null ids null, of none an empty text."""
+    kept = [c for c in encoded.columns if c not in (ids_column, text_column)]
+    schema = ", ".join([*(f"`{c}` {encoded.schema[c].dataType.simpleString()}" for c in kept), f"`{text_column}` string"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = codec(*vocabulary)
+        for batch in batches:
+            texts = pa.array((None if ids.as_py() is None else own.decode(ids.as_py()) for ids in batch.column(len(kept))), pa.string())
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(kept))), texts], [*kept, text_column])
+
+    return encoded.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{ids_column}`")).mapInArrow(run, schema)

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexspark.llm import bpe, chat, decontaminate, html, langid, quality, secrets, simhash, warc
+from lexspark.llm import bpe, chat, decontaminate, html, langid, linedup, quality, secrets, simhash, warc
 from lexspark.llm.common import table
 
 
@@ -171,3 +171,8 @@ def op8_warc(spark: SparkSession, root: str) -> DataFrame:
 @_query("op3_decontamination")
 def op3_decontamination(spark: SparkSession, root: str) -> DataFrame:
     return decontaminate.matches(table(spark, root, "documents"), table(spark, root, "benchmark"))
+
+
+@_query("op9_line_dedup")
+def op9_line_dedup(spark: SparkSession, root: str) -> DataFrame:
+    return linedup.match_lines(table(spark, root, "documents")).select("doc_id", "line_no", "class_id", "n_links", "removed")

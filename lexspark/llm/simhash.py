@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexspark.llm.common import fresh, stash
@@ -40,16 +40,21 @@ def fingerprint(text: str | None, size: int = 3, seed: int = 42) -> int:
     return int(np.packbits(ones * 2 > last, bitorder="little").view("<i8")[0])
 
 
+def _row(id_column: str, text_column: str) -> Column:
+    return F.xxhash64(F.col(id_column).cast("string"), F.col(text_column).cast("string"))
+
+
 def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = 3, seed: int = 42) -> DataFrame:
-    """``doc_id, fp`` for every row."""
+    """``doc_id, row, fp`` for every row; ``row`` is a hash of id and text."""
     kind = docs.schema[id_column].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = pa.array((fingerprint(t.as_py(), size, seed) for t in batch.column(1)), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), made], ["doc_id", "fp"])
+            made = pa.array((fingerprint(t.as_py(), size, seed) for t in batch.column(2)), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), made], ["doc_id", "row", "fp"])
 
-    return docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text")).mapInArrow(run, f"doc_id {kind}, fp bigint")
+    return docs.select(F.col(id_column).alias("doc_id"), _row(id_column, text_column).alias("row"), F.col(text_column).cast("string").alias("text")).mapInArrow(
+        run, f"doc_id {kind}, row bigint, fp bigint")
 
 
 def _labels(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -174,6 +179,15 @@ def links(fps: DataFrame, radius: int = 3, chunk: int = CHUNK) -> DataFrame:
     return sorted_.drop("ones").mapInArrow(_compare(radius), "a bigint, b bigint")
 
 
+def _classed(docs: DataFrame, id_column: str, text_column: str, radius: int, size: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """Every row's id, row hash and fingerprint; and each fingerprint's smallest id and root."""
+    made = stash(fingerprints(docs, id_column, text_column, size, seed), "simhash")
+    least = made.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    roots = components(links(least.select("fp"), radius).distinct())
+    named = least.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    return made, stash(named, "simhash")
+
+
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", radius: int = 3, size: int = 3, seed: int = 42) -> DataFrame:
     """``doc_id, fingerprint, component_id`` for every row; other columns of the input don't matter.
 
@@ -182,13 +196,22 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     linked like any other. Rows with equal ids or texts stay rows of their own. A null id is no
     candidate for ``component_id``, which is null where all ids reached are null. No rows give no rows.
     """
-    made = stash(fingerprints(docs, id_column, text_column, size, seed), "simhash")
-    least = made.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(links(least.select("fp"), radius).distinct())
-    root = fresh("root")
-    named = least.join(roots.select(F.col("node").alias("fp"), F.col("root").alias(root)), "fp", "left").withColumn(root, F.coalesce(root, "fp"))
-    named = stash(named, "simhash")
-    smallest = named.groupBy(root).agg(F.min("least").alias("component_id"))
-    ids = named.join(smallest, root).select("fp", "component_id")
-    return made.join(ids, "fp", "left").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    made, named = _classed(docs, id_column, text_column, radius, size, seed)
+    smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    ids = named.join(smallest, "root").select("fp", "component_id")
+    return made.join(ids, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", radius: int = 3, size: int = 3, seed: int = 42) -> DataFrame:
+    """The rows of ``docs``, with all columns, that stay: of each component the one with the smallest id (null ids last).
+
+    Of rows that share this id the one whose id and text have the smallest hash stays. Rows equal in
+    id and text are one document, and stay together.
+    """
+    key = fresh("row")
+    made, named = _classed(docs, id_column, text_column, radius, size, seed)
+    place = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "row")
+    # Copies fold by fingerprint first, in each task, so that no component meets in one.
+    firsts = made.groupBy("fp").agg(F.min(place).alias("first")).join(named.select("fp", "root"), "fp").groupBy("root").agg(F.min("first").alias("first"))
+    stay = firsts.select(F.col("first.row").alias(key)).distinct()
+    return docs.withColumn(key, _row(id_column, text_column)).join(stay, key, "left_semi").drop(key)
