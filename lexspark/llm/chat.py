@@ -138,7 +138,8 @@ def format_windows(
         F.aggregate("own", F.array(F.lit(0).cast("long")), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x.tokens))).alias("prefix"))
     room = F.greatest(F.lit(budget - history_tokens) - _sum(F.transform("system", lambda x: x.tokens)), F.lit(1))
     spans = prepared.withColumn("room", room).withColumn("spans", _spans(F.col("prefix"), F.col("room")))
-    cut = spans.select("*", F.posexplode("spans").alias("window", "span")).drop("spans")
+    # Every block has spans. An inner explode of a column would bring a filter that is computed, spans and all, below.
+    cut = spans.select("*", F.posexplode_outer("spans").alias("window", "span")).drop("spans")
 
     # The history of a span: the latest turns before it, while the limits hold.
     earlier = F.filter(F.concat("tail", F.slice("own", 1, F.col("span.first"))), lambda x: ~x.system)
