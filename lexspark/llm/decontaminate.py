@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 #: Words in a seed.
 SEED = 3
-#: In each so many neighbouring places of an item the rarest n-gram is a seed.
-STRETCH = 2
+#: In each so many neighbouring places of an item the rarest n-gram is a seed; of a short part all are.
+STRETCH, SHORT = 2, 32
 #: Words of an item that are aligned together; longer items are parts of about this size.
 PART = 128
 #: An item with fewer words says nothing about where a text comes from and is not looked for.
@@ -78,8 +78,9 @@ def seeded(index: Index, frequency: dict[tuple, int]) -> Index:
     chosen: dict[tuple, list[tuple[int, int]]] = {}
     for number, part in enumerate(index.parts):
         grams = list(zip(*(part[j:] for j in range(SEED))))
-        for start in range(0, len(grams), STRETCH):
-            k = min(range(start, min(start + STRETCH, len(grams))), key=lambda i: (frequency.get(grams[i], 0), i))
+        stretch = 1 if len(part) < SHORT else STRETCH
+        for start in range(0, len(grams), stretch):
+            k = min(range(start, min(start + stretch, len(grams))), key=lambda i: (frequency.get(grams[i], 0), i))
             chosen.setdefault(grams[k], []).append((number, k))
     return Index(index.items, index.parts, index.offsets, chosen, index.counts)
 
