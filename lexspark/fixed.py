@@ -133,8 +133,6 @@ OUTCOME_PATTERNS = {
     "inammissibile": r"(?iU)inammissibil",
     "manifestamente_infondata": r"(?iU)manifestament",
 }
-# The longest outcome pattern covers this many whitespace-separated words.
-OUTCOME_WORDS = 4
 NO_OUTCOME, MIXED_OUTCOME = "altro", "misto"
 ACCEPTED_OUTCOME, REJECTED_OUTCOME = "illegittimo", "non_fondata"
 
@@ -148,6 +146,7 @@ ARCHIVE_KINDS = {
 # --- Enrichment and indicators -----------------------------------------------------------------
 SNIPPET_CHARS = 300
 DEFAULT_INDICATOR_KIND = "outcome"
+MAPPING_VERSION = 1
 INDICATOR_KINDS = ["outcome", "strutturale", "territoriale"]
 
 # --- Metrics -----------------------------------------------------------------------------------

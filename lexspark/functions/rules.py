@@ -24,11 +24,11 @@ def outcome_of_flags(
     flags: Mapping[str, Column], none: str = fixed.NO_OUTCOME, mixed: str = fixed.MIXED_OUTCOME
 ) -> Column:
     """The name of the only flag that is set; ``none`` if there is none, ``mixed`` if several."""
-    raised = sum(flag.cast("int") for flag in flags.values())
-    verdict = F.when(raised > 1, F.lit(mixed))
-    for name, flag in flags.items():
-        verdict = verdict.when(flag, F.lit(name))
-    return verdict.otherwise(F.lit(none))
+    n = len(flags)
+    # Weights from n + 1 on: no sum of several is a weight, so one number tells all and each flag is computed once.
+    raised = sum((flag.cast("int") * (n + i) for i, flag in enumerate(flags.values(), 1)), F.lit(0))
+    place = F.greatest(F.least(raised - (n - 1), F.lit(n + 2)), F.lit(1))
+    return F.element_at(F.array(*map(F.lit, (none, *flags, mixed))), place)
 
 
 def outcome(text: Column, patterns: Mapping[str, str] = fixed.OUTCOME_PATTERNS) -> Column:

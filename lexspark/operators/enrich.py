@@ -51,16 +51,16 @@ def add_snippet(left: DataFrame, texts: DataFrame, key: str, text: str, order_by
     return lookup(left, unique, key, {alias: or_empty(F.col("_text"))})
 
 
-def add_citation_text(citations: DataFrame, articles: DataFrame | None, order_by: Column | None = None) -> DataFrame:
+def add_citation_text(citations: DataFrame, articles: DataFrame | None, order_by: Column) -> DataFrame:
     """Citations with the cited article's text; without an articles table the column is left out.
 
-    ``order_by`` says which of several rows of an article is the last; by default the row order
-    in which Spark reads the table.
+    ``order_by`` says which of several rows of an article is the last. Where no row has a text the
+    column is there and empty.
     """
     base = citations.select("fonte_filename", "fonte_collezione", "fonte_anno", "fonte_tipo", "articolo", "contesto")
     if articles is None:
         return base
-    return add_snippet(base, articles, "articolo", "testo", F.monotonically_increasing_id() if order_by is None else order_by)
+    return add_snippet(base, articles, "articolo", "testo", order_by)
 
 
 def add_registry(mapping: DataFrame, registry: DataFrame) -> DataFrame:

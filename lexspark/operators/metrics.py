@@ -47,11 +47,15 @@ def shares(df: DataFrame, key: str, count_alias: str = "n", share_alias: str = "
 
 def totals(df: DataFrame, parent: tuple[str, ...], item: str, decided: Column) -> DataFrame:
     """One row: rows, distinct parents, distinct items, decided rows and their percentage."""
-    counted = df.agg(
-        F.count(F.lit(1)).alias("righe"),
-        F.count_distinct(F.struct(*parent)).alias("pronunce"),
-        F.count_distinct(item).alias("massime"),
-        F.count_if(decided).alias("con_esito"),
+    # Distinct counts expand each row; grouped first, only one row per parent and item is expanded.
+    groups = df.groupBy(F.struct(*parent).alias("_parent"), F.col(item).alias("_item")).agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if(decided).alias("_decided"))
+    none = F.lit(0).cast("bigint")
+    counted = groups.agg(
+        F.coalesce(F.sum("_n"), none).alias("righe"),
+        F.count_distinct("_parent").alias("pronunce"),
+        F.count_distinct("_item").alias("massime"),
+        F.coalesce(F.sum("_decided"), none).alias("con_esito"),
     )
     return counted.withColumn(
         "pct_con_esito", F.try_divide(F.col("con_esito") * F.lit(100.0), F.col("righe"))

@@ -6,7 +6,7 @@ partial aggregation; it is then laid out as one row per rule.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Collection, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -66,6 +66,12 @@ def always(name: str, condition: Column) -> Rule:
     return Rule(name, F.count_if(~F.coalesce(condition, F.lit(False))), 0, 0)
 
 
+def version_is(column: str, version: int, columns: Collection[str]) -> Rule:
+    """Every row has the version; a table without the column fails."""
+    have = F.col(column) == version if column in columns else F.lit(False)
+    return always(f"{column} is {version}", have)
+
+
 def marker_count(column: str, pattern: str, at_least: int, at_most: int | None = None) -> Rule:
     found = F.coalesce(F.sum(F.regexp_count(F.col(column), F.lit(pattern)).cast("bigint")), F.lit(0))
     return Rule(f"{column} markers {pattern}", found, at_least, at_most)

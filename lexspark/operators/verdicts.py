@@ -4,8 +4,8 @@ The outcome is that of the group's texts joined by a space, in order. Joining th
 would not work for a group holding a large share of all rows, so the texts are never collected:
 
 * a match inside one text is a flag of that row, and flags combine with ``bool_or``;
-* a match across texts covers at most ``words`` words, so it can only touch the first and last
-  ``words - 1`` words of each text. Only these edges are folded, in order, in chunks of
+* a match across texts covers at most ``words`` words, a number that follows from the patterns, so
+  it can only touch the first and last ``words - 1`` words of each text. Only these edges are folded, in order, in chunks of
   consecutive positions; each chunk yields its flags and again an edge.
 
 A round folds chunks of at most 16,384 positions, and the last round what is left of a group.
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from lexspark import fixed
 from lexspark.functions.rules import outcome_flags, outcome_of_flags
+from lexspark.functions.spans import words_spanned
 from lexspark.functions.text import strip
 
 _CUT = " \x00 "
@@ -47,16 +48,22 @@ def group_outcome(
     position: str,
     text: str,
     patterns: Mapping[str, str] = fixed.OUTCOME_PATTERNS,
-    words: int = fixed.OUTCOME_WORDS,
+    words: int | None = None,
     position_bits: int = _POSITION_BITS,
     chunk_bits: int = _CHUNK_BITS,
 ) -> DataFrame:
     """``(key, esito)``, one row per key.
 
-    ``position`` is a non-negative integer that orders the texts of a group. A pattern may cover
-    at most ``words`` words, join them only by ``\\s+`` and not match U+0000. ``position_bits`` tells
-    how large positions get; larger ones only make the last round's pieces larger.
+    ``position`` is an integer that orders the texts of a group, from 0 to below
+    ``2 ** position_bits`` and once per text; others stop the job. ``words`` is what a match may
+    span; by default it follows from the patterns, and fewer than that are refused, as are patterns
+    without a bound.
     """
+    needed = max(map(words_spanned, patterns.values()), default=1)
+    if words is None:
+        words = needed
+    if words < needed:
+        raise ValueError(f"the patterns span {needed} words, not {words}")
     names = [f"_f{i}" for i in range(len(patterns))]
     flags = outcome_flags(F.col(text), patterns)
     rows = df.select(
@@ -71,13 +78,17 @@ def group_outcome(
 
     if words > 1:
         rounds = max(1, -(-position_bits // chunk_bits))
+        fits = F.col("_at").between(0, (1 << min(position_bits, rounds * chunk_bits, 62)) - 1)
+        rows = rows.withColumn("_at", F.when(fits, F.col("_at")).otherwise(F.raise_error(F.lit("a position is null or out of range")).cast("bigint")))
         for left in reversed(range(rounds)):
             chunk = F.shiftright("_at", chunk_bits) if left else F.lit(0).cast("bigint")
             joined = F.array_join(F.transform(
                 F.sort_array(F.collect_list(F.when(strip(F.col("_edge")) != "", F.struct("_at", "_edge")))),
                 lambda e: e["_edge"],
             ), " ")
-            folded = rows.groupBy(key, chunk.alias("_chunk")).agg(*merged(), joined.alias("_edge"))
+            distinct = F.size(F.collect_set("_at")) == F.count(F.lit(1))
+            folded = rows.groupBy(key, chunk.alias("_chunk")).agg(
+                *merged(), F.when(distinct, joined).otherwise(F.raise_error(F.lit("a position occurs twice in a group")).cast("string")).alias("_edge"))
             across = outcome_flags(F.col("_edge"), patterns).values()
             rows = folded.select(
                 key, F.col("_chunk").alias("_at"),

@@ -184,10 +184,11 @@ def _enrich_snippet(spark: SparkSession, root: str) -> DataFrame:
 
 
 @_query("citation_text", """
+    WITH last AS (SELECT conv_id, arg_max(text, turn) AS text FROM conversations WHERE text <> '' GROUP BY 1)
     SELECT CAST(l.doc_id AS VARCHAR) AS fonte_filename, CASE quality WHEN 1 THEN 'buona' ELSE 'altra' END AS fonte_collezione,
         CAST(toxic AS BIGINT) AS fonte_anno, 'etichetta' AS fonte_tipo, l.doc_id AS articolo, '' AS contesto,
         coalesce(substr(d.text, 1, 300), '') AS articolo_testo
-    FROM labels l LEFT JOIN documents d ON l.doc_id = d.doc_id AND d.text <> ''
+    FROM labels l LEFT JOIN last d ON l.doc_id = d.conv_id
 """)
 def _citation_text(spark: SparkSession, root: str) -> DataFrame:
     citations = _table(spark, root, "labels").select(
@@ -196,8 +197,8 @@ def _citation_text(spark: SparkSession, root: str) -> DataFrame:
         F.col("toxic").cast("bigint").alias("fonte_anno"), F.lit("etichetta").alias("fonte_tipo"),
         F.col("doc_id").alias("articolo"), F.lit("").alias("contesto"),
     )
-    articles = _table(spark, root, "documents").select(F.col("doc_id").alias("articolo"), F.col("text").alias("testo"))
-    return schemas.select_as(datasets.citazioni_legislative(citations, articles), schemas.CITAZIONI)
+    articles = _table(spark, root, "conversations").select(F.col("conv_id").alias("articolo"), F.col("text").alias("testo"), "turn")
+    return schemas.select_as(datasets.citazioni_legislative(citations, articles, F.col("turn")), schemas.CITAZIONI)
 
 
 @_query("enrich_registry_last_wins", """
@@ -245,26 +246,23 @@ def _missing_keys(spark: SparkSession, root: str) -> DataFrame:
 
 @_query("cited_never_litigated", """
     SELECT DISTINCT o_custkey AS articolo FROM orders
-    WHERE o_custkey NOT IN (SELECT user_id FROM events WHERE event_type = 'error' AND user_id <> 0)
-      AND o_custkey NOT IN (SELECT user_id FROM events WHERE event_type = 'view')
+    WHERE o_custkey NOT IN (SELECT user_id FROM events WHERE user_id <> 0) AND o_custkey NOT IN (SELECT conv_id FROM conversations)
 """)
 def _cited_never_litigated(spark: SparkSession, root: str) -> DataFrame:
-    events = _table(spark, root, "events")
-    acts = events.where("event_type = 'error'").select(F.col("user_id").alias("parametro_articolo"))
-    maxims = events.where("event_type = 'view'").select(
-        compose.text_of("user_id").alias("parametro_articolo"), F.lit("altro").alias("esito")
+    acts = _table(spark, root, "events").select(F.col("user_id").alias("parametro_articolo"))
+    maxims = _table(spark, root, "conversations").select(
+        compose.text_of("conv_id").alias("parametro_articolo"), F.lit("altro").alias("esito")
     )
     citations = _table(spark, root, "orders").select(F.col("o_custkey").alias("articolo"))
     return questions.cited_never_litigated(citations, acts, maxims)
 
 
 @_query("without_implementing_law", """
-    SELECT c_custkey AS articolo FROM customer
-    WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'P')
+    SELECT c_custkey AS articolo FROM customer WHERE NOT EXISTS (SELECT 1 FROM events WHERE user_id = c_custkey)
 """)
 def _without_implementing_law(spark: SparkSession, root: str) -> DataFrame:
     articles = _table(spark, root, "customer").select(F.col("c_custkey").alias("articolo"))
-    citations = _table(spark, root, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("articolo"))
+    citations = _table(spark, root, "events").select(F.col("user_id").alias("articolo"))
     return questions.without_implementing_law(articles, citations)
 
 
@@ -280,6 +278,34 @@ def _distinct_citing(spark: SparkSession, root: str) -> DataFrame:
     ).distinct()
 
 
+@_query("laws_citing", """
+    SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS fonte_filename, l_linestatus AS fonte_collezione, CAST(l_suppkey AS BIGINT) AS fonte_anno, l_returnflag AS fonte_tipo
+    FROM lineitem WHERE l_partkey = 7
+""")
+def _laws_citing(spark: SparkSession, root: str) -> DataFrame:
+    """What cites one article: the feature looks one key up in the whole table."""
+    return questions.laws_citing(_table(spark, root, "lineitem").select(
+        compose.text_of("l_orderkey").alias("fonte_filename"), F.col("l_linestatus").alias("fonte_collezione"),
+        F.col("l_suppkey").cast("bigint").alias("fonte_anno"), F.col("l_returnflag").alias("fonte_tipo"), F.col("l_partkey").alias("articolo"),
+    ), 7)
+
+
+@_query("datasets_for", """
+    SELECT DISTINCT CAST(user_id AS VARCHAR) AS dataset_slug, event_type AS dataset_name, '' AS dimensione FROM events WHERE user_id % 25 = 9
+""")
+def _datasets_for(spark: SparkSession, root: str) -> DataFrame:
+    """Datasets of one article, with 25 articles that all events belong to."""
+    return questions.datasets_for(_table(spark, root, "events").select(
+        (F.col("user_id") % 25).alias("articolo"), compose.text_of("user_id").alias("dataset_slug"), F.col("event_type").alias("dataset_name"), F.lit("").alias("dimensione"),
+    ), 9)
+
+
+@_query("outcomes_of", "SELECT event_type AS esito, count(*) AS volte FROM events WHERE user_id % 25 = 3 GROUP BY 1")
+def _outcomes_of(spark: SparkSession, root: str) -> DataFrame:
+    return questions.outcomes_of(_table(spark, root, "events").select(
+        (F.col("user_id") % 25).cast("string").alias("parametro_articolo"), F.col("event_type").alias("esito")), 3)
+
+
 @_query("scorecard", f"""
     WITH {_RULINGS},
     acts AS (SELECT user_id AS articolo, count(*) AS n FROM events WHERE user_id <> 0 GROUP BY 1),
@@ -506,6 +532,18 @@ def _grouped_verdict(spark: SparkSession, root: str) -> DataFrame:
     return verdicts.group_outcome(_table(spark, root, "conversations"), "conv_id", "turn", "text", _SPANS)
 
 
+_LONG_SPANS = {"sei_parole": r"[a-z]+\s+[a-z]+\.\s+[A-Z][a-z]+\s+[a-z]+\s+[a-z]+\s+[a-z]*de", "due": r"que\s+la", "cinque": r"the\s+[a-z]+\s+[a-z]+\s+[a-z]+\.\s+Th"}
+
+
+@_query("grouped_verdict_long", f"""
+    WITH joined AS (SELECT conv_id, string_agg(text, ' ' ORDER BY turn) AS t FROM conversations GROUP BY 1)
+    SELECT conv_id, {_sql_outcome({n: f"regexp_matches(t, '{p}')" for n, p in _LONG_SPANS.items()})} AS esito FROM joined
+""")
+def _grouped_verdict_long(spark: SparkSession, root: str) -> DataFrame:
+    """Patterns over up to six words; how many follows from the patterns."""
+    return verdicts.group_outcome(_table(spark, root, "conversations"), "conv_id", "turn", "text", _LONG_SPANS)
+
+
 # --- court records -----------------------------------------------------------------------------
 
 
@@ -640,6 +678,22 @@ def _documents_roundtrip(spark: SparkSession, root: str) -> DataFrame:
     return documents.read_written_documents(spark, out)
 
 
+@_query("published_sql", """
+    SELECT CAST(user_id % 25 AS BIGINT) AS articolo, count(*) AS n, count(DISTINCT event_id) AS fonti FROM events GROUP BY 1 HAVING count(*) > 1
+""")
+def _published_sql(spark: SparkSession, root: str) -> DataFrame:
+    """Publish a table, register the published tables as views, and ask them in SQL."""
+    rows = _table(spark, root, "events").select(
+        compose.text_of("event_id").alias("fonte_filename"), F.col("event_type").alias("fonte_collezione"), F.lit(2000).cast("bigint").alias("fonte_anno"),
+        F.lit("legge").alias("fonte_tipo"), (F.col("user_id") % 25).cast("bigint").alias("articolo"), F.lit("").alias("contesto"), F.lit("").alias("articolo_testo"),
+    )
+    out = shared_dir(spark, "pubblicati")
+    tables.publish(rows, f"{out}/citazioni_legislative", schemas.CITAZIONI)
+    datasets.register_views(spark, out)
+    return spark.sql("""
+        SELECT articolo, count(*) AS n, count(DISTINCT fonte_filename) AS fonti FROM citazioni_legislative GROUP BY articolo HAVING count(*) > 1""")
+
+
 @_query("array_csv_roundtrip", """
     SELECT doc_id AS urn, array_to_string([try_cast(n AS BIGINT) FOR n IN regexp_extract_all(text, '[0-9]+')], ', ') AS articoli_modificati
     FROM documents
@@ -669,6 +723,7 @@ def _array_csv_roundtrip(spark: SparkSession, root: str) -> DataFrame:
     UNION ALL SELECT 'numbers has 9', nines >= 1, nines FROM m
     UNION ALL SELECT 'text markers tion', marks >= 1, marks FROM m
     UNION ALL SELECT 'n_chars matches', wrong = 0, wrong FROM m
+    UNION ALL SELECT 'schema_version is 1', foreign_ = 0, foreign_ FROM m
     UNION ALL SELECT 'doc_id references', count(*) = 0, count(*) FROM
         (SELECT DISTINCT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels))
     UNION ALL SELECT 'column text', true, 1
@@ -677,7 +732,7 @@ def _array_csv_roundtrip(spark: SparkSession, root: str) -> DataFrame:
 """)
 def _dq_report(spark: SparkSession, root: str) -> DataFrame:
     docs = _wide(spark, root, "documents", "doc_id", "lang", "n_chars", "text")
-    with_numbers = docs.withColumn("numbers", numbers_in(F.col("text")))
+    with_numbers = docs.withColumn("numbers", numbers_in(F.col("text"))).withColumn("schema_version", F.when(F.col("lang").isin("en", "fr"), 1).otherwise(2))
     report = quality.dq_report(with_numbers, [
         quality.rows_at_least(200),
         quality.not_null_exactly("doc_id", 1000),
@@ -689,6 +744,7 @@ def _dq_report(spark: SparkSession, root: str) -> DataFrame:
         quality.array_has("numbers", 9),
         quality.marker_count("text", "tion", 1),
         quality.always("n_chars matches", F.col("n_chars") == F.char_length("text")),
+        quality.version_is("schema_version", 1, with_numbers.columns),
     ])
     return (
         report

@@ -69,8 +69,8 @@ def indicatori_costituzionali(df: DataFrame, rows: int = 30, required: tuple[int
     ])
 
 
-def mapping(entries: DataFrame, registry: DataFrame) -> DataFrame:
-    """Curated mapping: filled fields, known kinds, slugs that exist in the registry."""
-    rules = [quality.rows_at_least(1), *[quality.not_empty(c) for c in ("articolo", "dataset_slug", "dimensione")],
+def mapping(entries: DataFrame, registry: DataFrame, version: int = fixed.MAPPING_VERSION) -> DataFrame:
+    """Curated mapping: its version, filled fields, known kinds, slugs that exist in the registry."""
+    rules = [quality.version_is("schema_version", version, entries.columns), quality.rows_at_least(1), *[quality.not_empty(c) for c in ("articolo", "dataset_slug", "dimensione")],
              quality.only_values("tipo", fixed.INDICATOR_KINDS)]
     return quality.dq_report(entries, rules).unionByName(quality.reference_report(entries, registry, "dataset_slug"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexspark import fixed, schemas
@@ -77,19 +77,19 @@ def massime(zips: DataFrame) -> DataFrame:
     return flatten.flatten_maxims(archives.read_rulings(zips))
 
 
-def citazioni_legislative(citations: DataFrame, articles: DataFrame | None) -> DataFrame:
-    return enrich.add_citation_text(citations, articles)
+def citazioni_legislative(citations: DataFrame, articles: DataFrame | None, order_by: Column) -> DataFrame:
+    """Citations with the text of the article; of several the last by ``order_by``."""
+    return enrich.add_citation_text(citations, articles, order_by)
 
 
 def indicatori_costituzionali(mapping: DataFrame, registry: DataFrame) -> DataFrame:
-    """Mapping with registry names, checked against the registry; ``ordinal`` keeps the input order."""
-    enrich.require_references(mapping, registry)
+    """Mapping with registry names; ``ordinal`` keeps the input order."""
     return enrich.add_registry(mapping, registry)
 
 
 # --- jobs: read landed files, publish Parquet and CSV -------------------------------------------
 def publish_testo(spark: SparkSession, wikitext: str, out: str) -> None:
-    documents.write_documents(testo(documents.read_document(spark, wikitext)), out)
+    documents.write_text(testo(documents.read_document(spark, wikitext)), out)
 
 
 def publish_articoli(spark: SparkSession, markdown: str, out: str) -> None:
@@ -112,13 +112,16 @@ def publish_massime(spark: SparkSession, zips: str, out: str) -> None:
 
 
 def publish_citazioni(spark: SparkSession, citations: str, articles: str, out: str) -> None:
-    known = documents.if_exists(lambda: spark.read.parquet(articles).select("articolo", "testo"))
-    rows = citazioni_legislative(spark.read.parquet(citations), known)
+    known = documents.if_exists(lambda: spark.read.parquet(articles).select(
+        "articolo", "testo", F.struct("_metadata.file_path", "_metadata.row_index").alias("_order")))
+    rows = citazioni_legislative(spark.read.parquet(citations), known, F.col("_order"))
     tables.publish(rows, out, rows.schema)  # types are those of the upstream table
 
 
 def publish_indicatori(spark: SparkSession, mapping: str, registry: str, out: str) -> None:
-    rows = indicatori_costituzionali(tables.read_mapping(spark, mapping), tables.read_registry(spark, registry))
+    entries, known = tables.read_mapping(spark, mapping), tables.read_registry(spark, registry)
+    enrich.require_references(entries, known)
+    rows = indicatori_costituzionali(entries, known)
     tables.publish(rows.orderBy("articolo", "ordinal"), out, schemas.INDICATORI)  # a curated list, read in order
 
 

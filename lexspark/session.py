@@ -33,24 +33,23 @@ def build_session(master: str | None = None, app: str = "lexspark", **conf: str)
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder name below the cluster's shared folder (``spark.checkpoint.dir``).
 
-    Only a session without that setting, as in a local test, falls back to a temporary folder.
+    A session of one machine may do without that setting and gets the machine's temporary folder;
+    on a cluster, where executors would not see each other's files, it is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="lexspark-")
+        if not spark.conf.get("spark.master", "").split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir is not set; it has to name a folder all executors share")
+        base = f"{tempfile.gettempdir()}/lexspark"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def spread(table: DataFrame, columns: Sequence[str] = ("*",)) -> DataFrame:
-    """Columns of a file table, dealt out to all cores if the table is too small to be.
+    """Columns of a table, dealt out to ``spark.lexspark.spread`` partitions if the session sets that.
 
-    For work per row that outweighs moving the row. Spark scans a table in at least as many tasks
-    as there are cores once it holds ``spark.sql.files.openCostInBytes`` per core; such a table is
-    left where it is.
+    For tables in so few unsplittable files that a scan leaves cores idle. Without the setting rows
+    stay where they are read, whatever the table's size.
     """
-    spark = table.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    enough = spark._jvm.org.apache.spark.sql.internal.SQLConf.get().filesOpenCostInBytes() * cores
-    size = int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    parts = int(table.sparkSession.conf.get("spark.lexspark.spread", "0"))
     chosen = table.select(*columns)
-    return chosen.repartition(cores) if size < enough else chosen
+    return chosen.repartition(parts) if parts else chosen

@@ -44,18 +44,19 @@ def read_document(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_documents(documents: DataFrame, path: str, name: str = "documento", content: str = "contenuto") -> None:
-    """One text file per document, in a folder named after it.
+    """Documents as rows of Parquet, many to a file: the number of files does not follow that of the documents."""
+    documents.select(F.col(name).alias("documento"), F.col(content).alias("contenuto")).write.mode("overwrite").parquet(path)
+
+
+def write_text(documents: DataFrame, path: str, content: str = "contenuto") -> None:
+    """One text file per document in a flat folder, for a few published texts.
 
     The writer ends each document with a newline, so the one it already has is left out.
     """
-    ended = F.regexp_replace(F.col(content), r"\n\z", "").alias("contenuto")
-    (
-        documents.select(F.col(name).alias("documento"), ended)
-        .write.mode("overwrite").partitionBy("documento").text(path)
-    )
+    ended = F.regexp_replace(F.col(content), r"\n\z", "")
+    documents.select(ended).write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
 
 
 def read_written_documents(spark: SparkSession, path: str) -> DataFrame:
     """``(documento, contenuto)`` as written by ``write_documents``."""
-    texts = spark.read.schema("value string, documento string").text(path, wholetext=True)
-    return texts.select("documento", F.col("value").alias("contenuto"))
+    return spark.read.schema("documento string, contenuto string").parquet(path)

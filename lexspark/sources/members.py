@@ -105,17 +105,8 @@ def well_formed(content: bytes) -> bool:
         return False
 
 
-_TREE_BYTES = 8 << 20
-
-
-def elements(content: bytes, tag: str, any_depth: bool) -> Iterable[Element]:
-    """The elements called ``tag`` below the root; a large file is streamed."""
-    if len(content) <= _TREE_BYTES:
-        return ElementTree.fromstring(content).findall(f".//{tag}" if any_depth else tag)
-    return _stream(content, tag, any_depth)
-
-
-def _stream(content: bytes, tag: str, any_depth: bool) -> Iterator[Element]:
+def elements(content: bytes, tag: str, any_depth: bool) -> Iterator[Element]:
+    """The elements called ``tag`` below the root, as their ends are read."""
     path: list[Element] = []
     inside = 0
     for event, element in ElementTree.iterparse(io.BytesIO(content), events=("start", "end")):
@@ -152,18 +143,15 @@ def read_elements(members: Iterable[dict], tag: str, any_depth: bool, fail_fast:
                   build: Callable[[Element], dict]) -> Iterator[dict]:
     """Records of every file. A malformed file is an error or gives no record at all."""
     for row in members:
-        content = row["content"]
+        found = map(build, elements(row["content"], tag, any_depth))
         try:
-            if len(content) > _TREE_BYTES and not fail_fast:
-                check(content)
-            found = elements(content, tag, any_depth)
+            # Records of a file that may turn out malformed wait for its end.
+            records = found if fail_fast else list(found)
         except ElementTree.ParseError:
-            if fail_fast:
-                raise
             log.info("malformed XML in %s/%s", row["archive"], row["member"])
             continue
-        for element in found:
-            yield {"archive": row["archive"], "member": row["member"], "record": build(element)}
+        for record in records:
+            yield {"archive": row["archive"], "member": row["member"], "record": record}
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -67,17 +67,18 @@ def clean_mapping(entries: DataFrame) -> DataFrame:
 
     Entries without article (null or 0) or without slug are dropped.
     """
+    versions = [c for c in ("schema_version",) if c in entries.columns]
     return entries.where((F.coalesce("articolo", F.lit(0)) != 0) & (or_empty(F.col("dataset_slug")) != "")).select(
         "ordinal", F.col("articolo").cast("bigint").alias("articolo"), "dataset_slug",
         or_empty(F.col("dimensione")).alias("dimensione"),
-        F.coalesce("tipo", F.lit(fixed.DEFAULT_INDICATOR_KIND)).alias("tipo"),
+        F.coalesce("tipo", F.lit(fixed.DEFAULT_INDICATOR_KIND)).alias("tipo"), *versions,
     )
 
 
 def read_mapping(spark: SparkSession, path: str) -> DataFrame:
     """Curated mapping from JSON lines with an ``ordinal`` per entry."""
     return clean_mapping(spark.read.schema(
-        "ordinal bigint, articolo bigint, dataset_slug string, dimensione string, tipo string"
+        "ordinal bigint, articolo bigint, dataset_slug string, dimensione string, tipo string, schema_version bigint"
     ).json(path))
 
 

@@ -13,6 +13,7 @@ def spark(tmp_path_factory):
     session = build_session("local[4]", **{
         "spark.sql.shuffle.partitions": "4",
         "spark.ui.enabled": "false",
+        "spark.lexspark.spread": "4",
         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
     })
     session.sparkContext.setLogLevel("ERROR")

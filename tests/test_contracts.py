@@ -24,7 +24,9 @@ def test_text_and_articles(spark):
 def test_mapping_and_revisions(spark):
     entries = spark.createDataFrame([(0, 9, "a", "d", "outcome"), (1, 3, "b", "", "altro")], "ordinal bigint, articolo bigint, dataset_slug string, dimensione string, tipo string")
     registry = spark.createDataFrame([("a",)], "dataset_slug string")
-    assert failed(contracts.mapping(entries, registry)) == {"dimensione not empty", "tipo in domain", "dataset_slug references"}
+    assert failed(contracts.mapping(entries, registry)) == {"dimensione not empty", "tipo in domain", "dataset_slug references", "schema_version is 1"}
+    assert "schema_version is 1" not in failed(contracts.mapping(entries.withColumn("schema_version", F.lit(1)), registry))
+    assert "schema_version is 1" in failed(contracts.mapping(entries.withColumn("schema_version", F.col("ordinal")), registry))
     laws = spark.createDataFrame([("u", "c", "d", "t", [9], 1, fixed.AMENDMENT)], schemas.REVISIONI)
     assert failed(contracts.revisioni(laws, rows=1, amendments=1)) == set()
     assert failed(contracts.revisioni(laws)) == {"rows", "amendments"}

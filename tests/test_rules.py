@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lexspark import fixed
 from lexspark.functions import rules
+from lexspark.functions.spans import UnboundedPattern, words_spanned
 from lexspark.operators import verdicts
 from lexspark.plans import datasets
 
@@ -96,7 +97,7 @@ def joined_outcome(texts):
     return "altro" if not hits else hits[0] if len(hits) == 1 else "misto"
 
 
-@pytest.mark.parametrize(("chunk_bits", "position_bits"), [(1, 3), (2, 11), (14, 42), (14, 5)])
+@pytest.mark.parametrize(("chunk_bits", "position_bits"), [(4, 12), (2, 11), (14, 42), (14, 11)])
 def test_group_outcome_equals_joining(spark, chunk_bits, position_bits):
     """Small chunks make matches cross chunk borders; group 0 holds a third of all rows."""
     rng = random.Random(chunk_bits)
@@ -118,3 +119,34 @@ def test_group_outcome_single_words(spark):
     df = spark.createDataFrame([(1, 0, "aaa"), (1, 1, "bbb"), (2, 0, ""), (3, 0, None)], "k bigint, at bigint, t string")
     got = verdicts.group_outcome(df, "k", "at", "t", {"a": "a", "b": "b"}, words=1)
     assert {tuple(r) for r in got.collect()} == {(1, "misto"), (2, "altro"), (3, "altro")}
+
+
+def test_words_spanned():
+    for pattern, words in {r"a": 1, r"a\s+b": 2, r"(?iU)a(?:\s+b)?\s+c|d": 3, r"uno\s+due\s+tre\s+quattro\s+cinque\s+sei": 6, r"\ba\b\s": 2, r"(?:a\s){3}": 4, r"[a-z]+\s*[a-z]*": 2}.items():
+        assert words_spanned(pattern) == words
+    for pattern in (r"c\W+g", r"a.b", r"a[^b]c", r"(?:a\s+)+", r"^a", r"a$", r"a(?=b)", r"(a)\1", r"[\s,]+", r"a\x00"):
+        with pytest.raises(UnboundedPattern):
+            words_spanned(pattern)
+
+
+def test_group_outcome_over_many_words(spark):
+    df = spark.createDataFrame([(1, 0, "x x x x uno due tre quattro"), (1, 1, "cinque sei y y y y"), (2, 0, "a b c d e f g h i")], "k bigint, at bigint, t string")
+    assert dict(map(tuple, verdicts.group_outcome(df, "k", "at", "t", {"sei": r"uno\s+due\s+tre\s+quattro\s+cinque\s+sei"}).collect())) == {1: "sei", 2: "altro"}
+    for bad in ({"p": r"c\W+g"}, {"p": r"a.*b"}):
+        with pytest.raises(UnboundedPattern):
+            verdicts.group_outcome(df, "k", "at", "t", bad)
+    with pytest.raises(ValueError):
+        verdicts.group_outcome(df, "k", "at", "t", {"p": r"a\s+b\s+c"}, words=2)
+
+
+@pytest.mark.parametrize("places", [(3, 3), (-1, 0), (0, 1 << 43), (0, None)])
+def test_group_outcome_checks_positions(spark, places):
+    df = spark.createDataFrame([(1, p, "a") for p in places], "k bigint, at bigint, t string")
+    with pytest.raises(Exception, match="a position"):
+        verdicts.group_outcome(df, "k", "at", "t", {"p": r"a\s+b"}).collect()
+
+
+def test_each_outcome_pattern_runs_once(spark):
+    df = spark.createDataFrame([("x",)], "t string").select(rules.outcome(F.col("t")).alias("esito"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.upper().count("RLIKE") == len(fixed.OUTCOME_PATTERNS)
