@@ -694,6 +694,28 @@ def _published_sql(spark: SparkSession, root: str) -> DataFrame:
         SELECT articolo, count(*) AS n, count(DISTINCT fonte_filename) AS fonti FROM citazioni_legislative GROUP BY articolo HAVING count(*) > 1""")
 
 
+@_query("documents_from_files", """
+    SELECT '# ' || n_name || chr(10) || 'tipo: ' || n_regionkey || chr(10) AS value FROM nation
+""")
+def _documents_from_files(spark: SparkSession, root: str) -> DataFrame:
+    """One text file per nation in a flat folder, read as whole documents."""
+    texts = _table(spark, root, "nation").select(
+        F.concat(F.lit("# "), F.col("n_name"), F.lit("\r\ntipo: "), compose.text_of("n_regionkey"), F.lit("\r\n")).alias("contenuto"))
+    out = shared_dir(spark, "file")
+    documents.write_text(texts, out)
+    return documents.read_documents(spark, out, "*.txt").select("value")
+
+
+@_query("member_years", """
+    SELECT CASE WHEN o_orderkey % 11 = 0 THEN '??' ELSE CAST(year(o_orderdate) AS VARCHAR) END AS anno, count(*) AS n FROM orders GROUP BY 1
+""")
+def _member_years(spark: SparkSession, root: str) -> DataFrame:
+    """Years in the names of archive members."""
+    year = F.when(F.col("o_orderkey") % 11 == 0, "senza").otherwise(F.date_format("o_orderdate", "yyyyMMdd"))
+    members = _table(spark, root, "orders").select(archives.member_year(F.concat(F.lit("m_"), year, F.lit(".xml"))).alias("anno"))
+    return metrics.count_by(members, "anno", "n")
+
+
 @_query("array_csv_roundtrip", """
     SELECT doc_id AS urn, array_to_string([try_cast(n AS BIGINT) FOR n IN regexp_extract_all(text, '[0-9]+')], ', ') AS articoli_modificati
     FROM documents
