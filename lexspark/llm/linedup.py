@@ -10,14 +10,20 @@ from lexspark.llm.common import SPACE, bind, stash
 #: Words of a shingle, and the Jaccard similarity from which lines match.
 WORDS, SIMILARITY = 5, 0.8
 #: Buckets in which shingles are counted: the table of counts has this size whatever the corpus.
-BUCKETS = 1 << 18
+BUCKETS = 1 << 17
 #: Bits of the table that tells which lines are candidates, likewise of one size.
 BITS = 1 << 23
+#: Places of a prefix between two parities, and how many such steps have one.
+STEP, STEPS = 1, 12
 
 
 def tidy(line: Column) -> Column:
     """The words of a line with single spaces."""
-    return F.trim(F.regexp_replace(line, SPACE, " "))
+    odd = line.startswith(" ") | line.endswith(" ")
+    for mark in ("  ", "\t", "\v", "\f", "\r"):
+        odd = odd | line.contains(mark)
+    # Most lines are tidy, which a search for bytes tells faster than a pattern.
+    return F.when(odd, F.trim(F.regexp_replace(line, SPACE, " "))).otherwise(line)
 
 
 def shingles(line: Column, words: int = WORDS) -> Column:
@@ -26,6 +32,24 @@ def shingles(line: Column, words: int = WORDS) -> Column:
     return bind(every, lambda s: F.when(F.size(s) > 0, F.array_distinct(s)).when(line != "", F.array(line)).otherwise(F.slice(s, 1, 0)))
 
 
+def _word_hashes(line: Column) -> Column:
+    return F.transform(F.split(line, " "), lambda w: F.xxhash64(w))
+
+
+def _places(hashes: Column, words: int) -> Column:
+    """Where the shingles of a line begin."""
+    return F.sequence(F.lit(0), F.greatest(F.size(hashes) - words, F.lit(0)))
+
+
+def _hash(hashes: Column, at: Column, words: int) -> Column:
+    """The hash of a shingle from those of its words; of a shorter line that of all its words."""
+    return F.xxhash64(*(F.get(hashes, at + k) for k in range(words)))
+
+
+def _bucket(h: Column) -> Column:
+    return h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
+
+
 def lines_of(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """``pos, row, line_no, class, line`` of every line: its place in the corpus, its row, and its words.
 
@@ -45,10 +69,13 @@ def row_key(id_column: str, text_column: str) -> Column:
 
 
 def _rarities(lines: DataFrame, words: int) -> Column:
-    """An array, as a scalar: for each bucket of shingles a class of how many there are, over all lines."""
-    counts = lines.select(F.explode(shingles(F.col("line"), words)).alias("s")).groupBy(F.pmod(F.xxhash64("s"), F.lit(BUCKETS)).alias("id")).agg(F.count("*").alias("n"))
-    dense = lines.sparkSession.range(BUCKETS).join(counts, "id", "left").select(F.struct("id", F.floor(4 * F.log2(F.coalesce("n", F.lit(0)) + 1)).alias("rank")).alias("x"))
-    return dense.agg(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["rank"]).alias("ranks")).scalar()
+    """An array, as a scalar: for each bucket of shingles a class of how many there are over all lines, in the highest bits."""
+    split = lines.where("class IS NOT NULL").select(_word_hashes(F.col("line")).alias("w"))
+    counts = split.select("w", F.explode(_places(F.col("w"), words)).alias("at")).groupBy(
+        _bucket(_hash(F.col("w"), F.col("at"), words)).cast("long").alias("id")).agg(F.count("*").alias("n"))
+    rank = F.shiftleft(F.floor(4 * F.log2(F.coalesce("n", F.lit(0)) + 1)), 55)
+    dense = lines.sparkSession.range(BUCKETS).join(counts, "id", "left").select(F.struct("id", rank.alias("rank")).alias("x"))
+    return dense.agg(F.transform(F.array_sort(F.collect_list("x")), lambda x: F.coalesce(x["rank"], F.lit(0).cast("long"))).alias("ranks")).scalar()
 
 
 def _members(ids: DataFrame, bits: int = BITS):
@@ -66,19 +93,39 @@ def _members(ids: DataFrame, bits: int = BITS):
 
 
 def _prefixes(lines: DataFrame, words: int, similarity: float) -> DataFrame:
-    """``token, class, shape`` for the rarest shingles of each class: as many as a match must share one of. ``shape`` is size and place."""
+    """``token, class, shape, parity, last`` for the rarest shingles of each class: as many as a match must share one of.
+
+    ``shape`` is size and place; ``last`` is the shingle before. ``parity`` is about the shingles from
+    the latest step of places on: a bit for each 64th of the hashes, set if an odd number of them fall there.
+    """
+    split = lines.where("class IS NOT NULL").select("class", _word_hashes(F.col("line")).alias("w"))
+    hashed = split.select("class", F.array_distinct(F.transform(_places(F.col("w"), words), lambda at: _hash(F.col("w"), at, words))).alias("hashes"))
     # Named in a projection of its own and mentioned once, the table of ranks is inlined and never becomes a row's cell.
-    ranked = lines.where("class IS NOT NULL").select("class", "line", _rarities(lines, words).alias("ranks"))
-    whole = F.struct("ranks", shingles(F.col("line"), words).alias("s"))
-    token = lambda ranks: lambda x: bind(F.xxhash64(x), lambda h: F.shiftleft(F.get(ranks, F.pmod(h, F.lit(BUCKETS)).cast("int")), 55).bitwiseOR(
-        h.bitwiseAND(F.lit((1 << 55) - 1))))
-    ordered = bind(whole, lambda w: F.sort_array(F.transform(w.s, token(w.ranks))))
+    ranked = hashed.select("class", "hashes", _rarities(lines, words).alias("ranks"))
     length = lambda n: n - F.ceil(n * similarity - 1e-9).cast("int") + 1
-    cut = bind(ordered, lambda t: F.struct(F.size(t).alias("size"), F.slice(t, 1, length(F.size(t))).alias("prefix")))
+    bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
+
+    def order(x: Column) -> Column:
+        tokens = F.sort_array(F.transform(x.hashes, lambda h: x.ranks[_bucket(h)].bitwiseOR(h.bitwiseAND(F.lit((1 << 55) - 1)))))
+        whole = F.aggregate(x.hashes, F.lit(0).cast("long"), lambda a, h: a.bitwiseXOR(bit(h)))
+        return F.struct(F.size(x.hashes).alias("size"), whole.alias("parity"), F.slice(tokens, 1, length(F.size(x.hashes))).alias("prefix"))
+
     # Equal lines fold into one row in each task first, so a line that fills a third of the corpus is shuffled once a task.
-    classes = ranked.select("class", cut.alias("cut")).groupBy("class").agg(F.min("cut").alias("cut"))
-    return classes.where(F.col("cut.size") >= 1 / (1 - similarity) - 1e-9).select("class", F.col("cut.size").cast("long").alias("size"), F.posexplode("cut.prefix").alias("place", "token")).select(
-        "token", "class", F.shiftleft("size", 32).bitwiseOR(F.col("place").cast("long")).alias("shape"))
+    classes = ranked.select("class", bind(F.struct("ranks", "hashes"), order).alias("cut")).groupBy("class").agg(F.min("cut").alias("cut"))
+    steps = classes.select("class", F.col("cut.size").cast("long").alias("size"), F.col("cut.prefix").alias("prefix"), F.col("cut.parity").alias("p0"))
+    for k in range(1, STEPS + 1):
+        left = F.col(f"p{k - 1}")
+        for i in range((k - 1) * STEP, k * STEP):
+            left = left.bitwiseXOR(F.coalesce(bit(F.get("prefix", F.lit(i))), F.lit(0).cast("long")))
+        steps = steps.withColumn(f"p{k}", left)
+    # An expression, not a column, is exploded, so that no filter is inferred and computed below.
+    rows = steps.select("*", F.posexplode(F.slice("prefix", 1, F.size("prefix"))).alias("place", "token"))
+    parity = F.col("p0")
+    for k in range(1, STEPS + 1):
+        parity = F.when(F.col("place") >= k * STEP, F.col(f"p{k}")).otherwise(parity)
+    return rows.select(
+        "token", "class", F.shiftleft("size", 32).bitwiseOR(F.col("place").cast("long")).alias("shape"), parity.alias("parity"),
+        F.coalesce(F.get("prefix", F.col("place") - 1), F.lit(0).cast("long")).alias("last"))
 
 
 def _candidates(prefixes: DataFrame, similarity: float) -> DataFrame:
@@ -86,18 +133,26 @@ def _candidates(prefixes: DataFrame, similarity: float) -> DataFrame:
     a, b = prefixes.alias("a"), prefixes.alias("b")
     size = lambda x: F.shiftright(f"{x}.shape", 32)
     place = lambda x: F.col(f"{x}.shape").bitwiseAND(F.lit((1 << 32) - 1))
-    # What both can still share: this shingle and no more than either has behind it.
-    most = F.least(size("a") - place("a"), size("b") - place("b")) + F.least(place("a"), place("b"))
     needed = (size("a") + size("b")) * (similarity / (1 + similarity)) - 1e-9
+    # Say this is the first shingle both have. Then they share no more than either has from here on; and
+    # those before the step it is in, and at least one for each bit that differs from there on, are in one
+    # of them only. A match passes at its first shared shingle, whatever becomes of it at others. Among
+    # thousands of edited copies of a line the bits tell most of those that miss.
+    step = lambda x: F.least(F.floor(place(x) / STEP), F.lit(STEPS)) * STEP
+    most = F.least(size("a") - place("a"), size("b") - place("b"))
+    apart = step("a") + step("b") + F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity")))
+    # With the same shingle before it in both, it is no first one.
+    later = (F.col("a.last") == F.col("b.last")) & (place("a") > 0) & (place("b") > 0)
     return a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.class") < F.col("b.class"))
-                  & (size("a") >= size("b") * similarity - 1e-9) & (size("b") >= size("a") * similarity - 1e-9) & (most >= needed)).select(
+                  & (size("a") >= size("b") * similarity - 1e-9) & (size("b") >= size("a") * similarity - 1e-9) & (most >= needed)
+                  & (size("a") + size("b") - apart >= 2 * needed) & ~later).select(
         F.col("a.class").alias("a"), F.col("b.class").alias("b")).distinct()
 
 
 def links(lines: DataFrame, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """``a, b``: every two classes of lines whose sets of shingles are at least so similar, verified on the shingles themselves."""
     pairs = stash(_candidates(_prefixes(lines, words, similarity), similarity), "linedup")
-    chosen = _members(pairs.select(F.explode(F.array("a", "b")).alias("id")))
+    chosen = _members(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))))
     texts = lines.where(F.col("class").isNotNull() & chosen(F.col("class"))).groupBy("class").agg(F.min("line").alias("line"))
     both = pairs.join(texts.select(F.col("class").alias("a"), F.col("line").alias("x")), "a").join(texts.select(F.col("class").alias("b"), F.col("line").alias("y")), "b")
 
@@ -119,14 +174,15 @@ def match_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     input don't matter; no rows give no rows.
     """
     lines = lines_of(docs, id_column, text_column)
-    first = lines.where("class IS NOT NULL").groupBy("class").agg(F.min("pos").alias("pos"))
+    places = stash(lines.select("pos", "class"), "linedup")
+    first = places.where("class IS NOT NULL").groupBy("class").agg(F.min("pos").alias("pos"))
     found = stash(links(lines, words, similarity), "linedup")
-    near = found.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e")).select(F.col("e.a").alias("class"), F.col("e.b").alias("other"))
+    near = found.select(F.col("a").alias("class"), F.col("b").alias("other")).union(found.select(F.col("b").alias("class"), F.col("a").alias("other")))
     linked = near.join(first.select(F.col("class").alias("other"), F.col("pos").alias("other_pos")), "other").groupBy("class").agg(
         F.count("*").alias("n_links"), F.min("other_pos").alias("other_pos"))
     judged = first.join(linked, "class", "left").select(
         "class", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), F.least("pos", "other_pos").alias("first_pos"))
-    return lines.select("pos", "class").join(judged, "class", "left").select(
+    return places.join(judged, "class", "left").select(
         F.col("pos.doc_id").alias("doc_id"), F.col("pos.row").alias("row"), F.col("pos.line_no").alias("line_no"), F.col("class").alias("class_id"),
         F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), F.coalesce(F.col("first_pos") < F.col("pos"), F.lit(False)).alias("removed"))
 
