@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexspark.llm.common import SPACE, bind, stash
+from lexspark.llm.common import SPACE, WORD, bind, stash
 
 #: Words of a shingle, and the Jaccard similarity from which lines match.
 WORDS, SIMILARITY = 5, 0.8
@@ -51,17 +51,18 @@ def _bucket(h: Column) -> Column:
 
 
 def lines_of(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """``pos, row, line_no, class, line`` of every line: its place in the corpus, its row, and its words.
+    """``pos, row, line_no, worded, class, line`` of every line: its place in the corpus, its row, and its words.
 
     Lines with the same words in the same order are a class.
     """
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
     cut = docs.select(
         F.col(id_column).alias("doc_id"), row_key(id_column, text_column).alias("row"), F.posexplode(F.split(text, "\n")).alias("line_no", "raw"))
-    made = cut.select("doc_id", "row", F.col("line_no").cast("long").alias("line_no"), tidy(F.col("raw")).alias("line"))
+    # Whether a line has a word is asked of the raw line, so that a filter below doesn't tidy each line once more.
+    made = cut.select("doc_id", "row", F.col("line_no").cast("long").alias("line_no"), F.col("raw").rlike(WORD).alias("worded"), tidy(F.col("raw")).alias("line"))
     return made.select(
-        F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "row", "line_no").alias("pos"), "row", "line_no",
-        F.when(F.col("line") != "", F.xxhash64("line")).alias("class"), "line")
+        F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "row", "line_no").alias("pos"), "row", "line_no", "worded",
+        F.when(F.col("worded"), F.xxhash64("line")).alias("class"), "line")
 
 
 def row_key(id_column: str, text_column: str) -> Column:
@@ -70,7 +71,7 @@ def row_key(id_column: str, text_column: str) -> Column:
 
 def _rarities(lines: DataFrame, words: int) -> Column:
     """An array, as a scalar: for each bucket of shingles a class of how many there are over all lines, in the highest bits."""
-    split = lines.where("class IS NOT NULL").select(_word_hashes(F.col("line")).alias("w"))
+    split = lines.where("worded").select(_word_hashes(F.col("line")).alias("w"))
     counts = split.select("w", F.explode(_places(F.col("w"), words)).alias("at")).groupBy(
         _bucket(_hash(F.col("w"), F.col("at"), words)).cast("long").alias("id")).agg(F.count("*").alias("n"))
     rank = F.shiftleft(F.floor(4 * F.log2(F.coalesce("n", F.lit(0)) + 1)), 55)
@@ -98,7 +99,7 @@ def _prefixes(lines: DataFrame, words: int, similarity: float) -> DataFrame:
     ``shape`` is size and place; ``last`` is the shingle before. ``parity`` is about the shingles from
     the latest step of places on: a bit for each 64th of the hashes, set if an odd number of them fall there.
     """
-    split = lines.where("class IS NOT NULL").select("class", _word_hashes(F.col("line")).alias("w"))
+    split = lines.where("worded").select("class", _word_hashes(F.col("line")).alias("w"))
     hashed = split.select("class", F.array_distinct(F.transform(_places(F.col("w"), words), lambda at: _hash(F.col("w"), at, words))).alias("hashes"))
     # Named in a projection of its own and mentioned once, the table of ranks is inlined and never becomes a row's cell.
     ranked = hashed.select("class", "hashes", _rarities(lines, words).alias("ranks"))
@@ -153,7 +154,7 @@ def links(lines: DataFrame, words: int = WORDS, similarity: float = SIMILARITY)
     """``a, b``: every two classes of lines whose sets of shingles are at least so similar, verified on the shingles themselves."""
     pairs = stash(_candidates(_prefixes(lines, words, similarity), similarity), "linedup")
     chosen = _members(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))))
-    texts = lines.where(F.col("class").isNotNull() & chosen(F.col("class"))).groupBy("class").agg(F.min("line").alias("line"))
+    texts = lines.where("worded").where(chosen(F.col("class"))).groupBy("class").agg(F.min("line").alias("line"))
     both = pairs.join(texts.select(F.col("class").alias("a"), F.col("line").alias("x")), "a").join(texts.select(F.col("class").alias("b"), F.col("line").alias("y")), "b")
 
     def similar(s: Column) -> Column:
