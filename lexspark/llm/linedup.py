@@ -181,8 +181,9 @@ def match_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     near = found.select(F.col("a").alias("class"), F.col("b").alias("other")).union(found.select(F.col("b").alias("class"), F.col("a").alias("other")))
     linked = near.join(first.select(F.col("class").alias("other"), F.col("pos").alias("other_pos")), "other").groupBy("class").agg(
         F.count("*").alias("n_links"), F.min("other_pos").alias("other_pos"))
-    judged = first.join(linked, "class", "left").select(
-        "class", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), F.least("pos", "other_pos").alias("first_pos"))
+    # Written first: read back, both sides of the join below are plain, and a line of many copies can be split over tasks.
+    judged = stash(first.join(linked, "class", "left").select(
+        "class", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), F.least("pos", "other_pos").alias("first_pos")), "linedup")
     return places.join(judged, "class", "left").select(
         F.col("pos.doc_id").alias("doc_id"), F.col("pos.row").alias("row"), F.col("pos.line_no").alias("line_no"), F.col("class").alias("class_id"),
         F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), F.coalesce(F.col("first_pos") < F.col("pos"), F.lit(False)).alias("removed"))
