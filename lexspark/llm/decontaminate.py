@@ -1,4 +1,4 @@
-"""Benchmark decontamination: rare n-gram seeds find passages, Smith-Waterman alignment scores them."""
+"""Benchmark decontamination: n-gram seeds, the rarest first, find passages, Smith-Waterman alignment scores them."""
 
 from __future__ import annotations
 
@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 
 #: Words in a seed.
 SEED = 3
-#: In each so many neighbouring places of an item the rarest n-gram is a seed; of a short part all are.
-STRETCH, SHORT = 2, 32
 #: Words of an item that are aligned together; longer items are parts of about this size.
 PART = 128
 #: An item with fewer words says nothing about where a text comes from and is not looked for.
@@ -35,13 +33,14 @@ def words(text: str) -> list[str]:
 
 @dataclass
 class Index:
-    """Parts of items: whose they are, their words, where they begin in the item; and where each n-gram stands."""
+    """Parts of items: whose they are, their words, where they begin in the item; and where each n-gram stands, with the number of documents that have it."""
 
     items: list = field(default_factory=list)
     parts: list[list[str]] = field(default_factory=list)
     offsets: list[int] = field(default_factory=list)
     places: dict[tuple, list[tuple[int, int]]] = field(default_factory=dict)
     counts: list[Counter] = field(default_factory=list)
+    frequency: dict[tuple, int] = field(default_factory=dict)
 
 
 def parts_of(tokens: Sequence[str]) -> Iterator[tuple[int, list[str]]]:
@@ -70,21 +69,6 @@ def build(rows: Sequence[tuple]) -> Index:
     return index
 
 
-def seeded(index: Index, frequency: dict[tuple, int]) -> Index:
-    """The index with seeds only: in each stretch of a part the n-gram that the fewest documents have.
-
-    Rarity only orders the n-grams of a stretch, so an item that a large part of the corpus copies keeps its seeds.
-    """
-    chosen: dict[tuple, list[tuple[int, int]]] = {}
-    for number, part in enumerate(index.parts):
-        grams = list(zip(*(part[j:] for j in range(SEED))))
-        stretch = 1 if len(part) < SHORT else STRETCH
-        for start in range(0, len(grams), stretch):
-            k = min(range(start, min(start + stretch, len(grams))), key=lambda i: (frequency.get(grams[i], 0), i))
-            chosen.setdefault(grams[k], []).append((number, k))
-    return Index(index.items, index.parts, index.offsets, chosen, index.counts)
-
-
 def align(item: Sequence[str], text: Sequence[str]) -> tuple[int, int, int]:
     """The best local alignment: its score, and where it begins and ends in the text."""
     names: dict[str, int] = {}
@@ -110,33 +94,50 @@ def align(item: Sequence[str], text: Sequence[str]) -> tuple[int, int, int]:
     return score, int(j), end
 
 
+def _passages(index: Index, number: int, tokens: list[str], found: list[tuple[int, int, int]]) -> Iterator[tuple[float, int, int]]:
+    """Passages of a text that copy one part, by its seeds in the text (``frequency, at, k``), the rarest first; no two overlap."""
+    part, counts = index.parts[number], index.counts[number]
+    slack, least = len(part) // 3 + 3, SCORE * MATCH * len(part)
+    hits = np.array(found)
+    low = np.maximum(hits[:, 1] - hits[:, 2] - slack, 0)
+    high = np.minimum(hits[:, 1] - hits[:, 2] + len(part) + slack, len(tokens))
+    # No alignment scores more than the words of its window that the part has.
+    begin, end = int(low.min()), int(high.max())
+    own = np.concatenate([[0], np.cumsum(np.fromiter(map(counts.__contains__, tokens[begin:end]), np.int64, end - begin))])
+    taken: list[tuple[int, int]] = []
+    failed: list[tuple[int, int]] = []
+    open_ = np.flatnonzero(MATCH * (own[high - begin] - own[low - begin]) >= least)
+    for x in open_[np.lexsort((hits[open_, 1], hits[open_, 0]))]:
+        at = int(hits[x, 1])
+        # What the window finds may be another copy beside the seed's; then the rest is tried.
+        while not any(first <= at < last for first, last in taken):
+            start = max([int(low[x]), *(last for _, last in taken if last <= at)])
+            stop = min([int(high[x]), *(first for first, _ in taken if first > at)])
+            if MATCH * (own[stop - begin] - own[start - begin]) < least or any(a <= start and stop <= b for a, b in failed):
+                break
+            window = tokens[start:stop]
+            # Nor more than the words both have, each as often.
+            score, first, last = align(part, window) if MATCH * sum((counts & Counter(window)).values()) >= least else (0, 0, 0)
+            if score < least:
+                failed.append((start, stop))
+                break
+            taken.append((start + first, start + last))
+            yield score / (MATCH * len(part)), start + first, start + last
+
+
 def copies(index: Index, text: str | None) -> Iterator[tuple[int, float, int, int]]:
     """Passages of a text that copy parts of items: the part, the share of its highest score, first and last word (exclusive)."""
     tokens = words(text or "")
-    hits: dict[int, list[tuple[int, int]]] = {}
-    places = index.places
+    hits: dict[int, list[tuple[int, int, int]]] = {}
+    places, frequency = index.places, index.frequency
     for at, gram in enumerate(zip(*(tokens[j:] for j in range(SEED)))):
         if gram in places:
+            rarity = frequency.get(gram, 0)
             for number, k in places[gram]:
-                hits.setdefault(number, []).append((at, k))
+                hits.setdefault(number, []).append((rarity, at, k))
     for number, found in hits.items():
-        part = index.parts[number]
-        slack, least, seen, tried = len(part) // 3 + 3, SCORE * MATCH * len(part), 0, (-1, -1)
-        for at, k in found:
-            if at < seen:
-                continue
-            start, stop = max(seen, at - k - slack), min(len(tokens), at - k + len(part) + slack)
-            if (start, stop) == tried:
-                continue
-            tried = (start, stop)
-            window = tokens[start:stop]
-            # No alignment scores more than its common words.
-            if MATCH * sum((index.counts[number] & Counter(window)).values()) < least:
-                continue
-            score, first, last = align(part, window)
-            if score >= least:
-                yield number, score / (MATCH * len(part)), start + first, start + last
-                seen = start + last
+        for passage in _passages(index, number, tokens, found):
+            yield number, *passage
 
 
 def _blocks(benchmark: DataFrame, item_column: str, text_column: str) -> Iterator[Index]:
@@ -152,7 +153,10 @@ def _blocks(benchmark: DataFrame, item_column: str, text_column: str) -> Iterato
 
 
 def _seeds(docs: DataFrame, text_column: str, index: Index) -> Index:
-    """Seeds by the number of documents, of all there are, that have each n-gram of the block."""
+    """The index with the number of documents, of all there are, that have each n-gram of the block.
+
+    All n-grams are seeds; rarity only orders them.
+    """
     grams = {gram: number for number, gram in enumerate(index.places)}
     shared = docs.sparkSession.sparkContext.broadcast(grams)
 
@@ -166,9 +170,9 @@ def _seeds(docs: DataFrame, text_column: str, index: Index) -> Index:
 
     counted = docs.select(F.col(text_column).cast("string")).mapInArrow(run, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n")).collect()
     names = list(grams)
-    frequency = {names[r["gram"]]: r["n"] for r in counted}
+    index.frequency = {names[r["gram"]]: r["n"] for r in counted}
     shared.unpersist()
-    return seeded(index, frequency)
+    return index
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id", item_text: str = "text") -> DataFrame:

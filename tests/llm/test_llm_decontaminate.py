@@ -88,3 +88,40 @@ def test_odd_tables(spark):
     assert {x["doc_id"] for x in rows} == {1, None} and {x["item_word"] for x in rows} == {k * 1000 // 8 for k in range(8)}
     for a, b in ((docs.limit(0), items), (docs, items.limit(0))):
         assert d.matches(a, b).count() == 0 and d.clean(a, b).count() == a.count()
+
+
+def found_in(items, text):
+    index = d.build(items)
+    return {index.items[n] for n, *_ in d.copies(index, text)}
+
+
+def test_regular_edits():
+    # Every copy that scores enough and has an intact n-gram is found, whatever the rarity of those that edits have broken.
+    r, seen = random.Random(4), 0
+    for n in (31, 32, 40, 60, 100, 128):
+        for step in (4, 5, 7):
+            for shift in range(step):
+                item = [f"i{k}" for k in range(n)]
+                copy = [f"x{r.random()}" if k % step == shift else w for k, w in enumerate(item)]
+                text = [r.choice(VOCABULARY) for _ in range(50)] + copy + [r.choice(VOCABULARY) for _ in range(50)]
+                if d.align(item, copy)[0] >= d.SCORE * d.MATCH * n:
+                    seen += 1
+                    for counts in ({}, {g: 9 for g in zip(copy, copy[1:], copy[2:])}):
+                        index = d.build([(1, " ".join(item))])
+                        index.frequency = counts
+                        assert {index.items[k] for k, *_ in d.copies(index, " ".join(text).replace("0.", ""))} == {1}, (n, step, shift)
+    assert seen > 60
+
+
+def test_regular_edits_in_a_table(spark):
+    item = [f"i{k}" for k in range(60)]
+    copy = ["x" if k % 4 == 3 else w for k, w in enumerate(item)]
+    docs = spark.createDataFrame([(1, " ".join(copy)), (2, "x y z")], "doc_id long, text string")
+    assert [x["doc_id"] for x in d.matches(docs, spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")).collect()] == [1]
+
+
+def test_two_copies_side_by_side():
+    item = [f"i{k}" for k in range(40)]
+    first = ["x" if k % 6 == 3 else w for k, w in enumerate(item)]
+    index = d.build([(1, " ".join(item))])
+    assert sorted(x[2:] for x in d.copies(index, " ".join([*first, *item]))) == [(0, 39), (40, 80)]
