@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 #: Words in a seed.
 SEED = 3
-#: Words of an item that are aligned together; longer items are parts of about this size.
-PART = 128
+#: Words of an item that are aligned together; longer items are parts of about this size, and parts shifted by thirds of it.
+PART, SHIFTS = 128, 3
 #: An item with fewer words says nothing about where a text comes from and is not looked for.
 LEAST_WORDS = 8
 #: Share of the highest score at which a passage is a copy.
@@ -33,9 +33,14 @@ def words(text: str) -> list[str]:
 
 @dataclass
 class Index:
-    """Parts of items: whose they are, their words, where they begin in the item; and where each n-gram stands, with the number of documents that have it."""
+    """Parts of items: whose they are, their words, where they begin in the item; and where each n-gram stands, with the number of documents that have it.
+
+    ``owners`` numbers the items; ``shifted`` tells the parts that lie over two others.
+    """
 
     items: list = field(default_factory=list)
+    owners: list[int] = field(default_factory=list)
+    shifted: list[bool] = field(default_factory=list)
     parts: list[list[str]] = field(default_factory=list)
     offsets: list[int] = field(default_factory=list)
     places: dict[tuple, list[tuple[int, int]]] = field(default_factory=dict)
@@ -43,24 +48,26 @@ class Index:
     frequency: dict[tuple, int] = field(default_factory=dict)
 
 
-def parts_of(tokens: Sequence[str]) -> Iterator[tuple[int, list[str]]]:
-    """An item in parts of even size."""
+def parts_of(tokens: Sequence[str]) -> Iterator[tuple[int, list[str], bool]]:
+    """An item in parts of even size; and those shifted by thirds, so that a passage of 0.6 of a part lies whole in one of them."""
     number = -(-len(tokens) // PART)
-    for k in range(number):
-        start, stop = len(tokens) * k // number, len(tokens) * (k + 1) // number
-        yield start, list(tokens[start:stop])
+    for k in range(SHIFTS * (number - 1) + 1):
+        start, stop = (len(tokens) * x // (SHIFTS * number) for x in (k, k + SHIFTS))
+        yield start, list(tokens[start:stop]), k % SHIFTS > 0
 
 
 def build(rows: Sequence[tuple]) -> Index:
     """An index of items, ``(item_id, text)``, with all their n-grams."""
     index = Index()
-    for item, text in rows:
+    for owner, (item, text) in enumerate(rows):
         tokens = words(text or "")
         if len(tokens) < LEAST_WORDS:
             continue
-        for start, part in parts_of(tokens):
+        for start, part, shifted in parts_of(tokens):
             number = len(index.parts)
             index.items.append(item)
+            index.owners.append(owner)
+            index.shifted.append(shifted)
             index.parts.append(part)
             index.offsets.append(start)
             index.counts.append(Counter(part))
@@ -97,7 +104,8 @@ def align(item: Sequence[str], text: Sequence[str]) -> tuple[int, int, int]:
 def _passages(index: Index, number: int, tokens: list[str], found: list[tuple[int, int, int]]) -> Iterator[tuple[float, int, int]]:
     """Passages of a text that copy one part, by its seeds in the text (``frequency, at, k``), the rarest first; no two overlap."""
     part, counts = index.parts[number], index.counts[number]
-    slack, least = len(part) // 3 + 3, SCORE * MATCH * len(part)
+    # With all its words a part may have so many others put in, and a seed at its end all of them before it.
+    slack, least = int(MATCH * (1 - SCORE) / -GAP * len(part)) + 1, SCORE * MATCH * len(part)
     hits = np.array(found)
     low = np.maximum(hits[:, 1] - hits[:, 2] - slack, 0)
     high = np.minimum(hits[:, 1] - hits[:, 2] + len(part) + slack, len(tokens))
@@ -111,8 +119,8 @@ def _passages(index: Index, number: int, tokens: list[str], found: list[tuple[in
         at = int(hits[x, 1])
         # What the window finds may be another copy beside the seed's; then the rest is tried.
         while not any(first <= at < last for first, last in taken):
-            start = max([int(low[x]), *(last for _, last in taken if last <= at)])
-            stop = min([int(high[x]), *(first for first, _ in taken if first > at)])
+            floor, ceiling = max([0, *(last for _, last in taken if last <= at)]), min([len(tokens), *(first for first, _ in taken if first > at)])
+            start, stop = max(int(low[x]), floor), min(int(high[x]), ceiling)
             if MATCH * (own[stop - begin] - own[start - begin]) < least or any(a <= start and stop <= b for a, b in failed):
                 break
             window = tokens[start:stop]
@@ -121,6 +129,10 @@ def _passages(index: Index, number: int, tokens: list[str], found: list[tuple[in
             if score < least:
                 failed.append((start, stop))
                 break
+            # A passage at the window's edge may go on beyond it.
+            while first == 0 and start > floor or start + last == stop < ceiling:
+                start, stop = max(floor, start - slack) if first == 0 else start, min(ceiling, stop + slack) if start + last == stop else stop
+                score, first, last = align(part, tokens[start:stop])
             taken.append((start + first, start + last))
             yield score / (MATCH * len(part)), start + first, start + last
 
@@ -135,9 +147,14 @@ def copies(index: Index, text: str | None) -> Iterator[tuple[int, float, int, in
             rarity = frequency.get(gram, 0)
             for number, k in places[gram]:
                 hits.setdefault(number, []).append((rarity, at, k))
-    for number, found in hits.items():
-        for passage in _passages(index, number, tokens, found):
-            yield number, *passage
+    told: dict[int, list[tuple[int, int]]] = {}
+    for number in sorted(hits, key=lambda n: index.shifted[n]):
+        for score, first, last in _passages(index, number, tokens, hits[number]):
+            others = told.setdefault(index.owners[number], [])
+            # What a shifted part finds is news only where the item has no passage yet.
+            if not (index.shifted[number] and any(first < b and a < last for a, b in others)):
+                others.append((first, last))
+                yield number, score, first, last
 
 
 def _blocks(benchmark: DataFrame, item_column: str, text_column: str) -> Iterator[Index]:
@@ -179,7 +196,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", te
     """A row for each passage that copies an item: ``doc_id, item_id, score, first_word, last_word, item_word``.
 
     ``score`` is the alignment's share of the highest, 0.6 or more; words count from 0, ``last_word``
-    is exclusive, ``item_word`` is where the part of the item begins. The n-grams of a block of items
+    is exclusive, ``item_word`` is where the part of the item begins. Items of over 128 words are cut
+    into parts of even size; parts shifted by thirds tell passages where those tell none. The n-grams of a block of items
     are counted over all documents; then each document is scanned where it lies. Neither side is
     shuffled, so a document that many copy burdens no task. Null and empty texts match nothing, nor
     do items of fewer than 8 words; items with equal texts each match; rows with equal or null ids

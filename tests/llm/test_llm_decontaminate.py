@@ -125,3 +125,25 @@ def test_two_copies_side_by_side():
     first = ["x" if k % 6 == 3 else w for k, w in enumerate(item)]
     index = d.build([(1, " ".join(item))])
     assert sorted(x[2:] for x in d.copies(index, " ".join([*first, *item]))) == [(0, 39), (40, 80)]
+
+
+def test_passages_lie_anywhere():
+    item = [f"i{k}" for k in range(400)]
+    noise = [f"x{k}" for k in range(70)]
+    for size in (60, 75, 110):
+        for start in range(0, 400 - size + 1):
+            assert found_in([(1, " ".join(item))], " ".join([*noise, *item[start:start + size], *noise])) == {1}, (size, start)
+    # Parts that overlap tell one passage once.
+    index = d.build([(1, " ".join(item)), (2, " ".join(item))])
+    found = [(index.items[n], index.offsets[n]) for n, *_ in d.copies(index, " ".join([*noise, *item, *noise]))]
+    assert sorted(found) == [(i, k) for i in (1, 2) for k in (0, 100, 200, 300)]
+
+
+def test_words_put_in():
+    for n in (15, 60, 128):
+        item = [f"i{k}" for k in range(n)]
+        for at in range(4, n - 3):
+            for more in (n // 2, int(0.8 * n)):
+                text = [*item[:at], *(f"x{k}" for k in range(more)), *item[at:]]
+                want = d.align(item, text)[0] >= d.SCORE * d.MATCH * n
+                assert want and found_in([(1, " ".join(item))], " ".join(["y"] * 50 + text + ["y"] * 50)) == {1}, (n, at, more)
