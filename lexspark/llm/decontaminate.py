@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 SEED = 3
 #: Words of an item that are aligned together; longer items are parts of about this size, and parts shifted by thirds of it.
 PART, SHIFTS = 128, 3
-#: An item with fewer words says nothing about where a text comes from and is not looked for.
+#: An item with fewer words is looked for as it is, word by word; longer ones are aligned.
 LEAST_WORDS = 8
 #: Share of the highest score at which a passage is a copy.
 SCORE = 0.6
@@ -24,18 +24,25 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 #: Bytes of items that are looked for in one pass; more items take more passes.
 BLOCK_BYTES = 1 << 20
 
+#: Scripts without spaces between words: Thai and Lao, Tibetan, Burmese, Khmer, kana, Chinese characters.
+_UNSPACED = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3021-\u3029\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U0001b000-\U0001b16f\U00020000-\U0003ffff"
+_ANY_UNSPACED = re.compile("[\u0e00-\U0003ffff]")
 _WORD = re.compile(r"\w+")
+_WORD_OR_CHARACTER = re.compile(rf"[^\W{_UNSPACED}]+|(?=\w)[{_UNSPACED}]")
 
 
 def words(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    """Runs of word characters; in scripts without spaces each character is a word."""
+    text = text.lower()
+    return (_WORD if text.isascii() or not _ANY_UNSPACED.search(text) else _WORD_OR_CHARACTER).findall(text)
 
 
 @dataclass
 class Index:
     """Parts of items: whose they are, their words, where they begin in the item; and where each n-gram stands, with the number of documents that have it.
 
-    ``owners`` numbers the items; ``shifted`` tells the parts that lie over two others.
+    ``owners`` numbers the items; ``shifted`` tells the parts that lie over two others. ``short`` has
+    the items of fewer than ``LEAST_WORDS`` words, by their number of words and the words.
     """
 
     items: list = field(default_factory=list)
@@ -46,12 +53,13 @@ class Index:
     places: dict[tuple, list[tuple[int, int]]] = field(default_factory=dict)
     counts: list[Counter] = field(default_factory=list)
     frequency: dict[tuple, int] = field(default_factory=dict)
+    short: dict[int, dict[tuple, list[int]]] = field(default_factory=dict)
 
 
 def parts_of(tokens: Sequence[str]) -> Iterator[tuple[int, list[str], bool]]:
     """An item in parts of even size; and those shifted by thirds, so that a passage of 0.6 of a part lies whole in one of them."""
     number = -(-len(tokens) // PART)
-    for k in range(SHIFTS * (number - 1) + 1):
+    for k in range(SHIFTS * (number - 1) + 1 if number else 0):
         start, stop = (len(tokens) * x // (SHIFTS * number) for x in (k, k + SHIFTS))
         yield start, list(tokens[start:stop]), k % SHIFTS > 0
 
@@ -61,8 +69,9 @@ def build(rows: Sequence[tuple]) -> Index:
     index = Index()
     for owner, (item, text) in enumerate(rows):
         tokens = words(text or "")
-        if len(tokens) < LEAST_WORDS:
-            continue
+        whole = len(tokens) < LEAST_WORDS
+        if whole and tokens:
+            index.short.setdefault(len(tokens), {}).setdefault(tuple(tokens), []).append(len(index.parts))
         for start, part, shifted in parts_of(tokens):
             number = len(index.parts)
             index.items.append(item)
@@ -71,7 +80,7 @@ def build(rows: Sequence[tuple]) -> Index:
             index.parts.append(part)
             index.offsets.append(start)
             index.counts.append(Counter(part))
-            for k, gram in enumerate(zip(*(part[j:] for j in range(SEED)))):
+            for k, gram in enumerate(zip(*(part[j:] for j in range(SEED)))) if not whole else ():
                 index.places.setdefault(gram, []).append((number, k))
     return index
 
@@ -147,6 +156,13 @@ def copies(index: Index, text: str | None) -> Iterator[tuple[int, float, int, in
             rarity = frequency.get(gram, 0)
             for number, k in places[gram]:
                 hits.setdefault(number, []).append((rarity, at, k))
+    for size, short in index.short.items():
+        free: dict[tuple, int] = {}
+        for at, gram in enumerate(zip(*(tokens[j:] for j in range(size)))):
+            if gram in short and at >= free.get(gram, 0):
+                free[gram] = at + size
+                for number in short[gram]:
+                    yield number, 1.0, at, at + size
     told: dict[int, list[tuple[int, int]]] = {}
     for number in sorted(hits, key=lambda n: index.shifted[n]):
         for score, first, last in _passages(index, number, tokens, hits[number]):
@@ -199,8 +215,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", te
     is exclusive, ``item_word`` is where the part of the item begins. Items of over 128 words are cut
     into parts of even size; parts shifted by thirds tell passages where those tell none. The n-grams of a block of items
     are counted over all documents; then each document is scanned where it lies. Neither side is
-    shuffled, so a document that many copy burdens no task. Null and empty texts match nothing, nor
-    do items of fewer than 8 words; items with equal texts each match; rows with equal or null ids
+    shuffled, so a document that many copy burdens no task. Items of fewer than 8 words match where all
+    their words stand in order. In scripts without spaces each character is a word. Null and empty
+    texts match nothing; items with equal texts each match; rows with equal or null ids
     are rows of their own; other columns don't matter; an empty table on either side gives no rows.
     """
     id_kind, item_kind = docs.schema[id_column].dataType.simpleString(), benchmark.schema[item_column].dataType.simpleString()

@@ -147,3 +147,21 @@ def test_words_put_in():
                 text = [*item[:at], *(f"x{k}" for k in range(more)), *item[at:]]
                 want = d.align(item, text)[0] >= d.SCORE * d.MATCH * n
                 assert want and found_in([(1, " ".join(item))], " ".join(["y"] * 50 + text + ["y"] * 50)) == {1}, (n, at, more)
+
+
+def test_short_items_and_scripts_without_spaces():
+    items = [(1, "What is the capital?"), (2, "Paris"), (3, "\u4eca\u65e5\u306f\u3068\u3066\u3082\u3044\u3044\u5929\u6c17\u3067\u3059\u306d\u3002\u6563\u6b69\u306b\u884c\u304d\u307e\u3057\u3087\u3046\u3002"), (4, "\u4eca\u65e5"), (5, " . "), (6, "what is the CAPITAL")]
+    assert d.words("Ab c\u4eca\u65e5\u3002d_1\u3044") == ["ab", "c", "\u4eca", "\u65e5", "d_1", "\u3044"]
+    assert found_in(items, "He asked: what is -- the capital; of France") == {1, 6}
+    assert found_in(items, "what is the big capital of parish") == set()
+    assert found_in(items, "paris paris") == {2} and len(list(d.copies(d.build(items), "paris paris"))) == 2
+    # One other character among 20.
+    copied = items[2][1].replace("\u6563", "\u8d70")
+    assert found_in(items, "x" + copied + "y") == {3, 4} and found_in(items, "") == set()
+
+
+def test_short_items_in_a_table(spark):
+    docs = spark.createDataFrame([(1, "say: two plus two!"), (2, "two plus three")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, "Two plus two")], "item_id long, text string")
+    assert [(x["doc_id"], x["item_id"], x["first_word"], x["last_word"]) for x in d.matches(docs, items).collect()] == [(1, 7, 1, 4)]
+    assert [x["doc_id"] for x in d.clean(docs, items).collect()] == [2]
