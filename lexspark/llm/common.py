@@ -42,6 +42,13 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, SPACE), lambda w: w != "")
 
 
+def lower_ascii(text: Column) -> Column:
+    """A text with A-Z in lower case, and no other letter changed."""
+    # Most texts are ASCII alone or nearly so; for the former the built-in does the same, faster.
+    plain = F.octet_length(text) == F.char_length(text)
+    return F.when(plain, F.lower(text)).otherwise(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+
+
 def bind(value: Column, use) -> Column:
     """``use(value)`` with ``value`` computed once, however often ``use`` mentions it."""
     return F.transform(F.array(value), use)[0]

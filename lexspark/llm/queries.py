@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexspark.llm import bpe, chat, decontaminate, html, langid, linedup, quality, secrets, simhash, warc
-from lexspark.llm.common import table
+from lexspark.llm import bpe, chat, decontaminate, html, langid, linedup, merkle, quality, secrets, simhash, warc
+from lexspark.llm.common import lower_ascii, table
 
 
 @dataclass(frozen=True)
@@ -176,3 +176,52 @@ def op3_decontamination(spark: SparkSession, root: str) -> DataFrame:
 @_query("op9_line_dedup")
 def op9_line_dedup(spark: SparkSession, root: str) -> DataFrame:
     return linedup.match_lines(table(spark, root, "documents")).select("doc_id", "line_no", "class_id", "n_links", "removed")
+
+
+def _merkle_sql(levels: int = 12, langs: int = 4) -> str:
+    """The trees level by level: ``levels`` of them hold ``8 ** levels`` documents, ``langs`` as many languages.
+
+    ``t`` numbers nodes of each tree, ``s`` has the digests to the left and right of each in its run.
+    """
+    def tree(name: str, source: str, depth: int) -> list[str]:
+        steps = [f"{name}0 AS ({source})"]
+        for k in range(depth):
+            own = "OVER (PARTITION BY tree, pos // 8 ORDER BY pos ROWS BETWEEN"
+            steps += [
+                f"{name}s{k} AS (SELECT tree, pos, n, coalesce(string_agg(h, '') {own} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l, coalesce(string_agg(h, '') {own} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name}{k})",
+                f"{name}{k + 1} AS (SELECT tree, pos // 8 AS pos, CASE WHEN any_value(n) = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY pos)) END AS h, (any_value(n) + 7) // 8 AS n FROM {name}{k} GROUP BY tree, pos // 8)",
+            ]
+        return steps
+
+    def folds(name: str, source: str, tree_: str, key: str, pos: str, depth: int) -> list[str]:
+        steps = [f"{name}0 AS ({source})"]
+        for k in range(depth):
+            steps.append(
+                f"{name}{k + 1} AS (SELECT p.* EXCLUDE (proof, folded), p.proof || s.l || s.r AS proof, CASE WHEN s.n = 1 THEN p.folded ELSE sha256(s.l || p.folded || s.r) END AS folded "
+                f"FROM {name}{k} p JOIN {tree_}s{k} s ON s.tree = p.{key} AND s.pos = p.{pos} // {8 ** k})")
+        return steps
+
+    value = lambda c: f"coalesce(octet_length(encode(CAST({c} AS VARCHAR))) || ':' || CAST({c} AS VARCHAR), '-')"
+    row = lambda text: f"sha256({' || '.join(map(value, ('doc_id', 'source', 'lang', 'n_chars', text)))})"
+    crc = ("xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))), "
+           "lambda c, b: list_reduce(list_prepend(xor(c, b), CAST(range(8) AS BIGINT[])), lambda d, i: xor(d >> 1, 3988292384 * (d & 1)))), 4294967295)")
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    steps = [
+        f"d AS (SELECT doc_id, coalesce('+' || lang, '') AS tree, {row('text')} AS leaf, CASE WHEN {crc} % 3 = 0 THEN {row(lower)} ELSE {row('text')} END AS shown FROM documents)",
+        "e AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM d)",
+        *tree("t", "SELECT tree, pos, leaf AS h, n FROM e", levels),
+        *tree("u", f"SELECT '' AS tree, row_number() OVER (ORDER BY encode(tree)) - 1 AS pos, h, count(*) OVER () AS n, tree AS of FROM t{levels}", langs),
+        *folds("p", "SELECT *, '' AS proof, shown AS folded FROM e", "t", "tree", "pos", levels),
+        *folds("q", f"SELECT p.*, u.pos AS top, '' AS none, u.h AS subroot FROM p{levels} p JOIN u0 u ON u.of = p.tree", "u", "none", "top", langs),
+    ]
+    return f"WITH {', '.join(steps)} SELECT doc_id, leaf, subroot, u.h AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = u.h AS verified FROM q{langs}, u{langs} u"
+
+
+@_query("op12_merkle", _merkle_sql())
+def op12_merkle(spark: SparkSession, root: str) -> DataFrame:
+    docs = table(spark, root, "documents")
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, F.lit(False))
+    shown = {"text": F.when(tampered, lower_ascii(F.col("text"))).otherwise(F.col("text"))}
+    made = merkle.manifest(merkle.leaves_of(docs, ("doc_id", "source", "lang", "n_chars", "text"), shown))
+    return made.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", F.sha2(F.concat_ws("", "proof"), 256).alias("proof_sha256"), "folded_root", "verified")
