@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexspark.llm import bpe, chat, decontaminate, html, langid, linedup, merkle, quality, secrets, simhash, warc
+from lexspark.llm import bpe, chat, decontaminate, html, langid, licenses, linedup, merkle, quality, secrets, simhash, warc
 from lexspark.llm.common import lower_ascii, table
 
 
@@ -225,3 +225,34 @@ def op12_merkle(spark: SparkSession, root: str) -> DataFrame:
     made = merkle.manifest(merkle.leaves_of(docs, ("doc_id", "source", "lang", "n_chars", "text"), shown))
     return made.select(
         F.col("id").alias("doc_id"), "leaf", "subroot", "root", F.sha2(F.concat_ws("", "proof"), 256).alias("proof_sha256"), "folded_root", "verified")
+
+
+def _licenses_sql() -> str:
+    grams = ", ".join(
+        f"({n}, {i}, '{' '.join(t.words[i:i + t.k])}', {t.k})" for n, t in enumerate(licenses.TEMPLATES) for i in range(len(t.words) - t.k + 1))
+    facts = ", ".join(f"({n}, '{t.label}', {t.phrase}, {t.base}, {len(t.words)})" for n, t in enumerate(licenses.TEMPLATES))
+    return rf"""
+WITH g(template, q, gram, k) AS (VALUES {grams}), f(template, label, phrase, base, length) AS (VALUES {facts}),
+d AS (SELECT *, row_number() OVER () AS n FROM (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents)),
+e AS (SELECT n, unnest(range(1, len(w) + 1)) AS p, unnest(list_transform(range(1, len(w) + 1), lambda i: w[i] || ' ' || w[i + 1])) AS two,
+  unnest(list_transform(range(1, len(w) + 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS three FROM d),
+h AS (SELECT n, template, p - 1 - q AS diagonal, q, g.k FROM e JOIN g ON g.gram = CASE WHEN g.k = 2 THEN e.two ELSE e.three END),
+m AS (SELECT n, template, diagonal, count(*) AS hits, any_value(k) AS k FROM h GROUP BY n, template, diagonal),
+c AS (SELECT m.n, m.template, m.diagonal, count(DISTINCT h.q + o.i) AS covered
+  FROM m JOIN h ON h.n = m.n AND h.template = m.template AND abs(h.diagonal - m.diagonal) <= {licenses.REACH}, range(3) o(i) WHERE o.i < h.k GROUP BY m.n, m.template, m.diagonal),
+s AS (SELECT m.n, m.diagonal, f.label, f.base, CASE WHEN phrase THEN hits = length - k + 1 ELSE covered >= {licenses.SHARE} * length END AS whole,
+    CASE WHEN phrase THEN CASE WHEN hits = length - k + 1 THEN 1.0 ELSE 0.0 END ELSE CAST(covered AS DOUBLE) / length END AS share
+  FROM m JOIN c USING (n, template, diagonal) JOIN f USING (template)),
+r AS (SELECT n, count(*) FILTER (whole AND base) AS n_base, min(diagonal) FILTER (whole AND base) AS first_word, max(diagonal) FILTER (whole AND base) AS last_word,
+  string_agg(DISTINCT label, ',' ORDER BY label) FILTER (whole AND base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (whole) AS labels, max(CAST(share AS DOUBLE)) AS score FROM s GROUP BY n)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score FROM d LEFT JOIN r USING (n)"""
+
+
+@_query("op13_licenses", _licenses_sql())
+def op13_licenses(spark: SparkSession, root: str) -> DataFrame:
+    found = licenses.scan(table(spark, root, "documents"))
+    starts = F.transform(F.filter("spans", lambda s: s.base), lambda s: s.start)
+    return found.select(
+        "doc_id", "n_words", F.size(starts).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        licenses.labels(F.col("spans"), base_only=True).alias("base_labels"), licenses.labels(F.col("spans")).alias("labels"), "score")
