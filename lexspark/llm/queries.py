@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexspark.llm import bpe, chat, decontaminate, html, langid, licenses, linedup, merkle, quality, secrets, simhash, warc
+from lexspark.llm import align, bpe, chat, decontaminate, html, langid, licenses, linedup, merkle, quality, secrets, simhash, warc
 from lexspark.llm.common import lower_ascii, table
 
 
@@ -24,6 +24,9 @@ CATALOG: dict[str, Query] = {}
 #: The vocabulary of the BPE queries: tokenizers file, ranks, pattern.
 VOCABULARY = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
+#: The two tokenizers of the alignment; their files are looked up where a task runs.
+TOKENIZERS = align.Names("byte_bpe_50k.json", "byte_bpe_50k.tiktoken", public_tokenizers.PATTERN, "piece_bpe_32k.model", public_tokenizers.path)
+
 
 def _query(name: str, sql: str | None = None):
     def register(run: Callable[[SparkSession, str], DataFrame]):
@@ -256,3 +259,8 @@ def op13_licenses(spark: SparkSession, root: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", F.size(starts).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
         licenses.labels(F.col("spans"), base_only=True).alias("base_labels"), licenses.labels(F.col("spans")).alias("labels"), "score")
+
+
+@_query("op11_token_alignment")
+def op11_token_alignment(spark: SparkSession, root: str) -> DataFrame:
+    return align.align(table(spark, root, "documents"), TOKENIZERS)

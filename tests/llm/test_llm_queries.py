@@ -25,7 +25,7 @@ def test_no_python_in_native_plans(spark, name):
         assert bad not in plan
 
 
-@pytest.mark.parametrize("name", ["op5_simhash", "op7_bpe", "op9_line_dedup", "op10_language"])
+@pytest.mark.parametrize("name", ["op5_simhash", "op7_bpe", "op9_line_dedup", "op10_language", "op11_token_alignment"])
 def test_every_document_is_there(spark, name):
     docs = spark.read.parquet(f"{ROOT}/documents.parquet")
     got = CATALOG[name].run(spark, ROOT)
