@@ -21,9 +21,8 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from lexspark import fixed, schemas
-from lexspark.sources.members import (
-    Element, batches_of, first_xml, inner_archives, inner_xml, leaves, malformed, own_text, read_elements,
-)
+from lexspark.sources import shred
+from lexspark.sources.members import batches_of, elements, first_xml, inner_archives, inner_xml, malformed, own_text
 
 MEMBER = schemas.struct("archive", "member", ("content", T.BinaryType()))
 
@@ -89,31 +88,46 @@ def _record(shape: T.StructType) -> T.StructType:
     return schemas.struct("archive", "member", ("record", shape))
 
 
+def _entries(tag: str, shape: T.StructType, holder: str | None = None) -> shred.Every:
+    return shred.Every(tag, shred.Leaves(*shape.names), holder)
+
+
+def _act() -> shred.Record:
+    return shred.Record(
+        anno=shred.Text(lambda e: e.get("anno", "")), numero=shred.Text(lambda e: e.get("numero", "")),
+        parti=shred.Every("numero_parte", shred.Record(
+            numero_parte=shred.Text(lambda e: e.text or ""),
+            norme=_entries("norma", schemas.ACT_NORM, "norme"),
+            parametri=_entries("parametro", schemas.ACT_PARAMETER, "parametri"),
+        )))
+
+
+def _ruling() -> shred.Record:
+    return shred.Record(
+        testata=shred.First("pronuncia_testata", shred.Leaves(*schemas.RULING_HEAD.names)),
+        massime=shred.Every(".//massima", shred.Record(
+            numero=shred.Text(lambda e: own_text(e, "numero")), testo=shred.Text(lambda e: own_text(e, "testo")),
+            parametri=_entries(".//parametri/parametro", schemas.MAXIM_PARAMETER),
+            norme=_entries(".//norme/norma", schemas.MAXIM_NORM),
+        )))
+
+
+def _records(members: DataFrame, unpack: Callable[[Iterable[pa.RecordBatch]], Iterator[dict]], tag: str,
+             any_depth: bool, fail_fast: bool, shape: Callable[[], shred.Record], output: T.StructType) -> DataFrame:
+    schema = to_arrow_schema(_record(output))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from shred.read_records(unpack(batches), lambda xml: elements(xml, tag, any_depth), fail_fast, shape, schema)
+
+    return members.mapInArrow(run, _record(output))
+
+
 def read_acts(archives: DataFrame) -> DataFrame:
     """``(archive, member, record)`` per act directly below the root of the first XML member.
 
     An archive without XML is skipped; malformed XML is an error.
     """
-    lists = {
-        "norme": ("norma", tuple(schemas.ACT_NORM.names)),
-        "parametri": ("parametro", tuple(schemas.ACT_PARAMETER.names)),
-    }
-
-    def part(element: Element) -> dict:
-        record = {"numero_parte": element.text or ""}
-        for wrapper, (tag, names) in lists.items():
-            holder = element.find(wrapper)
-            record[wrapper] = None if holder is None else [leaves(e, names) for e in holder.findall(tag)]
-        return record
-
-    def act(element: Element) -> dict:
-        parts = [part(p) for p in element.findall("numero_parte")]
-        return {"anno": element.get("anno", ""), "numero": element.get("numero", ""), "parti": parts}
-
-    return _in_tasks(
-        archives.select("archive", "content"),
-        lambda b: read_elements(first_xml(b), "atto", False, True, act), _record(schemas.ACT),
-    )
+    return _records(archives.select("archive", "content"), first_xml, "atto", False, True, _act, schemas.ACT)
 
 
 def read_rulings(archives: DataFrame) -> DataFrame:
@@ -121,29 +135,7 @@ def read_rulings(archives: DataFrame) -> DataFrame:
 
     A malformed file gives no rows.
     """
-    head_names = tuple(schemas.RULING_HEAD.names)
-    lists = {
-        "parametri": ("parametro", tuple(schemas.MAXIM_PARAMETER.names)),
-        "norme": ("norma", tuple(schemas.MAXIM_NORM.names)),
-    }
-
-    def maxim(element: Element) -> dict:
-        record = {"numero": own_text(element, "numero"), "testo": own_text(element, "testo")}
-        for wrapper, (tag, names) in lists.items():
-            record[wrapper] = [leaves(e, names) for e in element.findall(f".//{wrapper}/{tag}")]
-        return record
-
-    def ruling(element: Element) -> dict:
-        head = element.find("pronuncia_testata")
-        return {
-            "testata": None if head is None else leaves(head, head_names),
-            "massime": [maxim(m) for m in element.findall(".//massima")],
-        }
-
-    return _in_tasks(
-        _spread_inner(archives),
-        lambda b: read_elements(inner_xml(b), "pronuncia", True, False, ruling), _record(schemas.RULING),
-    )
+    return _records(_spread_inner(archives), inner_xml, "pronuncia", True, False, _ruling, schemas.RULING)
 
 
 # --- XML in a column or in unpacked files ------------------------------------------------------

@@ -10,7 +10,7 @@ import io
 import logging
 import sys
 import zipfile
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from xml.etree import ElementTree
 
 import pyarrow as pa
@@ -21,6 +21,8 @@ log = logging.getLogger(__name__)
 Element = ElementTree.Element
 
 
+#: Bytes of XML up to which a file's tree is built at once.
+_WHOLE = 32 << 20
 _BATCH_ROWS = 512
 _BATCH_BYTES = 4 << 20
 
@@ -105,8 +107,11 @@ def well_formed(content: bytes) -> bool:
         return False
 
 
-def elements(content: bytes, tag: str, any_depth: bool) -> Iterator[Element]:
-    """The elements called ``tag`` below the root, as their ends are read."""
+def elements(content: bytes, tag: str, any_depth: bool, whole: int = _WHOLE) -> Iterator[Element]:
+    """The elements called ``tag`` below the root. Files of over ``whole`` bytes are read as a stream, which takes longer."""
+    if len(content) <= whole:
+        yield from ElementTree.fromstring(content).findall(f".//{tag}" if any_depth else tag)
+        return
     path: list[Element] = []
     inside = 0
     for event, element in ElementTree.iterparse(io.BytesIO(content), events=("start", "end")):
@@ -129,29 +134,10 @@ def own_text(parent: Element, tag: str) -> str | None:
     return None if child is None else (child.text or "")
 
 
-def leaves(element: Element, names: tuple[str, ...]) -> dict:
-    return {name: own_text(element, name) for name in names}
-
-
 def malformed(members: Iterable[dict]) -> Iterator[dict]:
     for row in members:
         if not well_formed(row["content"]):
             yield {"archive": row["archive"], "member": row["member"]}
 
 
-def read_elements(members: Iterable[dict], tag: str, any_depth: bool, fail_fast: bool,
-                  build: Callable[[Element], dict]) -> Iterator[dict]:
-    """Records of every file. A malformed file is an error or gives no record at all."""
-    for row in members:
-        found = map(build, elements(row["content"], tag, any_depth))
-        try:
-            # Records of a file that may turn out malformed wait for its end.
-            records = found if fail_fast else list(found)
-        except ElementTree.ParseError:
-            log.info("malformed XML in %s/%s", row["archive"], row["member"])
-            continue
-        for record in records:
-            yield {"archive": row["archive"], "member": row["member"], "record": record}
-
-
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

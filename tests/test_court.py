@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lexspark import fixed, schemas
 from lexspark.plans import datasets
-from lexspark.sources import archives, members
+from lexspark.sources import archives, members, shred
 from lexspark.sources.members import pack_members
 
 ORDINANZE, RICORSI = fixed.ARCHIVE_KINDS
@@ -124,7 +124,8 @@ def test_streaming_reads_the_same_elements():
     root = ElementTree.fromstring(xml)
     for any_depth in (True, False):
         tree = [e.get("n") for e in root.findall(".//p" if any_depth else "p")]
-        assert sorted(tree) == sorted(e.get("n") for e in members.elements(xml, "p", any_depth))
+        for whole in (0, 1 << 20):
+            assert sorted(tree) == sorted(e.get("n") for e in members.elements(xml, "p", any_depth, whole))
     assert tree == ["3", "4"]
 
 
@@ -147,3 +148,19 @@ def test_columns_and_archives_agree(spark):
         for df in (from_column, archives.read_acts(packed).select("record"))
     ]
     assert flat[0] == flat[1] == [("t", 2020, 7, 2, 3, "", "l", "", "", "l art. c.", 1)]
+
+
+def test_records_in_batches(spark, monkeypatch):
+    """Typed columns begin anew with every batch, and a file that turns out malformed takes its records with it."""
+    schema = archives.to_arrow_schema(archives._record(schemas.RULING))
+    good, broken = (rulings(*[HEAD.format(k, k) + maxim(k, "t", [k], [k, k]) for k in range(n)]) for n in (5, 3))
+    files = [{"archive": "a", "member": str(k), "content": c.encode()} for k, c in enumerate([good, broken[:-4], good, "<r/>", broken])]
+    want = ["0"] * 5 + ["2"] * 5 + ["4"] * 3
+    for size in (1, 4, 100):
+        monkeypatch.setattr(shred, "_BATCH", size)
+        for whole in (0, 1 << 20):
+            read = lambda xml: members.elements(xml, "pronuncia", True, whole)  # noqa: B023,E731
+            rows = [r for b in shred.read_records(files, read, False, archives._ruling, schema) for r in b.to_pylist()]
+            assert [r["member"] for r in rows] == want
+            assert rows[4]["record"]["massime"][0]["norme"][1]["numero"] == "4"
+            assert rows[-1]["record"]["testata"]["anno_pronuncia"] == "2"
