@@ -88,32 +88,30 @@ def _record(shape: T.StructType) -> T.StructType:
     return schemas.struct("archive", "member", ("record", shape))
 
 
-def _entries(tag: str, shape: T.StructType, holder: str | None = None) -> shred.Every:
-    return shred.Every(tag, shred.Leaves(*shape.names), holder)
 
 
 def _act() -> shred.Record:
     return shred.Record(
         anno=shred.Text(lambda e: e.get("anno", "")), numero=shred.Text(lambda e: e.get("numero", "")),
-        parti=shred.Every("numero_parte", shred.Record(
+        parti=shred.Every(shred.children("numero_parte"), shred.Record(
             numero_parte=shred.Text(lambda e: e.text or ""),
-            norme=_entries("norma", schemas.ACT_NORM, "norme"),
-            parametri=_entries("parametro", schemas.ACT_PARAMETER, "parametri"),
+            norme=shred.Every(shred.children("norma"), shred.Leaves(*schemas.ACT_NORM.names), "norme"),
+            parametri=shred.Every(shred.children("parametro"), shred.Leaves(*schemas.ACT_PARAMETER.names), "parametri"),
         )))
 
 
 def _ruling() -> shred.Record:
     return shred.Record(
         testata=shred.First("pronuncia_testata", shred.Leaves(*schemas.RULING_HEAD.names)),
-        massime=shred.Every(".//massima", shred.Record(
+        massime=shred.Every(shred.below("massima"), shred.Record(
             numero=shred.Text(lambda e: own_text(e, "numero")), testo=shred.Text(lambda e: own_text(e, "testo")),
-            parametri=_entries(".//parametri/parametro", schemas.MAXIM_PARAMETER),
-            norme=_entries(".//norme/norma", schemas.MAXIM_NORM),
+            parametri=shred.Every(shred.below("parametro", "parametri"), shred.Leaves(*schemas.MAXIM_PARAMETER.names)),
+            norme=shred.Every(shred.below("norma", "norme"), shred.Leaves(*schemas.MAXIM_NORM.names)),
         )))
 
 
 def _records(members: DataFrame, unpack: Callable[[Iterable[pa.RecordBatch]], Iterator[dict]], tag: str,
-             any_depth: bool, fail_fast: bool, shape: Callable[[], shred.Record], output: T.StructType) -> DataFrame:
+             any_depth: bool, fail_fast: bool, shape: shred.Record, output: T.StructType) -> DataFrame:
     schema = to_arrow_schema(_record(output))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,7 +125,7 @@ def read_acts(archives: DataFrame) -> DataFrame:
 
     An archive without XML is skipped; malformed XML is an error.
     """
-    return _records(archives.select("archive", "content"), first_xml, "atto", False, True, _act, schemas.ACT)
+    return _records(archives.select("archive", "content"), first_xml, "atto", False, True, _act(), schemas.ACT)
 
 
 def read_rulings(archives: DataFrame) -> DataFrame:
@@ -135,7 +133,7 @@ def read_rulings(archives: DataFrame) -> DataFrame:
 
     A malformed file gives no rows.
     """
-    return _records(_spread_inner(archives), inner_xml, "pronuncia", True, False, _ruling, schemas.RULING)
+    return _records(_spread_inner(archives), inner_xml, "pronuncia", True, False, _ruling(), schemas.RULING)
 
 
 # --- XML in a column or in unpacked files ------------------------------------------------------

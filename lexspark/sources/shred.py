@@ -7,6 +7,7 @@ pickled by value, so executors need no copy of the package.
 
 from __future__ import annotations
 
+import copy
 import logging
 import sys
 from collections.abc import Callable, Iterable, Iterator
@@ -99,18 +100,29 @@ class First:
         return pa.StructArray.from_arrays(made.flatten(), [f.name for f in made.type], mask=missing)
 
 
+def children(tag: str) -> Callable[[Element], list[Element]]:
+    return lambda element: element.findall(tag)
+
+
+def below(tag: str, parent: str | None = None) -> Callable[[Element], list[Element]]:
+    """All elements called ``tag`` at any depth, or those directly in one called ``parent`` at any depth. Faster than a path."""
+    if parent is None:
+        return lambda element: [x for x in element.iter(tag) if x is not element]
+    return lambda element: [x for held in element.iter(parent) if held is not element for x in held.findall(tag)]
+
+
 class Every:
-    """A list of the shapes of all elements on a path; with ``holder``, of those in the first child of that name, null without one."""
+    """A list of the shapes of all elements found; with ``holder``, found in the first child of that name, null without one."""
 
-    def __init__(self, path: str, item, holder: str | None = None):
-        self.path, self.item, self.holder = path, item, holder
+    def __init__(self, found: Callable[[Element], list[Element]], item, holder: str | None = None):
+        self.found, self.item, self.holder = found, item, holder
         self.ends, self.missing = [0], []
 
     def add(self, element: Element) -> None:
         if self.holder is not None:
             element = element.find(self.holder)
         self.missing.append(element is None)
-        found = () if element is None else element.findall(self.path)
+        found = () if element is None else self.found(element)
         for child in found:
             self.item.add(child)
         self.ends.append(self.ends[-1] + len(found))
@@ -129,9 +141,9 @@ _BATCH = 2048
 
 
 def read_records(members: Iterable[dict], elements: Callable[[bytes], Iterator[Element]], fail_fast: bool,
-                 shape: Callable[[], Record], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+                 shape: Record, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     """``archive, member, record`` of every file. A malformed file is an error or gives no record at all."""
-    record, archives, names = shape(), [], []
+    record, archives, names = copy.deepcopy(shape), [], []
 
     def batch() -> pa.RecordBatch:
         made = pa.RecordBatch.from_arrays([pa.array(archives, pa.string()), pa.array(names, pa.string()), record.take()], schema.names)

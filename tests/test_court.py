@@ -160,7 +160,7 @@ def test_records_in_batches(spark, monkeypatch):
         monkeypatch.setattr(shred, "_BATCH", size)
         for whole in (0, 1 << 20):
             read = lambda xml: members.elements(xml, "pronuncia", True, whole)  # noqa: B023,E731
-            rows = [r for b in shred.read_records(files, read, False, archives._ruling, schema) for r in b.to_pylist()]
+            rows = [r for b in shred.read_records(files, read, False, archives._ruling(), schema) for r in b.to_pylist()]
             assert [r["member"] for r in rows] == want
             assert rows[4]["record"]["massime"][0]["norme"][1]["numero"] == "4"
             assert rows[-1]["record"]["testata"]["anno_pronuncia"] == "2"
