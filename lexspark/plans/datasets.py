@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lexspark import fixed, schemas
 from lexspark.functions import markup, rules
 from lexspark.functions.text import or_empty
 from lexspark.operators import enrich, flatten, segment
-from lexspark.sources import archives, documents, tables
+from lexspark.plans import contracts
+from lexspark.sources import archives, documents, published, tables
 
 
 def testo(pages: DataFrame, text: str = "value", name: str = "file_name",
@@ -65,11 +67,15 @@ def revisioni(laws: DataFrame, text: str = "value", name: str = "file_name",
     )
 
 
+def acts_table(records: DataFrame, kinds: dict[str, str] = fixed.ARCHIVE_KINDS) -> DataFrame:
+    """Acts (``archive, record``) to constitutional parameters."""
+    return flatten.flatten_acts(records, archives.archive_kind(F.col("archive"), kinds))
+
+
 def atti_promovimento(zips: DataFrame, kinds: dict[str, str] = fixed.ARCHIVE_KINDS) -> DataFrame:
     """Register archives (``archive, content``) to constitutional parameters."""
     known = zips.where(archives.file_name(F.col("archive")).isin(list(kinds)))
-    records = archives.read_acts(known)
-    return flatten.flatten_acts(records, archives.archive_kind(F.col("archive"), kinds))
+    return acts_table(archives.read_acts(known), kinds)
 
 
 def massime(zips: DataFrame) -> DataFrame:
@@ -88,41 +94,56 @@ def indicatori_costituzionali(mapping: DataFrame, registry: DataFrame) -> DataFr
 
 
 # --- jobs: read landed files, publish Parquet and CSV -------------------------------------------
-def publish_testo(spark: SparkSession, wikitext: str, out: str) -> None:
-    documents.write_text(testo(documents.read_document(spark, wikitext)), out)
-
-
-def publish_articoli(spark: SparkSession, markdown: str, out: str) -> None:
+# With ``versions`` a table is published as a version of its own, checked while it is written, and the
+# former one stays in place until the next is whole.
+def _publish(df: DataFrame, out: str, schema: T.StructType, text_form=None, when_empty: str = "write",
+             versions: bool = False, contract: contracts.Contract | None = None) -> bool:
+    if not versions:
+        return tables.publish(df, out, schema, text_form, when_empty)
+    rules = contract.rules if contract else ()
+    return published.publish(df, out, schema, text_form, when_empty, rules) is not None
+
+
+def publish_testo(spark: SparkSession, wikitext: str, out: str, versions: bool = False) -> None:
+    made = testo(documents.read_document(spark, wikitext))
+    if versions:
+        named = F.concat(F.regexp_replace("documento", r"\.[^.]*$", ""), F.lit(".md"))
+        published.publish_documents(made.withColumn("documento", named), out)
+    else:
+        documents.write_text(made, out)
+
+
+def publish_articoli(spark: SparkSession, markdown: str, out: str, versions: bool = False, contract: contracts.Contract | None = None) -> None:
     docs = documents.read_document(spark, markdown)
-    tables.publish(articoli(docs, "value", ()), out, schemas.ARTICOLI, articoli_csv)
+    _publish(articoli(docs, "value", ()), out, schemas.ARTICOLI, articoli_csv, "write", versions, contract)
 
 
-def publish_revisioni(spark: SparkSession, corpus: str, out: str) -> None:
-    tables.publish(revisioni(documents.read_documents(spark, corpus)), out, schemas.REVISIONI, when_empty="error")
+def publish_revisioni(spark: SparkSession, corpus: str, out: str, versions: bool = False, contract: contracts.Contract | None = None) -> None:
+    _publish(revisioni(documents.read_documents(spark, corpus)), out, schemas.REVISIONI, None, "error", versions, contract)
 
 
-def publish_atti_promovimento(spark: SparkSession, zips: str, out: str) -> bool:
-    known = "{" + ",".join(fixed.ARCHIVE_KINDS) + "}"  # other archives are not read at all
-    acts = atti_promovimento(archives.read_archives(spark, zips, known))
-    return tables.publish(acts, out, schemas.ATTI_PROMOVIMENTO, when_empty="skip")
+def publish_atti_promovimento(spark: SparkSession, zips: str, out: str, versions: bool = False, contract: contracts.Contract | None = None) -> bool:
+    acts = acts_table(archives.acts_in(spark, zips, tuple(fixed.ARCHIVE_KINDS)))  # other archives are not read at all
+    return _publish(acts, out, schemas.ATTI_PROMOVIMENTO, None, "skip", versions, contract)
 
 
-def publish_massime(spark: SparkSession, zips: str, out: str) -> None:
-    tables.publish(massime(archives.read_archives(spark, zips)), out, schemas.MASSIME)
+def publish_massime(spark: SparkSession, zips: str, out: str, versions: bool = False, contract: contracts.Contract | None = None) -> None:
+    _publish(flatten.flatten_maxims(archives.rulings_in(spark, zips)), out, schemas.MASSIME, None, "write", versions, contract)
 
 
-def publish_citazioni(spark: SparkSession, citations: str, articles: str, out: str) -> None:
+def publish_citazioni(spark: SparkSession, citations: str, articles: str, out: str, versions: bool = False, contract: contracts.Contract | None = None) -> None:
     known = documents.if_exists(lambda: spark.read.parquet(articles).select(
         "articolo", "testo", F.struct("_metadata.file_path", "_metadata.row_index").alias("_order")))
     rows = citazioni_legislative(spark.read.parquet(citations), known, F.col("_order"))
-    tables.publish(rows, out, rows.schema)  # types are those of the upstream table
+    _publish(rows, out, rows.schema, None, "write", versions, contract)  # types are those of the upstream table
 
 
-def publish_indicatori(spark: SparkSession, mapping: str, registry: str, out: str) -> None:
+def publish_indicatori(spark: SparkSession, mapping: str, registry: str, out: str, versions: bool = False, contract: contracts.Contract | None = None) -> None:
     entries, known = tables.read_mapping(spark, mapping), tables.read_registry(spark, registry)
     enrich.require_references(entries, known)
     rows = indicatori_costituzionali(entries, known)
-    tables.publish(rows.orderBy("articolo", "ordinal"), out, schemas.INDICATORI)  # a curated list, read in order
+    # A curated list, read in order.
+    _publish(rows.orderBy("articolo", "ordinal"), out, schemas.INDICATORI, None, "write", versions, contract)
 
 
 DATASETS = (
@@ -131,10 +152,11 @@ DATASETS = (
 
 
 def register_views(spark: SparkSession, root: str) -> list[str]:
-    """Temp views over the published Parquet, so the tables can be queried with Spark SQL."""
+    """Temp views over the published Parquet, of the current version if there are versions, so the tables can be queried with Spark SQL."""
     found = []
     for name in DATASETS:
-        table = documents.if_exists(lambda: spark.read.parquet(f"{root}/{name}/parquet"))  # noqa: B023
+        folder = published.current(spark, f"{root}/{name}") or f"{root}/{name}"
+        table = documents.if_exists(lambda: spark.read.parquet(f"{folder}/parquet"))  # noqa: B023
         if table is not None:
             table.createOrReplaceTempView(name)
             found.append(name)

@@ -12,7 +12,7 @@ task.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from lexspark import fixed, schemas
-from lexspark.sources import shred
+from lexspark.sources import shred, zips
 from lexspark.sources.members import batches_of, elements, first_xml, inner_archives, inner_xml, malformed, own_text
 
 MEMBER = schemas.struct("archive", "member", ("content", T.BinaryType()))
@@ -136,6 +136,33 @@ def read_rulings(archives: DataFrame) -> DataFrame:
     return _records(_spread_inner(archives), inner_xml, "pronuncia", True, False, _ruling(), schemas.RULING)
 
 
+_PACKED = ("archive", "member", "method", "crc", "content")
+
+
+def acts_by_range(spark: SparkSession, path: str, glob: str = "*.zip", split: int = zips.SPLIT) -> DataFrame:
+    """``read_acts`` of the archives in a folder, whatever their size."""
+    found = zips.read_members(spark, path, glob, first=True, split=split)
+    return _records(found.select(*_PACKED), zips.unpacked_rows, "atto", False, True, _act(), schemas.ACT)
+
+
+def rulings_by_range(spark: SparkSession, path: str, glob: str = "*.zip", split: int = zips.SPLIT) -> DataFrame:
+    """``read_rulings`` of the archives in a folder, whatever their size; a large inner archive is read by many tasks."""
+    found = zips.read_members(spark, path, glob, inner=True, split=split)
+    return _records(found.select(*_PACKED), zips.unpacked_rows, "pronuncia", True, False, _ruling(), schemas.RULING)
+
+
+def acts_in(spark: SparkSession, path: str, names: Sequence[str] = ("*.zip",)) -> DataFrame:
+    """The acts of the archives in a folder: by range, or as cells of at most 2 GB where only Spark reads the store."""
+    if zips.reachable(path):
+        return acts_by_range(spark, path, "|".join(names))
+    return read_acts(read_archives(spark, path, "{" + ",".join(names) + "}"))
+
+
+def rulings_in(spark: SparkSession, path: str) -> DataFrame:
+    """The rulings of the archives in a folder, read as ``acts_in`` does."""
+    return rulings_by_range(spark, path) if zips.reachable(path) else read_rulings(read_archives(spark, path))
+
+
 # --- XML in a column or in unpacked files ------------------------------------------------------
 # The JVM alone. These readers differ from the archive readers where XML is irregular: of repeated
 # children they take the last, and inline markup in a text stays in it.

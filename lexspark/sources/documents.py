@@ -26,11 +26,13 @@ def if_exists(read: Callable[[], DataFrame]) -> DataFrame | None:
 def _with_name(texts: DataFrame) -> DataFrame:
     """File name and text, every line end a plain newline."""
     unix = F.replace(F.replace("value", F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
-    return texts.select(F.col("_metadata.file_name").alias("file_name"), unix.alias("value"))
+    # Names come with blanks and percent signs encoded; a plus is itself.
+    name = F.url_decode(F.replace("_metadata.file_name", F.lit("+"), F.lit("%2B")))
+    return texts.select(name.alias("file_name"), unix.alias("value"))
 
 
 def read_documents(spark: SparkSession, folder: str, glob: str = "*.md") -> DataFrame:
-    """``(file_name, value)`` of the files directly in a folder; a missing folder gives no rows."""
+    """``(file_name, value)`` of the files directly in a folder; a missing folder gives no rows, nor does an empty file."""
     found = if_exists(lambda: spark.read.option("pathGlobFilter", glob).text(folder, wholetext=True))
     return spark.createDataFrame([], DOCUMENT) if found is None else _with_name(found)
 
