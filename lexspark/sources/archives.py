@@ -164,8 +164,9 @@ def rulings_in(spark: SparkSession, path: str) -> DataFrame:
 
 
 # --- XML in a column or in unpacked files ------------------------------------------------------
-# The JVM alone. These readers differ from the archive readers where XML is irregular: of repeated
-# children they take the last, and inline markup in a text stays in it.
+# Columns are read by the JVM alone, which differs from the archive readers where XML is irregular: of
+# repeated children it takes the last, and inline markup in a text stays in it. With ``exact`` they are
+# read as archives are. Unpacked files are cut into records by Spark's text reader and always read so.
 ACT_XML = schemas.struct("_anno", "_numero", ("numero_parte", T.ArrayType(schemas.struct(
     "_VALUE",
     ("norme", schemas.struct(("norma", T.ArrayType(schemas.ACT_NORM)))),
@@ -206,28 +207,46 @@ def _ruling_record(xml: str) -> Column:
     ).alias("record")
 
 
-def acts_from_column(df: DataFrame, xml: str, keep: tuple[str, ...] = ()) -> DataFrame:
+def _exact(df: DataFrame, xml: str, keep: tuple[str, ...], fail_fast: bool, shape: shred.Record, output: T.StructType) -> DataFrame:
+    """``(keep, record)`` of a column with an element per row, with the shapes of the archive readers."""
+    rows = df.select(*keep, F.col(xml).alias("_xml"))
+    made = T.StructType([*rows.schema.fields[:-1], T.StructField("record", output)])
+    schema = to_arrow_schema(made)
+    return rows.mapInArrow(lambda batches: shred.read_texts(batches, fail_fast, shape, schema), made)
+
+
+def acts_from_column(df: DataFrame, xml: str, keep: tuple[str, ...] = (), exact: bool = False) -> DataFrame:
     """``(keep, record)`` from a column with one ``<atto>`` per row; malformed XML is an error."""
+    if exact:
+        return _exact(df, xml, keep, True, _act(), schemas.ACT)
     parsed = df.select(*keep, F.from_xml(F.col(xml), ACT_XML, _parse_options(True)).alias("_x"))
     return parsed.select(*keep, _act_record("_x"))
 
 
-def rulings_from_column(df: DataFrame, xml: str, keep: tuple[str, ...] = ()) -> DataFrame:
+def rulings_from_column(df: DataFrame, xml: str, keep: tuple[str, ...] = (), exact: bool = False) -> DataFrame:
     """``(keep, record)`` from a column with one ``<pronuncia>`` per row; malformed XML has no header."""
+    if exact:
+        return _exact(df, xml, keep, False, _ruling(), schemas.RULING)
     parsed = df.select(*keep, F.from_xml(F.col(xml), RULING_XML, _parse_options(False)).alias("_x"))
     return parsed.select(*keep, _ruling_record("_x"))
 
 
-def _files(spark: SparkSession, path: str, tag: str, shape: T.StructType, fail_fast: bool) -> DataFrame:
-    read = spark.read.format("xml").options(rowTag=tag, **_parse_options(fail_fast)).schema(shape).load(path)
-    return read.select(F.struct(*shape.names).alias("_x"))
+def record_texts(spark: SparkSession, path: str, tag: str, charset: str = "UTF-8") -> DataFrame:
+    """``(xml)`` of every element called ``tag`` in unpacked XML files. Files are cut at its end tags, so one of any size is read by
+    many tasks. The tag must not stand within itself, nor in a comment or CDATA."""
+    end = f"</{tag}>"
+    pieces = spark.read.option("lineSep", end).text(path)
+    text = F.col("value") if charset == "UTF-8" else F.decode(F.col("value").cast("binary"), charset)
+    # A piece lacks its end tag; without one of its own, as behind the last record, what is added closes nothing.
+    found = F.regexp_extract_all(F.concat(text, F.lit(end)), F.lit(rf"(?s)<{tag}(?:\s[^<>]*)?(?:/>|(?<!/)>.*?{end})"), F.lit(0))
+    return pieces.select(F.explode(found).alias("xml"))
 
 
-def acts_from_files(spark: SparkSession, path: str) -> DataFrame:
-    """``(record)`` from unpacked XML files. Large files are split; acts are found at any depth."""
-    return _files(spark, path, "atto", ACT_XML, True).select(_act_record("_x"))
+def acts_from_files(spark: SparkSession, path: str, charset: str = "UTF-8") -> DataFrame:
+    """``(record)`` from unpacked XML files of any size; acts are found at any depth. A malformed act is an error."""
+    return acts_from_column(record_texts(spark, path, "atto", charset), "xml", exact=True)
 
 
-def rulings_from_files(spark: SparkSession, path: str) -> DataFrame:
-    """``(record)`` from unpacked XML files. Large files are split; a malformed ruling is left out."""
-    return _files(spark, path, "pronuncia", RULING_XML, False).select(_ruling_record("_x"))
+def rulings_from_files(spark: SparkSession, path: str, charset: str = "UTF-8") -> DataFrame:
+    """``(record)`` from unpacked XML files of any size; a malformed ruling has no header and so no rows."""
+    return rulings_from_column(record_texts(spark, path, "pronuncia", charset), "xml", exact=True)

@@ -173,4 +173,19 @@ def read_records(members: Iterable[dict], elements: Callable[[bytes], Iterator[E
         yield batch()
 
 
+def read_texts(batches: Iterable[pa.RecordBatch], fail_fast: bool, shape: Record, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """The record of the one element that each text of the last column is, beside the other columns. A malformed text is
+    an error or gives the record of an element without anything, as a null one does."""
+    record, nothing = copy.deepcopy(shape), Element("nothing")
+    for batch in batches:
+        for text in batch.columns[-1]:
+            try:
+                record.add(ElementTree.fromstring(text.as_py()) if text.is_valid else nothing)
+            except ElementTree.ParseError:
+                if fail_fast:
+                    raise
+                record.add(nothing)
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], record.take()], schema.names).cast(schema)
+
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -164,3 +164,47 @@ def test_records_in_batches(spark, monkeypatch):
             assert [r["member"] for r in rows] == want
             assert rows[4]["record"]["massime"][0]["norme"][1]["numero"] == "4"
             assert rows[-1]["record"]["testata"]["anno_pronuncia"] == "2"
+
+
+IRREGULAR = [
+    "<pronuncia><pronuncia_testata><anno_pronuncia>19<b>9</b>7</anno_pronuncia><anno_pronuncia>2000</anno_pronuncia><numero_pronuncia/><numero_pronuncia>5</numero_pronuncia></pronuncia_testata>"
+    "<massime><massima><numero>1</numero><numero>2</numero><testo>x &lt; y &amp; <i>inammissibile</i>\nfine</testo><testo>fondata</testo>"
+    "<parametri><parametro><articolo><b>3</b>4</articolo><comma>1<!-- c -->2</comma></parametro></parametri><parametri><parametro><articolo>5</articolo></parametro></parametri>"
+    "<norme><norma><numero> 7 </numero><numero>8</numero></norma></norme></massima></massime></pronuncia>",
+    "<pronuncia/>",
+    "<pronuncia nota='a/b'><pronuncia_testata>x<anno_pronuncia>1970</anno_pronuncia></pronuncia_testata><gruppo><massima><testo>è</testo></massima></gruppo></pronuncia>",
+]
+
+
+def test_files_and_archives_agree(spark, tmp_path):
+    """Repeated children, inline markup, empty elements, comments and entities; files cut by many tasks."""
+    xml = f"<raccolta>\n<a>{''.join(IRREGULAR * 40)}</a>\n<pronuncia />coda</raccolta>"
+    (tmp_path / "f").mkdir()
+    (tmp_path / "f" / "m.xml").write_text(xml, encoding="utf-8")
+    (tmp_path / "l.xml").write_text(xml, encoding="latin-1")
+    packed = spark.createDataFrame([("a.zip", bytearray(pack_members([("b.zip", pack_members([("m.xml", xml.encode())]))])))], "archive string, content binary")
+    text = lambda df: sorted(str(r["record"]) for r in df.collect())
+    want = text(archives.read_rulings(packed))
+    assert len(want) == 121
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        files = archives.rulings_from_files(spark, str(tmp_path / "f"))
+        assert files.rdd.getNumPartitions() > 4
+        assert text(files) == want
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert text(archives.rulings_from_files(spark, str(tmp_path / "l.xml"), "ISO-8859-1")) == want
+    assert text(archives.rulings_from_column(spark.createDataFrame([(x,) for x in IRREGULAR * 40 + ["<pronuncia/>"]], "x string"), "x", exact=True)) == want
+    column = spark.createDataFrame([(1, "<pronuncia>"), (2, None)], "k long, x string")
+    assert [r["record"]["testata"] for r in archives.rulings_from_column(column, "x", ("k",), exact=True).collect()] == [None, None]
+
+
+def test_act_files_and_archives_agree(spark, tmp_path):
+    (tmp_path / "r.xml").write_text(ACTS, encoding="utf-8")
+    packed = spark.createDataFrame([("a.zip", bytearray(pack_members([("m.xml", ACTS.encode())])))], "archive string, content binary")
+    text = lambda df: sorted(str(r["record"]) for r in df.collect())
+    files = text(archives.acts_from_files(spark, str(tmp_path)))
+    assert set(text(archives.read_acts(packed))) < set(files) and len(files) == 3  # one lies deeper
+    (tmp_path / "r.xml").write_text("<r><atto><x></atto></r>")
+    with pytest.raises(Exception, match="mismatched tag"):
+        archives.acts_from_files(spark, str(tmp_path)).collect()
