@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,7 +20,7 @@ from lexspark.functions.text import join_numbers, numbers_in
 from lexspark.operators import enrich, flatten, metrics, quality, segment, verdicts
 from lexspark.plans import compose, datasets, questions
 from lexspark.session import shared_dir, spread
-from lexspark.sources import archives, documents, tables
+from lexspark.sources import archives, documents, published, tables
 
 
 @dataclass(frozen=True)
@@ -639,6 +639,47 @@ def _zip_maxims(spark: SparkSession, root: str) -> DataFrame:
     return schemas.select_as(datasets.massime(compose.pack(rows, compose.packers()[1])), schemas.MASSIME)
 
 
+def _landed(packed: DataFrame, name: str) -> str:
+    """Archives (``archive, content``) as files of a folder, under the names of their paths."""
+    out = shared_dir(packed.sparkSession, name)
+    flat = packed.select(F.replace("archive", F.lit("/"), F.lit("-")).alias("name"), "content")
+    published.publish_documents(flat, out, "name", "content")
+    return published.current(packed.sparkSession, out)
+
+
+@_query("zip_acts_by_range", f"""
+    WITH {_SQL_ACTS}
+    SELECT CASE WHEN k % 2 = 0 THEN 'ordinanza' ELSE 'ricorso' END AS tipo, * EXCLUDE (k) FROM acts
+""")
+def _zip_acts_by_range(spark: SparkSession, root: str) -> DataFrame:
+    """The archives of ``zip_acts`` as files, read by ranges of their directories."""
+    xml = F.to_xml(compose.act(F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")), {"rowTag": "atto"})
+    rows = _wide(spark, root, "orders", "o_orderkey", "o_custkey", "o_orderdate").select(
+        compose.text_of("o_orderkey").alias("folder"),
+        F.when(F.col("o_orderkey") % 2 == 0, F.lit("ordinanze.zip")).otherwise(F.lit("ricorsi.zip")).alias("archive"), xml.alias("xml"))
+    folder = _landed(compose.pack(rows, compose.packers()[0]), "atti")
+    kind = F.when(F.col("archive").endswith("-ordinanze.zip"), "ordinanza").otherwise("ricorso")
+    return schemas.select_as(flatten.flatten_acts(archives.acts_by_range(spark, folder), kind), schemas.ATTI_PROMOVIMENTO)
+
+
+@_query("zip_maxims_by_range", f"WITH {_SQL_MAXIMS}")
+def _zip_maxims_by_range(spark: SparkSession, root: str) -> DataFrame:
+    """The archives of ``zip_maxims`` as files, read by ranges of their directories."""
+    orders = _wide(spark, root, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    rows = orders.select(compose.text_of("o_orderkey").alias("folder"), F.lit("massime.zip").alias("archive"), _ruling_xml(orders).alias("xml"))
+    folder = _landed(compose.pack(rows, compose.packers()[1]), "massime")
+    return schemas.select_as(flatten.flatten_maxims(archives.rulings_by_range(spark, folder)), schemas.MASSIME)
+
+
+@_query("xml_files", f"WITH {_SQL_MAXIMS}")
+def _xml_files(spark: SparkSession, root: str) -> DataFrame:
+    """Rulings written to unpacked XML files, which are cut into records by many tasks."""
+    orders = _wide(spark, root, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    out = shared_dir(spark, "xml")
+    orders.select(_ruling_xml(orders).alias("value")).write.text(out)
+    return schemas.select_as(flatten.flatten_maxims(archives.rulings_from_files(spark, out)), schemas.MASSIME)
+
+
 # --- publication and contracts -----------------------------------------------------------------
 @_query("csv_parquet_roundtrip", """
     SELECT doc_id AS articolo, '' AS disposizione, lang AS parte, source AS titolo, text AS testo, n_chars AS commi,
@@ -694,6 +735,110 @@ def _published_sql(spark: SparkSession, root: str) -> DataFrame:
         SELECT articolo, count(*) AS n, count(DISTINCT fonte_filename) AS fonti FROM citazioni_legislative GROUP BY articolo HAVING count(*) > 1""")
 
 
+@_query("published_invocations", f"""
+    WITH {_SQL_ACTS}
+    SELECT parametro_articolo, count(*) AS volte FROM acts GROUP BY parametro_articolo
+""")
+def _published_invocations(spark: SparkSession, root: str) -> DataFrame:
+    """Acts published as a version whose contract holds, then the published statement for the most invoked article."""
+    orders = _wide(spark, root, "orders", "o_orderkey", "o_custkey", "o_orderdate")
+    xml = F.to_xml(compose.act(F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")), {"rowTag": "atto"})
+    acts = flatten.flatten_acts(archives.acts_from_column(orders.select(xml.alias("xml")), "xml"), F.lit("ordinanza"))
+    out = shared_dir(spark, "pubblicati")
+    published.publish(acts, f"{out}/atti_promovimento", schemas.ATTI_PROMOVIMENTO, rules=[quality.rows_at_least(1)])
+    datasets.register_views(spark, out)
+    return spark.sql("""
+        SELECT parametro_articolo, COUNT(*) AS volte FROM atti_promovimento GROUP BY parametro_articolo ORDER BY volte DESC""")
+
+
+@_query("published_acceptance", """
+    SELECT CAST(l_suppkey % 140 AS VARCHAR) AS parametro_articolo, round(sum(CASE WHEN l_returnflag = 'A' THEN 1 ELSE 0 END) * 100.0 / count(*), 4) AS pct
+    FROM lineitem GROUP BY 1 HAVING count(*) > 50
+""")
+def _published_acceptance(spark: SparkSession, root: str) -> DataFrame:
+    """Maxims published as a version, then the published statement for the rate of acceptance."""
+    flag = F.col("l_returnflag")
+    outcome = F.when(flag == "A", "illegittimo").when(flag == "R", "non_fondata").otherwise("inammissibile")
+    blank = [F.lit("").alias(f.name) for f in schemas.MASSIME if f.name not in ("id_massima", "anno_pronuncia", "numero_pronuncia", "esito", "parametro_articolo")]
+    maxims = _table(spark, root, "lineitem").select(
+        F.col("l_orderkey").alias("id_massima"), F.year("l_shipdate").alias("anno_pronuncia"), F.col("l_linenumber").alias("numero_pronuncia"),
+        outcome.alias("esito"), compose.text_of(F.col("l_suppkey") % 140).alias("parametro_articolo"), *blank)
+    out = shared_dir(spark, "pubblicati")
+    published.publish(maxims, f"{out}/massime", schemas.MASSIME, rules=[quality.rows_at_least(1)])
+    datasets.register_views(spark, out)
+    rates = spark.sql("""
+        SELECT parametro_articolo, SUM(CASE WHEN esito = 'illegittimo' THEN 1 ELSE 0 END) * 100.0 / COUNT(*) AS pct
+        FROM massime GROUP BY parametro_articolo HAVING COUNT(*) > 50 ORDER BY pct DESC""")
+    return rates.select("parametro_articolo", F.round(F.col("pct").cast("double"), 4).alias("pct"))
+
+
+@_query("published_report", """
+    SELECT 'rows' AS rule, count(*) > 0 AS ok, count(*) AS observed FROM events
+    UNION ALL SELECT 'articolo not null', count(*) = count(*), count(*) FROM events
+    UNION ALL SELECT 'fonte_collezione free of ^$', count(*) FILTER (event_type = '') = 0, count(*) FILTER (event_type = '') FROM events
+    UNION ALL SELECT 'current', true, count(*) FROM events
+""")
+def _published_report(spark: SparkSession, root: str) -> DataFrame:
+    """The contract of a table, measured while it is written; a later, empty table is left out and changes nothing."""
+    events = _table(spark, root, "events")
+    rows = events.select(
+        compose.text_of("event_id").alias("fonte_filename"), F.col("event_type").alias("fonte_collezione"), F.lit(2000).cast("bigint").alias("fonte_anno"),
+        F.lit("legge").alias("fonte_tipo"), F.col("user_id").alias("articolo"), F.lit("").alias("contesto"), F.lit("").alias("articolo_testo"))
+    out = shared_dir(spark, "pubblicati")
+    known = quality.Rule("articolo not null", F.count("articolo"), 1)
+    report = published.publish(rows, out, schemas.CITAZIONI, rules=[quality.rows_at_least(1), known, quality.no_match("fonte_collezione", "^$")])
+    published.publish(rows.where("articolo < 0"), out, schemas.CITAZIONI, when_empty="skip")
+    kept = published.read_table(spark, out, schemas.CITAZIONI).agg(F.count("*").alias("observed"))
+    return report.unionByName(kept.select(F.lit("current").alias("rule"), F.lit(True).alias("ok"), "observed"))
+
+
+@_query("ordered_indicators", """
+    SELECT CAST(p_size AS BIGINT) AS articolo, row_number() OVER (PARTITION BY p_size ORDER BY p_partkey) AS posizione, p_name AS dataset_slug, p_brand AS dimensione FROM part
+""")
+def _ordered_indicators(spark: SparkSession, root: str) -> DataFrame:
+    """Entries under their articles, published in the order of articles and, within one, of the mapping."""
+    entries = tables.clean_mapping(_table(spark, root, "part").select(
+        F.col("p_partkey").alias("ordinal"), F.col("p_size").cast("bigint").alias("articolo"), F.col("p_name").alias("dataset_slug"),
+        F.col("p_brand").alias("dimensione"), F.lit(None).cast("string").alias("tipo")))
+    none = spark.createDataFrame([], "dataset_slug string, has_name boolean, name string, has_source boolean, source string")
+    rows = datasets.indicatori_costituzionali(entries, none)
+    out = shared_dir(spark, "indicatori")
+    published.publish(rows.orderBy("articolo", "ordinal"), out, schemas.INDICATORI)
+    # The order in which the rows lie in the files, the first file first, is that of the mapping.
+    place = F.struct("_metadata.file_name", "_metadata.row_index")
+    lying = spark.read.schema(schemas.INDICATORI).parquet(f"{published.current(spark, out)}/parquet").select("articolo", "dataset_slug", "dimensione", place.alias("_place"))
+    return lying.select("articolo", F.row_number().over(Window.partitionBy("articolo").orderBy("_place")).cast("bigint").alias("posizione"), "dataset_slug", "dimensione")
+
+
+def _supplier_pages(spark: SparkSession, root: str) -> str:
+    """A folder with a Markdown document for each supplier, under the supplier's name."""
+    docs = _table(spark, root, "supplier").select(
+        F.concat("s_name", F.lit(".md")).alias("documento"),
+        F.concat(F.lit("# "), F.col("s_name"), F.lit("\r\nchiave: "), compose.text_of("s_suppkey"), F.lit("\r\n")).alias("contenuto"))
+    out = shared_dir(spark, "documenti")
+    published.publish_documents(docs, out)
+    return published.current(spark, out)
+
+
+@_query("named_documents", """
+    SELECT s_name || '.md' AS file_name, '# ' || s_name || chr(10) || 'chiave: ' || s_suppkey || chr(10) AS value FROM supplier
+""")
+def _named_documents(spark: SparkSession, root: str) -> DataFrame:
+    """A file for each document, under the document's name, read as whole documents."""
+    return documents.read_documents(spark, _supplier_pages(spark, root))
+
+
+@_query("single_document", """
+    SELECT s_name || '.md' AS file_name, '# ' || s_name || chr(10) || 'chiave: ' || s_suppkey || chr(10) AS value FROM supplier
+    WHERE s_name = (SELECT max(s_name) FROM supplier)
+""")
+def _single_document(spark: SparkSession, root: str) -> DataFrame:
+    """One of many landed documents, by its path."""
+    folder = _supplier_pages(spark, root)
+    name = _table(spark, root, "supplier").agg(F.max("s_name")).first()[0]
+    return documents.read_document(spark, f"{folder}/{name}.md")
+
+
 @_query("documents_from_files", """
     SELECT '# ' || n_name || chr(10) || 'tipo: ' || n_regionkey || chr(10) AS value FROM nation
 """)

@@ -251,8 +251,15 @@ def _open_ended(stream: _Stream, name: str, method: int) -> tuple[bytes, int]:
 class Part(InputPartition):
     """A range of the directory of an archive (within ``start`` and ``size`` of a file), or a share of a deflated inner archive."""
 
-    def __init__(self, archive: str, inside: str, start: int, size: int, place: Directory, share: tuple[Entry, int, int] | None = None):
-        self.archive, self.inside, self.start, self.size, self.place, self.share = archive, inside, start, size, place, share
+    def __init__(self, archive: str, inside: str, start: int, size: int, place: Directory, packed: int, share: tuple[Entry, int, int] | None = None):
+        self.archive, self.inside, self.start, self.size, self.place, self.packed, self.share = archive, inside, start, size, place, packed, share
+
+
+class Parts(InputPartition):
+    """What one task reads: as many parts, of any archives, as make up its bytes."""
+
+    def __init__(self, parts: list[Part]):
+        self.parts = parts
 
 
 class MembersReader(DataSourceReader):
@@ -272,12 +279,18 @@ class MembersReader(DataSourceReader):
             if x.is_file and (info.is_file or any(fnmatch.fnmatchcase(x.base_name, g) for g in self.glob.split("|"))):
                 yield x.path, x.size
 
-    def partitions(self) -> list[Part]:
+    def partitions(self) -> list[Parts]:
         store, _ = opened(self.path)
-        out: list[Part] = []
+        out: list[Parts] = []
+        held = self.split
         for archive, size in self._files():
             with store.open_input_file(archive) as file:
-                out += self._plan(archive, "", Window(file, 0, size))
+                for part in self._plan(archive, "", Window(file, 0, size)):
+                    if held >= self.split:
+                        out.append(Parts([]))
+                        held = 0
+                    out[-1].parts.append(part)
+                    held += part.packed
         return out
 
     def _plan(self, archive: str, inside: str, file: Window) -> list[Part]:
@@ -289,7 +302,7 @@ class MembersReader(DataSourceReader):
         def close(end: int) -> None:
             nonlocal begin, held
             if begin is not None:
-                out.append(Part(archive, inside, file.start, file.size, Directory(begin, end - begin, place.shift)))
+                out.append(Part(archive, inside, file.start, file.size, Directory(begin, end - begin, place.shift), held))
             begin, held = None, 0
 
         for at, entry in entries(file, place.start, place.size, place.shift):
@@ -303,7 +316,7 @@ class MembersReader(DataSourceReader):
                 if entry.packed > self.split:
                     close(at)
                     shares = min(SHARES, -(-entry.packed // self.split))
-                    out += [Part(archive, "", file.start, file.size, place, (entry, k, shares)) for k in range(shares)]
+                    out += [Part(archive, "", file.start, file.size, place, self.split, (entry, k, shares)) for k in range(shares)]
                     continue
             if begin is None:
                 begin = at
@@ -321,12 +334,13 @@ class MembersReader(DataSourceReader):
         """Where the entry after the one at ``at`` begins."""
         return at + _ENTRY.size + sum(struct.unpack("<3H", file.at(at + 28, 6)))
 
-    def read(self, partition: Part | None) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Parts | None) -> Iterator[pa.RecordBatch]:
         if partition is None:  # nothing was planned
             return
         store, _ = opened(self.path)
-        with store.open_input_file(partition.archive) as opened_file:
-            yield from _batches(partition.archive, self._members(partition, opened_file))
+        for part in partition.parts:
+            with store.open_input_file(part.archive) as opened_file:
+                yield from _batches(part.archive, self._members(part, opened_file))
 
     def _members(self, part: Part, opened_file: BinaryIO) -> Iterator[tuple[str, Entry, bytes]]:
         file = Window(opened_file, part.start, part.size)

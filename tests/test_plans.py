@@ -10,8 +10,8 @@ from lexspark.plans.catalog import CATALOG
 
 ROOT = os.environ.get("TESTDATA", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(ROOT), reason="no test tables")
-PYTHON = {"zip_acts", "zip_maxims"}
-ONE_ROW = {"distinct_totals", "conditional_counts", "segment_totals", "dq_report", "share_of_total"}
+PYTHON = {"zip_acts", "zip_maxims", "zip_acts_by_range", "zip_maxims_by_range", "xml_files"}
+ONE_ROW = {"distinct_totals", "conditional_counts", "segment_totals", "dq_report", "share_of_total", "published_report"}
 
 
 @pytest.mark.parametrize("name", sorted(CATALOG))
