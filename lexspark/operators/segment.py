@@ -9,7 +9,7 @@ linear in the text whatever its number of headings.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexspark import fixed
@@ -73,6 +73,10 @@ def segment_documents(df: DataFrame, text: str = "value", keep: tuple[str, ...]
         "parte", "titolo", "sezione",
         strip(body).alias("testo"),
     )
+    return _segment_columns(labelled, keys)
+
+
+def _segment_columns(labelled: DataFrame, keys: list[str]) -> DataFrame:
     return labelled.select(
         *keys, "ordine", "numero",
         digits_or(F.col("numero"), None).alias("articolo"),
@@ -86,6 +90,63 @@ def segment_documents(df: DataFrame, text: str = "value", keep: tuple[str, ...]
     )
 
 
+# --- documents larger than a cell --------------------------------------------------------------
+# What a line does to the running context is to set some of part, title, section and open segment: a
+# part empties title and section, a title the section, each of them closes the segment. So the context
+# after any run of lines is, field by field, the last that was set, and what one split leaves behind is
+# put together with what the splits before it left.
+_CONTEXT = ("_parte", "_titolo", "_sezione", "_open")
+
+
+def _sets(line: Column, place: Column) -> list[Column]:
+    """What a line sets of the context, null where it sets nothing; a closed segment has no place."""
+    final = line.startswith(fixed.FINAL_PART_HEADING)
+    part = F.when(final, F.lit(fixed.FINAL_PART)).otherwise(F.nullif(_label(line, fixed.PART_HEADING), F.lit("")))
+    title, section = (F.nullif(_label(line, h), F.lit("")) for h in (fixed.TITLE_HEADING, fixed.SECTION_HEADING))
+    opens = line.rlike(rf"(?mdU)\A(?:{fixed.ARTICLE_HEADING}|{fixed.PROVISION_HEADING})")
+    closed = F.struct(F.lit(None).cast("bigint").alias("split"), F.lit(None).cast("bigint").alias("at"))
+    over = part.isNotNull()
+    return [
+        part.alias("_parte"),
+        F.when(over, F.lit("")).otherwise(title).alias("_titolo"),
+        F.when(over | title.isNotNull(), F.lit("")).otherwise(section).alias("_sezione"),
+        F.when(opens, place).when(over | title.isNotNull() | section.isNotNull(), closed).alias("_open"),
+    ]
+
+
+def segment_lines(lines: DataFrame, doc: str = "file_name", split: str = "split", at: str = "at", text: str = "line") -> DataFrame:
+    """The rows of ``segment_documents`` for documents that come line by line, in splits, with ``doc`` kept.
+
+    ``split`` and ``at`` are integers: the lines of a document go by split, and within one by ``at``, once each.
+    A split is sorted by one task and a segment is put together by one; a document may have any number of
+    either. ``ordine`` is the place of the heading.
+    """
+    prefixes = "|".join(fixed.METADATA_PREFIXES)
+    line = F.col("_line")
+    rows = lines.select(
+        F.col(doc).alias("_doc"), F.col(split).cast("bigint").alias("_split"), F.col(at).cast("bigint").alias("_at"), F.col(text).alias("_line")
+    ).where(~line.rlike(rf"(?d)\A(?:{prefixes})"))
+    marked = rows.select("*", *_sets(line, F.struct(F.col("_split").alias("split"), F.col("_at").alias("at"))))
+    left = marked.groupBy("_doc", "_split").agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_at"))).alias(c) for c in _CONTEXT])
+    before = Window.partitionBy("_doc").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    given = left.select("_doc", "_split", *[F.last(c, ignorenulls=True).over(before).alias(f"{c}_given") for c in _CONTEXT])
+    inside = Window.partitionBy("_doc", "_split").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    known = marked.select("_doc", "_split", "_at", "_line", *[F.last(c, ignorenulls=True).over(inside).alias(c) for c in _CONTEXT]).join(given, ["_doc", "_split"])
+    context = {c: F.coalesce(c, f"{c}_given") for c in _CONTEXT}
+    held = known.select(
+        "_doc", "_split", "_at", "_line", context["_open"].alias("_open"),
+        *[F.coalesce(context[c], F.lit("")).alias(c) for c in _CONTEXT[:3]]).where(F.col("_open.at").isNotNull())
+    heading = (F.col("_open.split") == F.col("_split")) & (F.col("_open.at") == F.col("_at"))
+    body = F.transform(F.sort_array(F.collect_list(F.when(~heading, F.struct("_split", "_at", "_line")))), lambda x: x["_line"])
+    whole = held.groupBy("_doc", "_open").agg(
+        F.max(F.when(heading, F.struct("_line", *_CONTEXT[:3]))).alias("_head"), F.array_join(body, "\n").alias("_body"))
+    numero, disposizione = (F.nullif(_label(F.col("_head._line"), h), F.lit("")) for h in (fixed.ARTICLE_HEADING, fixed.PROVISION_HEADING))
+    return _segment_columns(whole.select(
+        F.col("_doc").alias(doc), F.col("_open").alias("ordine"), numero.alias("numero"), disposizione.alias("disposizione"),
+        F.col("_head._parte").alias("parte"), F.col("_head._titolo").alias("titolo"), F.col("_head._sezione").alias("sezione"), strip(F.col("_body")).alias("testo"),
+    ), [doc])
+
+
 # --- frontmatter -------------------------------------------------------------------------------
 def frontmatter_entries(text: Column) -> Column:
     """``array<struct<key,value>>`` of the ``key: value`` lines at the head of a document."""

@@ -412,6 +412,16 @@ def _segment_hierarchy(spark: SparkSession, root: str) -> DataFrame:
     return _segments(spark, root).select("doc_id", *schemas.ARTICOLI.names)
 
 
+@_query("segment_splits", f"WITH {_SQL_SEGMENTS} SELECT * FROM segments")
+def _segment_splits(spark: SparkSession, root: str) -> DataFrame:
+    """The documents of ``segment_hierarchy`` line by line, in splits of 16 lines, as one that no cell holds would come."""
+    docs = _wide(spark, root, "documents", "doc_id", "lang", "source", "text")
+    text = compose.structured(F.col("doc_id"), F.col("lang"), F.col("source"), F.col("text"))
+    cut = docs.select("doc_id", F.posexplode(F.split(text, "\n", -1)).alias("at", "line"))
+    lines = cut.select("doc_id", F.floor(F.col("at") / 16).alias("split"), "at", "line")
+    return segment.segment_lines(lines, "doc_id").select("doc_id", *schemas.ARTICOLI.names)
+
+
 @_query("segment_totals", f"""
     WITH {_SQL_SEGMENTS} SELECT count(*) AS segmenti, CAST(sum(commi) AS BIGINT) AS commi FROM segments
 """)

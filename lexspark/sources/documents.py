@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexspark import schemas
@@ -23,12 +23,15 @@ def if_exists(read: Callable[[], DataFrame]) -> DataFrame | None:
         raise
 
 
+def _file_name() -> Column:
+    """Names come with blanks and percent signs encoded; a plus is itself."""
+    return F.url_decode(F.replace("_metadata.file_name", F.lit("+"), F.lit("%2B")))
+
+
 def _with_name(texts: DataFrame) -> DataFrame:
     """File name and text, every line end a plain newline."""
     unix = F.replace(F.replace("value", F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
-    # Names come with blanks and percent signs encoded; a plus is itself.
-    name = F.url_decode(F.replace("_metadata.file_name", F.lit("+"), F.lit("%2B")))
-    return texts.select(name.alias("file_name"), unix.alias("value"))
+    return texts.select(_file_name().alias("file_name"), unix.alias("value"))
 
 
 def read_documents(spark: SparkSession, folder: str, glob: str = "*.md") -> DataFrame:
@@ -37,6 +40,16 @@ def read_documents(spark: SparkSession, folder: str, glob: str = "*.md") -> Data
     return spark.createDataFrame([], DOCUMENT) if found is None else _with_name(found)
 
 
+def read_lines(spark: SparkSession, path: str, glob: str = "*.md") -> DataFrame:
+    """``(file_name, split, at, line)`` of the lines of files, which may be larger than a cell: a file is read in splits by many tasks.
+
+    Lines go by ``split``, the place in the file where a task began, and within one by ``at``.
+    """
+    lines = spark.read.option("pathGlobFilter", glob).text(path)
+    return lines.select(
+        _file_name().alias("file_name"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"))
+
+
 def read_document(spark: SparkSession, path: str) -> DataFrame:
     """``(file_name, value)`` of one file, which has to exist."""
     found = if_exists(lambda: spark.read.text(path, wholetext=True))

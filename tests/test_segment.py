@@ -4,6 +4,7 @@ import re
 from pyspark.sql import functions as F
 
 from lexspark.operators import segment
+from lexspark.sources import documents
 
 FIELDS = ["numero", "articolo", "disposizione", "parte", "titolo", "sezione", "heading", "testo", "commi"]
 FINAL = "Disposizioni transitorie e finali"
@@ -117,3 +118,40 @@ def test_frontmatter(spark):
     titles = df.select("i", segment.with_default_title(F.col("e"), F.lit("legge.md")).alias("t")).orderBy("i").collect()
     assert [r.t for r in titles] == ["Uno: 'due", "legge", "legge", "legge", '"x"', ""]
     assert segment.document_fields(df.select("i", "value"), "value", ("urn", "tipo")).where("i = 0").first()[2:] == ("b", "")
+
+
+def by_document(df, name):
+    rows = df.orderBy(name, "ordine").collect()
+    return [tuple(r[c] for c in (name, *FIELDS)) for r in rows]
+
+
+def test_lines_in_splits(spark):
+    """Documents cut anywhere give the rows of whole documents, whatever lies in a split."""
+    r = random.Random(7)
+    docs = [(k, "\n".join(r.choice(POOL) for _ in range(r.randint(0, 60)))) for k in range(40)]
+    whole = segment.segment_documents(spark.createDataFrame(docs, "doc int, value string"), "value", ("doc",))
+    want = by_document(whole, "doc")
+    assert len(want) > 100
+    for size in (1, 3, 1000):
+        cut = [(k, i // size - 5, i % size * 7, line) for k, text in docs for i, line in enumerate(text.split("\n"))]
+        r.shuffle(cut)
+        lines = spark.createDataFrame(cut, "doc int, split long, at int, line string")
+        assert by_document(segment.segment_lines(lines, "doc"), "doc") == want
+
+
+def test_files_larger_than_a_split(spark, tmp_path):
+    r = random.Random(8)
+    for k in range(3):
+        (tmp_path / f"d {k}.md").write_text("\r\n".join(r.choice(POOL) for _ in range(3000 * k + 5)) + "\n", newline="")
+    whole = segment.segment_documents(documents.read_documents(spark, str(tmp_path)), "value", ("file_name",))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3k")
+    try:
+        lines = documents.read_lines(spark, str(tmp_path))
+        assert lines.select("split").distinct().count() > 5
+        assert by_document(segment.segment_lines(lines), "file_name") == by_document(whole, "file_name")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_no_lines(spark):
+    assert segment.segment_lines(spark.createDataFrame([], "file_name string, split long, at long, line string")).count() == 0
