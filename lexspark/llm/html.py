@@ -29,9 +29,11 @@ CLOSED_BY = {
 }
 #: An end tag or an implied end does not reach beyond these.
 SCOPES = frozenset("table td th body html article section main aside nav header footer form".split())
+LISTS = frozenset(["ul", "ol", "dl", "menu", "table", "tbody", "thead", "tfoot", "tr"])
+#: Nothing beyond these is ended by a later element.
+STOPS = (LISTS - {"tr", "tbody", "thead"}) | (SCOPES - {"td", "th"})
 #: Elements that are parts of a container.
 PARTS = HEADINGS | frozenset("section p li dt dd tr td th tbody thead blockquote pre ul ol dl figure figcaption".split())
-LISTS = frozenset(["ul", "ol", "dl", "menu", "table", "tbody", "thead", "tfoot", "tr"])
 
 #: Words in class, id or role that mark what surrounds an article.
 AROUND = re.compile(
@@ -41,6 +43,9 @@ AROUND = re.compile(
     r"contentinfo|complementary|search|skip-?link|disclaimer|outbrain|taboola|hidden|tags|tag-?cloud)(?![a-z])", re.I)
 TOWARDS = re.compile(r"(?<![a-z])(?:articles?|body|content|contents|entry|entry-content|main|page-content|post|posts|post-body|story|text|blog|hentry)(?![a-z])", re.I)
 
+#: Names that tell how a page or an element is laid out, not what it is.
+LAYOUT = re.compile(r"^(?:has|no|with|without|is|show|hide|hides|shows)[-_]|[-_](?:open|opened|closed|collapsed|expanded|left|right|page|layout|template|enabled|disabled|on|off)$", re.I)
+
 _TAG = re.compile(r"<(?:!--|!\[CDATA\[|[!?]|/?[A-Za-z])")
 _NAME = re.compile(r"</?([A-Za-z][^\s/>]*)")
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""")
@@ -49,11 +54,15 @@ _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "dropped", "weight", "score")
+    __slots__ = ("tag", "parent", "children", "dropped", "named", "weight", "score", "own", "size", "links", "near")
 
-    def __init__(self, tag: str, parent: Node | None, dropped: bool = False, weight: float = 0.0):
-        self.tag, self.parent, self.dropped, self.weight, self.score = tag, parent, dropped, weight, 0.0
+    def __init__(self, tag: str, parent: Node | None, dropped: bool = False, named: bool = False, weight: float = 0.0):
+        self.tag, self.parent, self.dropped, self.weight, self.score = tag, parent, dropped or named, weight, 0.0
+        #: Whether only its names speak against it; the points of its own paragraphs; the text and the linked text below it.
+        self.named, self.own, self.size, self.links = named and not dropped, 0.0, 0, 0
         self.children: list[Node | str] = []
+        #: The nearest open element, itself included, that a later one may end; none beyond a list or a scope.
+        self.near: Node | None = self if tag in CLOSED_BY else None if parent is None or tag in STOPS else parent.near
 
 
 def tokens(html: str) -> Iterator[tuple[str, str, str]]:
@@ -95,18 +104,19 @@ def tokens(html: str) -> Iterator[tuple[str, str, str]]:
                 at = close.start() if close else size
 
 
-def _weigh(name: str, rest: str) -> tuple[bool, float]:
-    """Whether an element is dropped by its attributes, and how much they speak for an article."""
+def _weigh(name: str, rest: str) -> tuple[bool, bool, float]:
+    """Whether an element is hidden, whether its names mark what surrounds an article, and how much they speak for one."""
     if not rest.strip():
-        return False, 0.0
+        return False, False, 0.0
     attributes = {a.lower(): unescape(b or c or d or "") for a, b, c, d in _ATTRIBUTE.findall(rest)}
     said = " ".join(attributes.get(k, "") for k in ("class", "id", "role"))
     if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes.get("style", ""), re.I):
-        return True, 0.0
+        return True, False, 0.0
     towards = bool(TOWARDS.search(said)) or attributes.get("itemprop", "").lower() == "articlebody"
-    if name not in ("body", "html", "article", "main") and AROUND.search(re.sub(r"([a-z])([A-Z])", r"\1-\2", said)) and not (towards and name in ("p", *HEADINGS)):
-        return True, 0.0
-    return False, 25.0 if towards else 0.0
+    around = any(AROUND.search(re.sub(r"([a-z])([A-Z])", r"\1-\2", x)) for x in said.split() if not LAYOUT.search(x))
+    if around and name not in ("body", "html") and not (towards and name in ("p", *HEADINGS)):
+        return False, True, 0.0
+    return False, False, 25.0 if towards else 0.0
 
 
 def tree(html: str) -> Node:
@@ -120,22 +130,18 @@ def tree(html: str) -> Node:
             if name in ("html", "body"):
                 while name == "body" and node.tag in ("head", "p"):
                     node = node.parent
-                dropped, weight = _weigh(name, rest)
-                root.weight = max(root.weight, weight)
+                root.weight = max(root.weight, _weigh(name, rest)[2])
                 continue
-            scan = node
-            while scan is not root and scan.tag not in LISTS - {"tr", "tbody", "thead"}:
-                if name in CLOSED_BY.get(scan.tag, ()):
+            scan = node.near
+            while scan is not None:
+                if name in CLOSED_BY[scan.tag]:
                     node = scan.parent
-                    if scan.tag in ("td", "th", "tr"):
-                        scan = scan.parent
-                        continue
-                    break
-                if scan.tag in SCOPES and scan.tag not in ("td", "th"):
-                    break
-                scan = scan.parent
-            dropped, weight = _weigh(name, rest)
-            child = Node(name, node, name in DROPPED or dropped, weight)
+                    if scan.tag not in ("td", "th", "tr"):
+                        break
+                scan = scan.parent.near if scan.tag not in STOPS else None
+            hidden, named, weight = _weigh(name, rest)
+            child = Node(name, node, name in DROPPED or hidden, named and name not in ("article", "main"), weight)
+            child.named |= named and name in ("article", "main")
             node.children.append(child)
             if name not in VOID and not (rest.rstrip().endswith("/") and name not in BLOCKS and name in ("svg", "path")):
                 node = child
@@ -161,6 +167,50 @@ def _drop_headers(node: Node) -> None:
                 stack.append((child, inside or child.tag in ("article", "main")))
 
 
+def _spare(root: Node) -> None:
+    """Takes back drops that would lose the article: those by name, and of forms, around all there is of articles and main
+    parts, and that of a form that holds most of the page's text. One whose own names are those of a comment is none."""
+    whole: list[tuple[Node, list[Node], bool]] = []
+    forms: dict[int, tuple[Node, int]] = {}
+    total = 0
+    stack: list[tuple[Node, tuple, bool, tuple]] = [(root, (), False, ())]
+    while stack:
+        at, soft, hard, within = stack.pop()
+        if at.tag in ("article", "main") and not at.named:
+            whole.append((at, _listed(soft), hard))
+        if at.tag == "form" and not at.named and not hard:
+            within = (at, within)
+            forms[id(at)] = at, 0
+        if at.dropped:
+            if at.named or at.tag == "form":
+                soft = (at, soft)
+            else:
+                hard = True
+        for child in at.children:
+            if isinstance(child, Node):
+                stack.append((child, soft, hard, within))
+            elif not hard and (size := len(child.strip())):
+                total += size
+                for form in _listed(within):
+                    forms[id(form)] = form, forms[id(form)][1] + size
+    free = [x for x in whole if not x[2]]
+    if not any(not soft for _, soft, _ in free):
+        for _, soft, _ in free:
+            for node in soft:
+                node.dropped = False
+    for form, size in forms.values():
+        if 2 * size > total:
+            form.dropped = False
+
+
+def _listed(linked: tuple) -> list[Node]:
+    out = []
+    while linked:
+        node, linked = linked
+        out.append(node)
+    return out
+
+
 def blocks(node: Node) -> list[tuple[Node, str, int]]:
     """The blocks of text below a node in page order: the element each belongs to, the text, and how much of it is in links."""
     out: list[tuple[Node, str, int]] = []
@@ -200,25 +250,30 @@ def blocks(node: Node) -> list[tuple[Node, str, int]]:
     return out
 
 
-def _score(root: Node, found: list[tuple[Node, str, int]]) -> dict[int, tuple[Node, int, int]]:
-    """Points of paragraphs, passed to their ancestors; returns the text and the linked text below each node."""
-    below: dict[int, tuple[Node, int, int]] = {}
+def _score(root: Node, found: list[tuple[Node, str, int]]) -> list[Node]:
+    """Points of paragraphs, passed to their ancestors, halved at each step; returns the nodes with text below, in page order.
+
+    Children come before their parents, so each node is looked at once however deep the page is.
+    """
     for owner, text, linked in found:
-        points = 0.0
         if owner.tag not in HEADINGS and owner.tag not in ("li", "dt", "th", "option", "caption", "legend"):
-            points = (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - linked / max(len(text), 1)) * min(1.0, len(text) / 25)
-        # A container with text of its own is its own paragraph's parent.
-        own = owner.parent if owner.tag in ("p", "pre", "blockquote", "td", "figcaption", "dd") and owner.parent else owner
-        level, node = 0, own
-        while node is not None:
-            node.score += points / (1 if level == 0 else 2 if level == 1 else 3 * level)
-            level, node = level + 1, node.parent
-        node = owner
-        while node is not None:
-            _, size, links = below.get(id(node), (node, 0, 0))
-            below[id(node)] = node, size + len(text), links + linked
-            node = node.parent
-    return below
+            # A container with text of its own is its own paragraph's parent.
+            own = owner.parent if owner.tag in ("p", "pre", "blockquote", "td", "figcaption", "dd") and owner.parent else owner
+            own.own += (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - linked / max(len(text), 1)) * min(1.0, len(text) / 25)
+        owner.size += len(text)
+        owner.links += linked
+    order, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        stack += [x for x in reversed(node.children) if isinstance(x, Node) and not x.dropped]
+    for node in reversed(order):
+        node.score += node.own
+        if node.parent is not None:
+            node.parent.score += node.score / 2
+            node.parent.size += node.size
+            node.parent.links += node.links
+    return [x for x in order if x.size]
 
 
 def main_text(html: str | None) -> str:
@@ -231,24 +286,26 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     root = tree(html)
+    _spare(root)
     _drop_headers(root)
     found = blocks(root)
-    below = _score(root, found)
-    if not below:
+    order = _score(root, found)
+    if not order:
         return ""
 
     def density(node: Node) -> float:
-        _, size, links = below.get(id(node), (node, 0, 0))
-        return links / size if size else 0.0
+        return node.links / node.size if node.size else 0.0
 
     def value(node: Node) -> float:
         bonus = 1.5 if node.tag in ("article", "main") else 0.3 if node.tag in LISTS or node.tag in HEADINGS or node.tag in ("p", "li") else 1.0
         return (node.score + (node.weight if node.score > 0 else 0)) * (1 - density(node)) * bonus
 
-    order = [node for node, _, _ in below.values()]
     best = max(order, key=value)
     if value(best) <= 0:
         best = next((n for n in order if n.tag in ("article", "main")), root)
+    # One with about as much text of its own around it is a step within the text.
+    while best.parent is not None and best.tag not in ("article", "main") and best.parent.own >= 0.4 * best.score > 0:
+        best = best.parent
     # An article or main part around the best element is the whole of it.
     up, whole = best, best
     while up is not None:
@@ -261,15 +318,16 @@ def main_text(html: str | None) -> str:
         best = best.parent
     kept = [best]
     if best.parent is not None and best.tag != "main":
-        least = max(10.0, 0.2 * value(best))
+        # Beside an article a sibling has to be one as well; parts of a container are judged by their text, names apart.
+        least = 0.2 * (value(best) if best.tag == "article" else best.score * (1 - density(best)))
         kept = []
         for child in best.parent.children:
             if child is best:
                 kept.append(child)
-            elif isinstance(child, Node) and not child.dropped and id(child) in below:
-                size = below[id(child)][1]
-                prose = child.tag == "p" and density(child) < 0.25 and (size > 80 or density(child) == 0 and best.tag != "article")
-                if value(child) >= least or prose or (child.tag in HEADINGS and best.tag not in ("article", "main") and density(child) < 0.25):
+            elif isinstance(child, Node) and not child.dropped and child.size:
+                prose = child.tag == "p" and density(child) < 0.25 and (child.size > 80 or density(child) == 0 and best.tag != "article")
+                alike = value(child) >= max(10.0, least) if best.tag == "article" else child.score * (1 - density(child)) >= least and density(child) < 0.25
+                if alike or prose or (child.tag in HEADINGS and best.tag not in ("article", "main") and density(child) < 0.25):
                     kept.append(child)
     return "\n".join(text for part in kept for _, text, _ in blocks(part))
 

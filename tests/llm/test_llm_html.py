@@ -1,6 +1,7 @@
 """Main text of hand-written pages, of the given kind and others, whole and broken."""
 
 import random
+import time
 
 import pytest
 
@@ -46,3 +47,57 @@ def test_extract(spark):
     got = html.extract(pages)
     assert sorted((r["page_id"] or 0, r["text"], r["n_chars"]) for r in got.collect()) == [(0, "é🙂", 2), (1, "", 0), (1, "", 0)]
     assert got.columns == ["page_id", "url", "text", "n_chars"] and html.extract(pages.limit(0)).count() == 0
+
+
+WRAPPED = [
+    "<div class='content has-sidebar'>{}</div>", "<div class='post-body no-comments'>{}</div>", "<div id=page class=nav-closed><article>{}</article></div>",
+    "<section id=search><article>{}</article></section>", "<div class=tags-page><article>{}</article></div>", "<form id=aspnetForm><div class=content>{}</div></form>",
+    "<div class=social><main>{}</main></div>",
+]
+
+
+@pytest.mark.parametrize("page", WRAPPED)
+def test_no_article_is_lost_for_the_names_around_it(page):
+    assert html.main_text(page.format(f"<p>{LONG}</p>")) == LONG
+
+
+def test_articles_that_are_comments_or_teasers_go():
+    page = f"<article><p>{LONG}</p></article><div id=comments><article class=comment><p>{LONG} me too</p></article></div><div class=related><article><p>{LONG} next</p></article></div>"
+    assert html.main_text(page) == LONG
+    assert html.main_text(f"<article><p>{LONG}</p><form><p>Write to us, now.</p></form></article>") == LONG
+
+
+def test_a_short_second_part_stays():
+    assert html.main_text(f"<div><div><p>{LONG * 6}</p></div><div><p>{LONG * 4}</p></div></div>") == f"{LONG * 6}\n{LONG * 4}"
+
+
+def test_deep_pages_with_text_at_each_level():
+    start = time.process_time()
+    got = html.main_text("".join(f"<div>level, {k}" for k in range(4000)))
+    assert time.process_time() - start < 2 and got.count("\n") > 3000
+    start = time.process_time()
+    html.main_text("<p>x" + "<span>y" * 20_000)
+    assert time.process_time() - start < 2
+
+
+def test_scores_equal_a_walk_over_all_ancestors():
+    r = random.Random(11)
+    for _ in range(200):
+        page = "".join(r.choice(["<div>", "</div>", "<p>", "</p>", "<section>", "</section>", "<ul><li>", "</ul>", "<h2>T</h2>", f"{LONG} ", "short, text ", "<a href=x>linked text</a>", "<nav>", "</nav>"]) for _ in range(40))
+        root = html.tree(page)
+        found = html.blocks(root)
+        points, below = {}, {}
+        for owner, text, linked in found:
+            worth = 0 if owner.tag in (*html.HEADINGS, "li") else (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - linked / len(text)) * min(1, len(text) / 25)
+            node, share = (owner.parent if owner.tag == "p" else owner), 1.0
+            while node is not None:
+                points[id(node)] = points.get(id(node), 0) + worth * share
+                node, share = node.parent, share / 2
+            node = owner
+            while node is not None:
+                size, links = below.get(id(node), (0, 0))
+                below[id(node)] = size + len(text), links + linked
+                node = node.parent
+        nodes = html._score(root, found)
+        assert {id(n): (n.size, n.links) for n in nodes} == below
+        assert all(abs(n.score - points.get(id(n), 0)) < 1e-9 for n in nodes)
