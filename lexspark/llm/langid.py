@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexspark.llm.common import fresh
+
 #: Labelled rows of each language that are used to fit the classifiers, about; the only bounded sample.
 SAMPLE = 400
 #: Languages a model may have; labels beyond the most frequent ones are not learned.
@@ -133,7 +135,7 @@ def train(labelled: DataFrame, rows: int = SAMPLE) -> Model:
 
 
 def identify(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
-    """All rows and columns of ``docs`` with ``lang_pred``, ``score`` (0 to 1) and ``ambiguous`` behind; an input column of such a name is replaced.
+    """All rows and columns of ``docs`` with ``lang_pred``, ``score`` (0 to 1) and ``ambiguous`` behind; an input column of such a name, whatever its case, is replaced.
 
     Only the text decides. A null text, or one without a letter, is ``und`` with score 0, as every
     text is for a model without languages. Whole texts are looked at; no rows give no rows.
@@ -150,6 +152,6 @@ def identify(docs: DataFrame, model: Model, text_column: str = "text") -> DataFr
                 "lang_pred": pd.Series([x for names, _, _ in out for x in names], dtype=object), "score": np.concatenate([s for _, s, _ in out] or [np.zeros(0)]),
                 "ambiguous": np.concatenate([u for _, _, u in out] or [np.zeros(0, bool)])})
 
-    made = ["lang_pred", "score", "ambiguous"]
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in made]
-    return docs.select(*kept, predict(F.col(text_column).cast("string")).alias("made__")).select(*kept, *(F.col(f"made__.{c}").alias(c) for c in made))
+    made, own = ["lang_pred", "score", "ambiguous"], fresh("made")
+    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in made]
+    return docs.select(*kept, predict(F.col(text_column).cast("string")).alias(own)).select(*kept, *(F.col(f"{own}.{c}").alias(c) for c in made))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexspark.llm.common import SPACE, WORD, bind, stash
+from lexspark.llm.common import SPACE, WORD, bind, fresh, stash
 
 #: Words of a shingle, and the Jaccard similarity from which lines match.
 WORDS, SIMILARITY = 5, 0.8
@@ -191,7 +191,7 @@ def match_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
 def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` with all rows and columns, without the lines that match an earlier one; see ``match_lines``. A null text stays null."""
-    key, gone = "__row", "__gone"
+    key, gone = fresh("row"), fresh("gone")
     removed = match_lines(docs, id_column, text_column, words, similarity).where("removed").groupBy(F.col("row").alias(key)).agg(F.collect_set("line_no").alias(gone))
     keyed = docs.withColumn(key, row_key(id_column, text_column)).join(removed, key, "left")
     kept = F.array_join(F.filter(F.split(F.col(text_column).cast("string"), "\n"), lambda x, k: ~F.array_contains(gone, k.cast("long"))), "\n")

@@ -46,3 +46,10 @@ def test_predictions(spark):
 def test_no_labels(spark):
     model = langid.train(spark.createDataFrame([(1, "x", None)], "id long, text string, lang string"))
     assert model.predict(["hello", None])[0] == ["und", "und"]
+
+
+def test_clashing_names(spark):
+    model = langid.train(spark.createDataFrame([(k, t, v) for k, (t, v) in enumerate(texts(1, 10))], "id long, text string, lang string"))
+    docs = spark.createDataFrame([(1, "abc", "mine", "old", 7)], "doc_id long, text string, made__ string, LANG_PRED string, `a.b` int")
+    (row,) = langid.identify(docs, model).collect()
+    assert list(row.asDict()) == ["doc_id", "text", "made__", "a.b", "lang_pred", "score", "ambiguous"] and row["made__"] == "mine"

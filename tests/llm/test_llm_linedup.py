@@ -66,3 +66,8 @@ def test_odd_tables(spark):
     assert sorted((x["doc_id"], x["line_no"], x["removed"]) for x in linedup.match_lines(table).collect()) == [(1, 0, False), (1, 0, False), (2, 0, True), (2, 1, False)]
     assert sorted(x["text"] for x in linedup.remove_repeats(table).collect()) == ["a b c", "a b c", "d " + "x " * 50_000]
     assert linedup.match_lines(table.limit(0)).count() == 0 and linedup.remove_repeats(table.limit(0)).count() == 0
+
+
+def test_clashing_names(spark):
+    table = spark.createDataFrame([(1, "a b\na b", "mine", 5, 6), (2, "a b", "yours", 7, 8)], "doc_id long, text string, __row string, __gone int, class int")
+    assert sorted(map(tuple, linedup.remove_repeats(table).collect())) == [(1, "a b", "mine", 5, 6), (2, "", "yours", 7, 8)]
