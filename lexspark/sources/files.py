@@ -1,7 +1,8 @@
 """One file per row, under the row's own name: a data source that writes. Pickled by value.
 
 A task writes each file beside its place and then moves it there, so a file is whole or not there, and
-a task that runs again puts the same names in the same places.
+a task that runs again puts the same names in the same places. A name that occurs twice shows in the
+number of files when the job commits, and fails it.
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from __future__ import annotations
 import sys
 import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyarrow import fs
@@ -23,6 +25,11 @@ def legal(name: str | None) -> bool:
     return bool(name) and "/" not in name and name[0] not in "._"
 
 
+@dataclass
+class Written(WriterCommitMessage):
+    rows: int
+
+
 class FilesWriter(DataSourceArrowWriter):
     def __init__(self, path: str):
         self.path = path
@@ -30,7 +37,9 @@ class FilesWriter(DataSourceArrowWriter):
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         store, folder = opened(self.path)
         store.create_dir(folder, recursive=True)
+        rows = 0
         for batch in iterator:
+            rows += batch.num_rows
             for name, content in zip(batch.column("name"), batch.column("content")):
                 name, content = name.as_py(), content.as_py()
                 if not legal(name):
@@ -39,11 +48,14 @@ class FilesWriter(DataSourceArrowWriter):
                 with store.open_output_stream(place) as out:
                     out.write((content or "").encode() if not isinstance(content, bytes) else content)
                 store.move(place, f"{folder}/{name}")
-        return WriterCommitMessage()
+        return Written(rows)
 
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
         store, folder = opened(self.path)
         store.create_dir(folder, recursive=True)
+        files = sum(legal(x.base_name) for x in store.get_file_info(fs.FileSelector(folder)))
+        if files != sum(m.rows for m in messages if m is not None):
+            raise ValueError("a name occurs twice among the documents")
         with store.open_output_stream(f"{folder}/_SUCCESS"):
             pass
 

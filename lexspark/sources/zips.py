@@ -28,7 +28,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 #: Packed bytes of the members of a partition; and tasks among which a deflated inner archive is dealt out at most.
 SPLIT, SHARES = 32 << 20, 64
 #: Bytes read or inflated at once, and bytes of a batch handed on.
-_STEP, _BATCH = 1 << 20, 4 << 20
+_STEP, _BATCH = 1 << 20, 1 << 20
 #: A cell of a table is no longer than this.
 _CELL = (1 << 31) - 1024
 
@@ -256,10 +256,11 @@ class Part(InputPartition):
 
 
 class Parts(InputPartition):
-    """What one task reads: as many parts, of any archives, as make up its bytes."""
+    """What one task reads: as many parts, of any archives, as make up its bytes; ``split`` is what the plan took for many."""
 
-    def __init__(self, parts: list[Part]):
-        self.parts = parts
+    def __init__(self, split: int):
+        self.parts: list[Part] = []
+        self.split = split
 
 
 class MembersReader(DataSourceReader):
@@ -267,7 +268,7 @@ class MembersReader(DataSourceReader):
         self.path, self.glob, self.suffix = options["path"], options.get("glob", "*.zip"), options.get("suffix", ".xml")
         self.first = options.get("first", "false").lower() == "true"
         self.inner = options.get("inner", "false").lower() == "true"
-        self.split = int(options.get("split", str(SPLIT)))
+        self.split, self.tasks = int(options.get("split", str(SPLIT))), int(options.get("tasks", "1"))
 
     def _files(self) -> Iterator[tuple[str, int]]:
         store, root = opened(self.path)
@@ -282,12 +283,15 @@ class MembersReader(DataSourceReader):
     def partitions(self) -> list[Parts]:
         store, _ = opened(self.path)
         out: list[Parts] = []
+        files = list(self._files())
+        # As Spark does with files: fewer bytes a task where there are few in all, so that no core idles.
+        self.split = min(self.split, max(_BATCH, sum(size for _, size in files) // self.tasks))
         held = self.split
-        for archive, size in self._files():
+        for archive, size in files:
             with store.open_input_file(archive) as file:
                 for part in self._plan(archive, "", Window(file, 0, size)):
                     if held >= self.split:
-                        out.append(Parts([]))
+                        out.append(Parts(self.split))
                         held = 0
                     out[-1].parts.append(part)
                     held += part.packed
@@ -340,9 +344,9 @@ class MembersReader(DataSourceReader):
         store, _ = opened(self.path)
         for part in partition.parts:
             with store.open_input_file(part.archive) as opened_file:
-                yield from _batches(part.archive, self._members(part, opened_file))
+                yield from _batches(part.archive, self._members(part, opened_file, partition.split))
 
-    def _members(self, part: Part, opened_file: BinaryIO) -> Iterator[tuple[str, Entry, bytes]]:
+    def _members(self, part: Part, opened_file: BinaryIO, split: int) -> Iterator[tuple[str, Entry, bytes]]:
         file = Window(opened_file, part.start, part.size)
         if part.share is not None:
             entry, share, shares = part.share
@@ -351,7 +355,7 @@ class MembersReader(DataSourceReader):
             return
         suffix = ".zip" if self.inner and not part.inside else self.suffix
         for _, entry in entries(file, *part.place):
-            if not entry.name.endswith(suffix) or (suffix == ".zip" and self.inner and (entry.method == STORED or entry.packed > self.split)):
+            if not entry.name.endswith(suffix) or (suffix == ".zip" and self.inner and (entry.method == STORED or entry.packed > split)):
                 continue
             if self.inner and not part.inside:
                 content = unpacked(packed(file, entry), entry.method, entry.crc)
@@ -396,7 +400,7 @@ def reachable(path: str) -> bool:
 
 class ArchiveMembers(DataSource):
     """Options: ``path`` (a folder or an archive), ``glob`` of archives (several with ``|`` between), ``suffix`` of members, ``first`` member only, members of
-    ``inner`` archives, and ``split``, the packed bytes of a partition."""
+    ``inner`` archives, ``split``, the most packed bytes of a partition, and ``tasks``, how many there should be at least."""
 
     @classmethod
     def name(cls) -> str:
@@ -415,7 +419,7 @@ def read_members(spark: SparkSession, path: str, glob: str = "*.zip", suffix: st
     ``inner.zip/file.xml``. Archives may have any size; a packed member has at most 2 GB."""
     spark.dataSource.register(ArchiveMembers)
     return spark.read.format("zip_members").options(
-        glob=glob, suffix=suffix, first=str(first).lower(), inner=str(inner).lower(), split=str(split)).load(path)
+        glob=glob, suffix=suffix, first=str(first).lower(), inner=str(inner).lower(), split=str(split), tasks=str(spark.sparkContext.defaultParallelism)).load(path)
 
 
 def unpacked_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:

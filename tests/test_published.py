@@ -120,7 +120,7 @@ def test_a_task_that_runs_again_leaves_no_duplicates(tmp_path):
     with pytest.raises(RuntimeError):
         writer.write(dies())
     message = writer.write(iter([batch]))
-    assert isinstance(message, WriterCommitMessage)
+    assert isinstance(message, WriterCommitMessage) and message.rows == 2
     writer.commit([message])
     assert sorted(x.name for x in (tmp_path / "d").iterdir()) == ["_SUCCESS", "a.md", "b.md"]
     writer.abort([message])

@@ -83,6 +83,14 @@ def test_one_huge_inner_archive_is_read_by_many_tasks(spark, tmp_path, method, s
     assert tasks(zips.read_members(spark, str(tmp_path), inner=True, split=10_000)) >= 10
 
 
+def test_the_plan_alone_says_which_inner_archives_are_dealt_out(spark, tmp_path):
+    """Inner archives between what the plan takes for many and the option's bytes are read once."""
+    inner = [(f"{k}.zip", pack([(f"{j}.xml", noise(j, 200_000)) for j in range(8)])) for k in range(4)]
+    (tmp_path / "a.zip").write_bytes(pack(inner))
+    assert found(spark, tmp_path, inner=True, split=1 << 30) == expected(tmp_path / "a.zip", True)
+    assert tasks(zips.read_members(spark, str(tmp_path), inner=True)) > 2
+
+
 def test_archive_over_four_gigabytes(tmp_path):
     """Places of over 32 bits, in a file that is mostly a hole."""
     path, head = tmp_path / "grande.zip", zipfile.ZipFile
