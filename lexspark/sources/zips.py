@@ -290,7 +290,7 @@ class MembersReader(DataSourceReader):
         for archive, size in files:
             with store.open_input_file(archive) as file:
                 for part in self._plan(archive, "", Window(file, 0, size)):
-                    if held >= self.split:
+                    if held + part.packed // 2 >= self.split:
                         out.append(Parts(self.split))
                         held = 0
                     out[-1].parts.append(part)
@@ -328,7 +328,7 @@ class MembersReader(DataSourceReader):
             if self.first:
                 close(self._next(file, place, at))
                 return out
-            if held >= self.split:
+            if held + entry.packed // 2 >= self.split:
                 close(self._next(file, place, at))
         close(place.start + place.size)
         return out
