@@ -1,7 +1,8 @@
 """ZIP archives of any size, read by many tasks: a data source whose partitions are ranges of the central directory.
 
-The plan scans each directory once and keeps ranges of about ``split`` packed bytes; a task reads its
-range and, by their offsets, the members in it. Members are handed on packed, to be unpacked where they
+The plan scans the directory of a large archive once and keeps ranges of about ``split`` packed bytes; a
+task reads its range and, by their offsets, the members in it. Archives of no more bytes than that are
+not opened by the plan: tasks get as many of them as make up their bytes, and read the directories. Members are handed on packed, to be unpacked where they
 are read. An inner archive that is stored as it is has a directory of its own, which is planned like any
 other. One that is deflated can be entered at its beginning only: a large one is inflated by several
 tasks, each of which keeps every so-many-th member.
@@ -256,10 +257,11 @@ class Part(InputPartition):
 
 
 class Parts(InputPartition):
-    """What one task reads: as many parts, of any archives, as make up its bytes; ``split`` is what the plan took for many."""
+    """What one task reads: as many parts of large archives, and whole small ones, as make up its bytes; ``split`` is what the plan took for many."""
 
     def __init__(self, split: int):
         self.parts: list[Part] = []
+        self.whole: list[tuple[str, int]] = []
         self.split = split
 
 
@@ -287,14 +289,23 @@ class MembersReader(DataSourceReader):
         # As Spark does with files: fewer bytes a task where there are few in all, so that no core idles.
         self.split = min(self.split, max(_BATCH, sum(size for _, size in files) // self.tasks))
         held = self.split
+
+        def room(size: int) -> Parts:
+            """What the next part of so many bytes goes to."""
+            nonlocal held
+            if held + size // 2 >= self.split:
+                out.append(Parts(self.split))
+                held = 0
+            held += size
+            return out[-1]
+
         for archive, size in files:
+            if size <= self.split:
+                room(size).whole.append((archive, size))
+                continue
             with store.open_input_file(archive) as file:
                 for part in self._plan(archive, "", Window(file, 0, size)):
-                    if held + part.packed // 2 >= self.split:
-                        out.append(Parts(self.split))
-                        held = 0
-                    out[-1].parts.append(part)
-                    held += part.packed
+                    room(part.packed).parts.append(part)
         return out
 
     def _plan(self, archive: str, inside: str, file: Window) -> list[Part]:
@@ -341,40 +352,50 @@ class MembersReader(DataSourceReader):
     def read(self, partition: Parts | None) -> Iterator[pa.RecordBatch]:
         if partition is None:  # nothing was planned
             return
+        self.split = partition.split
+        yield from _batches(self._found(partition))
+
+    def _found(self, partition: Parts) -> Iterator[tuple[str, str, Entry, bytes]]:
         store, _ = opened(self.path)
         for part in partition.parts:
-            with store.open_input_file(part.archive) as opened_file:
-                yield from _batches(part.archive, self._members(part, opened_file, partition.split))
+            with store.open_input_file(part.archive) as file:
+                yield from self._members(part, file)
+        for archive, size in partition.whole:
+            with store.open_input_file(archive) as file:
+                # A small archive is one read.
+                own = io.BytesIO(file.read()) if size <= _STEP else file
+                for part in self._plan(archive, "", Window(own, 0, size)):
+                    yield from self._members(part, own)
 
-    def _members(self, part: Part, opened_file: BinaryIO, split: int) -> Iterator[tuple[str, Entry, bytes]]:
+    def _members(self, part: Part, opened_file: BinaryIO) -> Iterator[tuple[str, str, Entry, bytes]]:
         file = Window(opened_file, part.start, part.size)
         if part.share is not None:
             entry, share, shares = part.share
             for found, content in streamed(file, entry, self.suffix, share, shares):
-                yield f"{entry.name}/{found.name}", found, content
+                yield part.archive, f"{entry.name}/{found.name}", found, content
             return
         suffix = ".zip" if self.inner and not part.inside else self.suffix
         for _, entry in entries(file, *part.place):
-            if not entry.name.endswith(suffix) or (suffix == ".zip" and self.inner and (entry.method == STORED or entry.packed > split)):
+            if not entry.name.endswith(suffix) or (suffix == ".zip" and self.inner and (entry.method == STORED or entry.packed > self.split)):
                 continue
             if self.inner and not part.inside:
                 content = unpacked(packed(file, entry), entry.method, entry.crc)
                 own = Window(io.BytesIO(content), 0, len(content))
                 for _, found in entries(own, *directory(own)):
                     if found.name.endswith(self.suffix):
-                        yield f"{entry.name}/{found.name}", found, packed(own, found)
+                        yield part.archive, f"{entry.name}/{found.name}", found, packed(own, found)
                 continue
-            yield (f"{part.inside}/" if part.inside else "") + entry.name, entry, packed(file, entry)
+            yield part.archive, (f"{part.inside}/" if part.inside else "") + entry.name, entry, packed(file, entry)
 
 
-def _batches(archive: str, members: Iterable[tuple[str, Entry, bytes]]) -> Iterator[pa.RecordBatch]:
+def _batches(members: Iterable[tuple[str, str, Entry, bytes]]) -> Iterator[pa.RecordBatch]:
     rows: list[tuple] = []
     held = 0
 
     def batch() -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(list(x), f.type) for x, f in zip(zip(*rows), SCHEMA)], schema=SCHEMA)
 
-    for name, entry, content in members:
+    for archive, name, entry, content in members:
         rows.append((archive, name, entry.method, entry.crc, content))
         held += len(content)
         if held >= _BATCH or len(rows) >= 4096:

@@ -138,3 +138,24 @@ def test_equals_the_reader_of_cells(spark, tmp_path):
     for split in (100, 1 << 20):
         assert plain(archives.rulings_by_range(spark, str(tmp_path), split=split)) == plain(archives.read_rulings(cells))
         assert plain(archives.acts_by_range(spark, str(tmp_path), "c.zip", split)) == plain(archives.read_acts(cells.where("archive LIKE '%c.zip'")))
+
+
+def test_the_plan_opens_no_small_archive(tmp_path, monkeypatch):
+    """Tasks read their directories, and hand on the members of many in one batch."""
+    for k in range(300):
+        (tmp_path / f"{k}.zip").write_bytes(pack([("x.zip", pack([(f"{j}.xml", noise(10 * k + j, 100)) for j in range(3)]))]))
+    reader, real = zips.MembersReader({"path": str(tmp_path), "inner": "true", "tasks": "1"}), zips.directory
+    monkeypatch.setattr(zips, "directory", lambda file: pytest.fail("opened by the plan"))
+    parts = reader.partitions()
+    monkeypatch.setattr(zips, "directory", real)
+    batches = [b for part in parts for b in reader.read(part)]
+    rows = sorted((r["archive"].split("/")[-1], r["member"], zips.unpacked(r["content"], r["method"], r["crc"])) for b in batches for r in b.to_pylist())
+    assert rows == sorted((f"{k}.zip", *x) for k in range(300) for x in expected(tmp_path / f"{k}.zip", True))
+    assert len(parts) == len(batches) == 1
+
+
+def test_small_archives_are_dealt_by_their_bytes(tmp_path):
+    for k in range(40):
+        (tmp_path / f"{k}.zip").write_bytes(pack([("a.xml", noise(k, 1000))]))
+    parts = zips.MembersReader({"path": str(tmp_path), "split": "6000"}).partitions()
+    assert 5 < len(parts) < 15 and sum(len(p.whole) for p in parts) == 40
