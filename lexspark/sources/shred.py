@@ -42,22 +42,25 @@ class Leaves:
     """Per element a struct of the texts, up to their first child, of its first children of each name; null without such a child."""
 
     def __init__(self, *names: str):
-        self.columns = [(name, []) for name in names]
+        self.names, self.values = list(names), []
 
     def add(self, element: Element) -> None:
-        find = element.find
-        for name, values in self.columns:
-            child = find(name)
-            values.append(None if child is None else child.text or "")
+        # Most elements have just these children, in order.
+        if [child.tag for child in element] == self.names:
+            self.values += [child.text or "" for child in element]
+            return
+        texts: dict[str, str] = {}
+        for child in element:
+            texts.setdefault(child.tag, child.text or "")
+        self.values += [texts.get(name) for name in self.names]
 
     def cut(self, n: int) -> None:
-        for _, values in self.columns:
-            del values[n:]
+        del self.values[n * len(self.names):]
 
     def take(self) -> pa.Array:
-        arrays, names = [pa.array(values, pa.string()) for _, values in self.columns], [name for name, _ in self.columns]
-        self.columns = [(name, []) for name in names]
-        return pa.StructArray.from_arrays(arrays, names)
+        arrays = [pa.array(self.values[k::len(self.names)], pa.string()) for k in range(len(self.names))]
+        self.values = []
+        return pa.StructArray.from_arrays(arrays, self.names)
 
 
 class Record:
