@@ -574,7 +574,7 @@ _SQL_ACTS = """
 @_query("flatten_acts", f"WITH {_SQL_ACTS} SELECT 'ordinanza' AS tipo, * EXCLUDE (k) FROM acts")
 def _flatten_acts(spark: SparkSession, root: str) -> DataFrame:
     orders = _wide(spark, root, "orders", "o_orderkey", "o_custkey", "o_orderdate").select(
-        F.to_xml(compose.act(F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")), {"rowTag": "atto"}).alias("xml")
+        compose.xml_of(compose.act(F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")), "atto").alias("xml")
     )
     acts = flatten.flatten_acts(archives.acts_from_column(orders, "xml"), F.lit("ordinanza"))
     return schemas.select_as(acts, schemas.ATTI_PROMOVIMENTO)
@@ -606,10 +606,8 @@ _SQL_MAXIMS = """
 
 
 def _ruling_xml(orders: DataFrame) -> Column:
-    return F.to_xml(
-        compose.ruling(F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate"), F.col("o_orderpriority")),
-        {"rowTag": "pronuncia"},
-    )
+    return compose.xml_of(
+        compose.ruling(F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate"), F.col("o_orderpriority")), "pronuncia")
 
 
 @_query("maxim_cross", f"WITH {_SQL_MAXIMS}")
@@ -628,7 +626,7 @@ def _maxim_cross(spark: SparkSession, root: str) -> DataFrame:
 """)
 def _zip_acts(spark: SparkSession, root: str) -> DataFrame:
     """Orders packed into register archives; only the first XML counts, and only acts below the root."""
-    xml = F.to_xml(compose.act(F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")), {"rowTag": "atto"})
+    xml = compose.xml_of(compose.act(F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")), "atto")
     rows = _wide(spark, root, "orders", "o_orderkey", "o_custkey", "o_orderdate").select(
         compose.text_of("o_orderkey").alias("folder"),
         F.when(F.col("o_orderkey") % 2 == 0, F.lit("ordinanze.zip")).otherwise(F.lit("ricorsi.zip")).alias("archive"),
@@ -663,7 +661,7 @@ def _landed(packed: DataFrame, name: str) -> str:
 """)
 def _zip_acts_by_range(spark: SparkSession, root: str) -> DataFrame:
     """The archives of ``zip_acts`` as files, read by ranges of their directories."""
-    xml = F.to_xml(compose.act(F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")), {"rowTag": "atto"})
+    xml = compose.xml_of(compose.act(F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")), "atto")
     rows = _wide(spark, root, "orders", "o_orderkey", "o_custkey", "o_orderdate").select(
         compose.text_of("o_orderkey").alias("folder"),
         F.when(F.col("o_orderkey") % 2 == 0, F.lit("ordinanze.zip")).otherwise(F.lit("ricorsi.zip")).alias("archive"), xml.alias("xml"))
@@ -683,10 +681,11 @@ def _zip_maxims_by_range(spark: SparkSession, root: str) -> DataFrame:
 
 @_query("xml_files", f"WITH {_SQL_MAXIMS}")
 def _xml_files(spark: SparkSession, root: str) -> DataFrame:
-    """Rulings written to unpacked XML files, which are cut into records by many tasks."""
+    """Rulings written to XML files, which are cut into records by many tasks."""
     orders = _wide(spark, root, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     out = shared_dir(spark, "xml")
-    orders.select(_ruling_xml(orders).alias("value")).write.text(out)
+    # Written in blocks of a fast codec, a fraction of the bytes. Such a file is read by one task, so none has more records than make up a split.
+    orders.select(_ruling_xml(orders).alias("value")).write.option("maxRecordsPerFile", 100_000).text(out, compression="snappy")
     return schemas.select_as(flatten.flatten_maxims(archives.rulings_from_files(spark, out)), schemas.MASSIME)
 
 
@@ -752,7 +751,7 @@ def _published_sql(spark: SparkSession, root: str) -> DataFrame:
 def _published_invocations(spark: SparkSession, root: str) -> DataFrame:
     """Acts published as a version whose contract holds, then the published statement for the most invoked article."""
     orders = _wide(spark, root, "orders", "o_orderkey", "o_custkey", "o_orderdate")
-    xml = F.to_xml(compose.act(F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")), {"rowTag": "atto"})
+    xml = compose.xml_of(compose.act(F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")), "atto")
     acts = flatten.flatten_acts(archives.acts_from_column(orders.select(xml.alias("xml")), "xml"), F.lit("ordinanza"))
     out = shared_dir(spark, "pubblicati")
     published.publish(acts, f"{out}/atti_promovimento", schemas.ATTI_PROMOVIMENTO, rules=[quality.rows_at_least(1)])
