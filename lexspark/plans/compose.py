@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from lexspark import schemas
-from lexspark.sources.members import pack_members
+from lexspark.sources.members import batches_of, pack_members
 
 
 def text_of(value: Column | str) -> Column:
@@ -158,17 +158,18 @@ def pack(rows: DataFrame, build: Callable[[str], bytes]) -> DataFrame:
     """
     schema = to_arrow_schema(_PACKED)
 
+    def archives(batch: pa.RecordBatch) -> Iterator[dict]:
+        by_name: dict[str, list[int]] = {}
+        for i, name in enumerate(batch.column("archive").to_pylist()):
+            by_name.setdefault(name, []).append(i)
+        for name, found in by_name.items():
+            for some in (found[i:i + 100] for i in range(0, len(found), 100)):
+                folder, xml = batch.column("folder")[some[0]].as_py(), batch.column("xml").take(pa.array(some)).to_pylist()
+                yield {"archive": f"{folder}/{name}", "content": build("".join(xml))}
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            by_name: dict[str, list[dict]] = {}
-            for row in batch.to_pylist():
-                by_name.setdefault(row["archive"], []).append(row)
-            packed = [
-                {"archive": f"{some[0]['folder']}/{name}", "content": build("".join(r["xml"] for r in some))}
-                for name, found in by_name.items()
-                for some in (found[i:i + 100] for i in range(0, len(found), 100))
-            ]
-            yield pa.RecordBatch.from_pylist(packed, schema)
+        # One archive's texts are held beside the batch they come in, and no more archives than make up a batch of bytes.
+        yield from batches_of((row for batch in batches for row in archives(batch)), schema)
 
     return rows.select("folder", "archive", "xml").mapInArrow(run, _PACKED)
 

@@ -4,12 +4,41 @@ import datetime
 import xml.etree.ElementTree as ElementTree
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from lexspark.plans import catalog, compose
 from lexspark.sources import shred
 
 
+class Rows:
+    """Stands in for a table: hands out the function that Spark would run."""
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, run, schema):  # noqa: N802
+        return run
+
+
+def test_archives_are_packed_one_at_a_time():
+    held = []
+
+    def build(xml):
+        held.append(xml)
+        return b"x" * (1 << 20)
+
+    run = compose.pack(Rows(), build)
+    names = ["a.zip" if k % 2 else "b.zip" for k in range(2600)]
+    batch = pa.RecordBatch.from_pydict({"folder": [str(k) for k in range(2600)], "archive": names, "xml": [f"<{k}/>" for k in range(2600)]})
+    made, out = run(iter([batch])), []
+    first = next(made)
+    assert len(held) < 26 and first.nbytes < 5 << 20
+    out = [r["archive"] for b in (first, *made) for r in b.to_pylist()]
+    assert out == [f"{k}/{n}" for n, start in (("b.zip", 0), ("a.zip", 1)) for k in range(start, 2600, 200)]
+    assert "".join(held) == "".join(f"<{k}/>" for start in (0, 1) for k in range(start, 2600, 2))
+
+
 def orders(spark, n):
     day = datetime.datetime(2001, 2, 3)
     return spark.createDataFrame([(k, k * 7, day, "1-URGENT") for k in range(n)], "o_orderkey long, o_custkey long, o_orderdate timestamp, o_orderpriority string")
