@@ -11,6 +11,8 @@ from lexspark.llm.common import SPACE, WORD, bind, fresh, stash
 WORDS, SIMILARITY = 5, 0.8
 #: Buckets in which shingles are counted: the table of counts has this size whatever the corpus.
 BUCKETS = 1 << 17
+#: Buckets counted in one row of the aggregation; with one a row, the keys outgrow the hash table of Spark's generated code.
+LANES = 8
 #: Bits of the table that tells which lines are candidates, likewise of one size.
 BITS = 1 << 23
 #: Places of a prefix between two parities, and how many such steps have one.
@@ -72,11 +74,12 @@ def row_key(id_column: str, text_column: str) -> Column:
 def _rarities(lines: DataFrame, words: int) -> Column:
     """An array, as a scalar: for each bucket of shingles a class of how many there are over all lines, in the highest bits."""
     split = lines.where("worded").select(_word_hashes(F.col("line")).alias("w"))
-    counts = split.select("w", F.explode(_places(F.col("w"), words)).alias("at")).groupBy(
-        _bucket(_hash(F.col("w"), F.col("at"), words)).cast("long").alias("id")).agg(F.count("*").alias("n"))
-    rank = F.shiftleft(F.floor(4 * F.log2(F.coalesce("n", F.lit(0)) + 1)), 55)
-    dense = lines.sparkSession.range(BUCKETS).join(counts, "id", "left").select(F.struct("id", rank.alias("rank")).alias("x"))
-    return dense.agg(F.transform(F.array_sort(F.collect_list("x")), lambda x: F.coalesce(x["rank"], F.lit(0).cast("long"))).alias("ranks")).scalar()
+    bucket = split.select("w", F.explode(_places(F.col("w"), words)).alias("at")).select(_bucket(_hash(F.col("w"), F.col("at"), words)).alias("bucket"))
+    lane = F.col("bucket").bitwiseAND(F.lit(LANES - 1))
+    counts = bucket.groupBy(F.shiftright("bucket", LANES.bit_length() - 1).cast("long").alias("id")).agg(*(F.count(F.when(lane == k, 1)).alias(f"n{k}") for k in range(LANES)))
+    ranks = F.array(*(F.shiftleft(F.floor(4 * F.log2(F.coalesce(f"n{k}", F.lit(0)) + 1)), 55) for k in range(LANES)))
+    dense = lines.sparkSession.range(BUCKETS // LANES).join(counts, "id", "left").select(F.struct("id", ranks.alias("ranks")).alias("x"))
+    return dense.agg(F.flatten(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["ranks"])).alias("ranks")).scalar()
 
 
 def _members(ids: DataFrame, bits: int = BITS):
@@ -99,10 +102,10 @@ def _prefixes(lines: DataFrame, words: int, similarity: float) -> DataFrame:
     ``shape`` is size and place; ``last`` is the shingle before. ``parity`` is about the shingles from
     the latest step of places on: a bit for each 64th of the hashes, set if an odd number of them fall there.
     """
-    split = lines.where("worded").select("class", _word_hashes(F.col("line")).alias("w"))
-    hashed = split.select("class", F.array_distinct(F.transform(_places(F.col("w"), words), lambda at: _hash(F.col("w"), at, words))).alias("hashes"))
+    # Bound, not projected, so that the arrays of words and shingles are never written as a row's cells.
+    hashes = bind(_word_hashes(F.col("line")), lambda w: F.array_distinct(F.transform(_places(w, words), lambda at: _hash(w, at, words))))
     # Named in a projection of its own and mentioned once, the table of ranks is inlined and never becomes a row's cell.
-    ranked = hashed.select("class", "hashes", _rarities(lines, words).alias("ranks"))
+    ranked = lines.where("worded").select("class", "line", _rarities(lines, words).alias("ranks"))
     length = lambda n: n - F.ceil(n * similarity - 1e-9).cast("int") + 1
     bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
 
@@ -112,7 +115,7 @@ def _prefixes(lines: DataFrame, words: int, similarity: float) -> DataFrame:
         return F.struct(F.size(x.hashes).alias("size"), whole.alias("parity"), F.slice(tokens, 1, length(F.size(x.hashes))).alias("prefix"))
 
     # Equal lines fold into one row in each task first, so a line that fills a third of the corpus is shuffled once a task.
-    classes = ranked.select("class", bind(F.struct("ranks", "hashes"), order).alias("cut")).groupBy("class").agg(F.min("cut").alias("cut"))
+    classes = ranked.select("class", bind(F.struct("ranks", hashes.alias("hashes")), order).alias("cut")).groupBy("class").agg(F.min("cut").alias("cut"))
     steps = classes.select("class", F.col("cut.size").cast("long").alias("size"), F.col("cut.prefix").alias("prefix"), F.col("cut.parity").alias("p0"))
     for k in range(1, STEPS + 1):
         left = F.col(f"p{k - 1}")

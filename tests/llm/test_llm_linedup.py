@@ -1,8 +1,11 @@
 """Line dedup against a comparison of every two lines."""
 
+import math
 import random
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from lexspark.llm import linedup
 
@@ -71,3 +74,14 @@ def test_odd_tables(spark):
 def test_clashing_names(spark):
     table = spark.createDataFrame([(1, "a b\na b", "mine", 5, 6), (2, "a b", "yours", 7, 8)], "doc_id long, text string, __row string, __gone int, class int")
     assert sorted(map(tuple, linedup.remove_repeats(table).collect())) == [(1, "a b", "mine", 5, 6), (2, "", "yours", 7, 8)]
+
+
+def test_rarities(spark):
+    lines = linedup.lines_of(spark.createDataFrame(corpus(3), "doc_id long, text string"), "doc_id", "text")
+    words = lines.where("worded").select(F.split("line", " ").alias("w")).select(F.transform("w", lambda x: F.xxhash64(x)).alias("w"))
+    hashes = words.select(F.explode(linedup._places(F.col("w"), 5)).alias("at"), "w").select(linedup._hash(F.col("w"), F.col("at"), 5))
+    want = Counter(h & (linedup.BUCKETS - 1) for h, in hashes.collect())
+    got = spark.range(1).select(linedup._rarities(lines, 5)).first()[0]
+    assert [x >> 55 for x in got] == [math.floor(4 * math.log2(want[b] + 1)) for b in range(linedup.BUCKETS)] and max(want.values()) > 5
+    # A row of the aggregation for each bucket is more than its hash table in generated code takes (65,536).
+    assert linedup.BUCKETS // linedup.LANES < 1 << 16
