@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexspark.llm.common import SPACE, WORD, bind, fresh, stash
@@ -19,18 +21,23 @@ BITS = 1 << 23
 STEP, STEPS = 1, 12
 
 
-def tidy(line: Column) -> Column:
-    """The words of a line with single spaces."""
-    odd = line.startswith(" ") | line.endswith(" ")
-    for mark in ("  ", "\t", "\v", "\f", "\r"):
-        odd = odd | line.contains(mark)
+def _unusual(text: Column) -> Column:
+    """Whether a text has white space other than spaces and line ends."""
+    # Split once, as that searches many bytes at a time; ``contains`` goes byte by byte.
+    return reduce(Column.__or__, (F.size(F.split(text, mark, 2)) > 1 for mark in "\t\v\f\r"))
+
+
+def tidy(line: Column, unusual: Column | None = None) -> Column:
+    """The words of a line with single spaces. Say ``unusual`` is false, and spaces are its only white space."""
     # Most lines are tidy, which a search for bytes tells faster than a pattern.
+    odd = line.startswith(" ") | line.endswith(" ") | line.contains("  ") | (_unusual(line) if unusual is None else unusual)
     return F.when(odd, F.trim(F.regexp_replace(line, SPACE, " "))).otherwise(line)
 
 
 def shingles(line: Column, words: int = WORDS) -> Column:
     """The distinct word shingles of a tidy line; of a shorter line the line itself, of a blank one none."""
-    every = F.regexp_extract_all(line, F.lit(r"(?=([^ ]+(?: [^ ]+){%d}))[^ ]+" % (words - 1)), F.lit(1))
+    # Spelled out and possessive, the pattern has neither a loop of groups nor a way back to remember.
+    every = F.regexp_extract_all(line, F.lit("(?=(%s))[^ ]++" % " ".join(["[^ ]++"] * words)), F.lit(1))
     return bind(every, lambda s: F.when(F.size(s) > 0, F.array_distinct(s)).when(line != "", F.array(line)).otherwise(F.slice(s, 1, 0)))
 
 
@@ -45,7 +52,7 @@ def _places(hashes: Column, words: int) -> Column:
 
 def _hash(hashes: Column, at: Column, words: int) -> Column:
     """The hash of a shingle from those of its words; of a shorter line that of all its words."""
-    return F.xxhash64(*(F.get(hashes, at + k) for k in range(words)))
+    return F.xxhash64(*(F.get(hashes, at + k if k else at) for k in range(words)))
 
 
 def _bucket(h: Column) -> Column:
@@ -58,10 +65,11 @@ def lines_of(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     Lines with the same words in the same order are a class.
     """
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
-    cut = docs.select(
-        F.col(id_column).alias("doc_id"), row_key(id_column, text_column).alias("row"), F.posexplode(F.split(text, "\n")).alias("line_no", "raw"))
+    # What is about the whole text is projected below the explode, else it would be computed again for each line.
+    whole = docs.select(F.col(id_column).alias("doc_id"), row_key(id_column, text_column).alias("row"), text.alias("text"), _unusual(text).alias("unusual"))
+    cut = whole.select("doc_id", "row", "unusual", F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
     # Whether a line has a word is asked of the raw line, so that a filter below doesn't tidy each line once more.
-    made = cut.select("doc_id", "row", F.col("line_no").cast("long").alias("line_no"), F.col("raw").rlike(WORD).alias("worded"), tidy(F.col("raw")).alias("line"))
+    made = cut.select("doc_id", "row", F.col("line_no").cast("long").alias("line_no"), F.col("raw").rlike(WORD).alias("worded"), tidy(F.col("raw"), F.col("unusual")).alias("line"))
     return made.select(
         F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "row", "line_no").alias("pos"), "row", "line_no", "worded",
         F.when(F.col("worded"), F.xxhash64("line")).alias("class"), "line")
@@ -102,20 +110,22 @@ def _prefixes(lines: DataFrame, words: int, similarity: float) -> DataFrame:
     ``shape`` is size and place; ``last`` is the shingle before. ``parity`` is about the shingles from
     the latest step of places on: a bit for each 64th of the hashes, set if an odd number of them fall there.
     """
-    # Bound, not projected, so that the arrays of words and shingles are never written as a row's cells.
-    hashes = bind(_word_hashes(F.col("line")), lambda w: F.array_distinct(F.transform(_places(w, words), lambda at: _hash(w, at, words))))
-    # Named in a projection of its own and mentioned once, the table of ranks is inlined and never becomes a row's cell.
-    ranked = lines.where("worded").select("class", "line", _rarities(lines, words).alias("ranks"))
-    length = lambda n: n - F.ceil(n * similarity - 1e-9).cast("int") + 1
     bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
-
-    def order(x: Column) -> Column:
-        tokens = F.sort_array(F.transform(x.hashes, lambda h: x.ranks[_bucket(h)].bitwiseOR(h.bitwiseAND(F.lit((1 << 55) - 1)))))
-        whole = F.aggregate(x.hashes, F.lit(0).cast("long"), lambda a, h: a.bitwiseXOR(bit(h)))
-        return F.struct(F.size(x.hashes).alias("size"), whole.alias("parity"), F.slice(tokens, 1, length(F.size(x.hashes))).alias("prefix"))
-
+    # Repeats go and tokens are sorted outside any lambda, so that generated code does it on plain longs; words are bound, and no cell.
+    split = bind(_word_hashes(F.col("line")), lambda w: F.transform(_places(w, words), lambda at: _hash(w, at, words)))
+    hashed = lines.where("worded").select("class", F.array_distinct(split).alias("hashes"))
+    # A byte a bucket, so that the table stays in a core's own cache; a class is 252 at most.
+    table = lines.sparkSession.range(1).select(_rarities(lines, words).alias("ranks"))
+    narrow = table.select(F.transform("ranks", lambda x: (F.shiftright(x, 55) - 128).cast("byte")).alias("ranks"))
+    # Named in a projection of its own and mentioned once, the table of ranks is inlined and never becomes a row's cell.
+    ranked = hashed.select("class", "hashes", narrow.scalar().alias("ranks"))
+    # Nulls, which there are none of, are ruled out, or else the sort would be one of objects.
+    tokens = F.transform("hashes", lambda h: F.coalesce(F.shiftleft(F.col("ranks")[_bucket(h)].cast("long"), 55).bitwiseOR(h.bitwiseAND(F.lit((1 << 55) - 1))), h))
+    whole = F.aggregate("hashes", F.lit(0).cast("long"), lambda a, h: a.bitwiseXOR(bit(h)))
+    size = F.size("hashes")
+    cut = F.struct(size.alias("size"), whole.alias("parity"), F.slice(F.sort_array(tokens), 1, size - F.ceil(size * similarity - 1e-9).cast("int") + 1).alias("prefix"))
     # Equal lines fold into one row in each task first, so a line that fills a third of the corpus is shuffled once a task.
-    classes = ranked.select("class", bind(F.struct("ranks", hashes.alias("hashes")), order).alias("cut")).groupBy("class").agg(F.min("cut").alias("cut"))
+    classes = ranked.select("class", cut.alias("cut")).groupBy("class").agg(F.min("cut").alias("cut"))
     steps = classes.select("class", F.col("cut.size").cast("long").alias("size"), F.col("cut.prefix").alias("prefix"), F.col("cut.parity").alias("p0"))
     for k in range(1, STEPS + 1):
         left = F.col(f"p{k - 1}")
@@ -134,7 +144,11 @@ def _prefixes(lines: DataFrame, words: int, similarity: float) -> DataFrame:
 
 def _candidates(prefixes: DataFrame, similarity: float) -> DataFrame:
     """``a, b``: classes that share a rare shingle and pass the length and positional filters."""
-    a, b = prefixes.alias("a"), prefixes.alias("b")
+    # Few shingles are in two classes. The others go first, after one sort of all, where the join would sort them twice and meet each with itself.
+    of = Window.partitionBy("token")
+    shared = prefixes.select("*", F.min("class").over(of).alias("low"), F.max("class").over(of).alias("high")).where("low < high").drop("low", "high")
+    shared = stash(shared, "linedup")
+    a, b = shared.alias("a"), shared.alias("b")
     size = lambda x: F.shiftright(f"{x}.shape", 32)
     place = lambda x: F.col(f"{x}.shape").bitwiseAND(F.lit((1 << 32) - 1))
     needed = (size("a") + size("b")) * (similarity / (1 + similarity)) - 1e-9

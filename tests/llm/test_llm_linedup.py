@@ -85,3 +85,25 @@ def test_rarities(spark):
     assert [x >> 55 for x in got] == [math.floor(4 * math.log2(want[b] + 1)) for b in range(linedup.BUCKETS)] and max(want.values()) > 5
     # A row of the aggregation for each bucket is more than its hash table in generated code takes (65,536).
     assert linedup.BUCKETS // linedup.LANES < 1 << 16
+
+
+def test_shared_prefixes(spark, monkeypatch):
+    # The join of prefixes gets the shingles of two classes or more, and each row of those.
+    lines = linedup.lines_of(spark.createDataFrame(corpus(4), "doc_id long, text string"), "doc_id", "text")
+    written, stash = [], linedup.stash
+    monkeypatch.setattr(linedup, "stash", lambda df, name: written.append(stash(df, name)) or written[-1])
+    linedup.links(lines)
+    classes = {}
+    for row in linedup._prefixes(lines, 5, 0.8).collect():
+        classes.setdefault(row["token"], []).append(tuple(row))
+    joined, = (df for df in written if "token" in df.columns)
+    want = [row for rows in classes.values() if len({r[1] for r in rows}) > 1 for row in rows]
+    assert sorted(map(tuple, joined.collect())) == sorted(want) and 0 < len(want) < sum(map(len, classes.values()))
+
+
+def test_white_space(spark):
+    texts = ["a b\nc", "a\vb", " a\rb ", "a\f\tb\n \v", "a  b", "a b ", "a\u00a0b"]
+    got = linedup.match_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    classes = {(x["doc_id"], x["line_no"]): x["class_id"] for x in got}
+    assert len({classes[d, 0] for d in range(6)}) == 1 and len({classes[d, 0] for d in (0, 6)} | {classes[0, 1]}) == 3
+    assert classes[3, 1] is None and len(classes) == 9
